@@ -17,21 +17,11 @@ from layercake.operators.skew import split_hot
 META = ["hk", "attr_hash", "eff_start", "eff_end", "is_current"]
 
 
-def version_columns(keys: Sequence[str], tracked: Sequence[str], start: Column, end: Column) -> list[Column]:
-    """The five version columns for rows that carry the key and tracked columns."""
-    return [
-        row_hash([*keys, *tracked, start]).alias("hk"),
-        row_hash(tracked).alias("attr_hash"),
-        start.alias("eff_start"),
-        end.cast("timestamp").alias("eff_end"),
-        end.isNull().alias("is_current"),
-    ]
-
-
 def open_dimension(rows: DataFrame, keys: Sequence[str], tracked: Sequence[str], effective_ts: datetime | Column) -> DataFrame:
     """First load: one open version per row."""
-    start = _ts(effective_ts)
-    return rows.select(*keys, *tracked, *version_columns(keys, tracked, start, F.lit(None).cast("timestamp")))
+    start, none = _ts(effective_ts), F.lit(None).cast("timestamp")
+    meta = _meta(row_hash([*keys, *tracked, start]), row_hash(tracked), start, none, True)
+    return rows.select(*keys, *tracked, *meta)
 
 
 def scd2_apply(
@@ -64,37 +54,28 @@ def advance(
     with ``delete='close'``. One shuffle per side, on the key; keys are unique on both sides.
     """
     start = _ts(effective_ts)
-    incoming = _one_per_key(changes, keys, tracked, delete)
-    cur = current.select(*keys, *[F.col(c).alias(f"c_{c}") for c in [*tracked, *META]], F.lit(True).alias("in_c"))
-    joined = cur.join(incoming, list(keys), "full_outer")
-
-    def key_fields() -> list[Column]:
-        return [F.col(k).alias(k) for k in keys]
-
-    def kept(end: Column, is_current: bool) -> Column:
-        fields = [F.col(f"c_{c}").alias(c) for c in [*tracked, "hk", "attr_hash", "eff_start"]]
-        return F.struct(*key_fields(), *fields, end.alias("eff_end"), F.lit(is_current).alias("is_current"))
-
-    s_tracked = [F.col(f"s_{c}") for c in tracked]
+    open_row = F.struct(*tracked, *META).alias("cur")
+    joined = current.select(*keys, open_row).join(
+        _one_per_key(changes, keys, tracked, delete), list(keys), "full_outer"
+    )
+    cur, new = F.col("cur"), F.col("new")
+    none = F.lit(None).cast("timestamp")
+    fresh_hk = row_hash([*keys, *[new[c] for c in tracked], start])
     opened = F.struct(
-        *key_fields(),
-        *[F.col(f"s_{c}").alias(c) for c in tracked],
-        row_hash([*keys, *s_tracked, start]).alias("hk"),
-        F.col("s_attr_hash").alias("attr_hash"),
-        start.alias("eff_start"),
-        F.lit(None).cast("timestamp").alias("eff_end"),
-        F.lit(True).alias("is_current"),
+        *[new[c].alias(c) for c in tracked], *_meta(fresh_hk, F.col("new_hash"), start, none, True)
+    )
+    closed = F.struct(
+        *[cur[c].alias(c) for c in tracked], *_meta(cur["hk"], cur["attr_hash"], cur["eff_start"], start, False)
     )
-    same, closed = kept(F.col("c_eff_end"), True), kept(start, False)
     versions = (
-        F.when(F.col("in_s").isNull(), F.array(same))
-        .when(F.col("in_c").isNull(), F.array(opened))
-        .when(F.col("s_gone"), F.array(closed))
-        .when(F.col("c_attr_hash") == F.col("s_attr_hash"), F.array(same))
+        F.when(new.isNull(), F.array(cur))
+        .when(cur.isNull(), F.array(opened))
+        .when(F.col("gone"), F.array(closed))
+        .when(cur["attr_hash"] == F.col("new_hash"), F.array(cur))
         .otherwise(F.array(closed, opened))
     )
-    useless = F.col("in_c").isNull() & F.col("s_gone")
-    out = joined.filter(~F.coalesce(useless, F.lit(False))).select(F.inline(versions))
+    useless = cur.isNull() & F.col("gone")
+    out = joined.filter(~F.coalesce(useless, F.lit(False))).select(*keys, F.inline(versions))
     return out.select(*keys, *tracked, *META)
 
 
@@ -122,7 +103,9 @@ def scd2_from_log(
     )
     hot, cold = split_hot(rows, keys, hot_rows)
     found = _changes(cold, keys, ts, order).unionByName(_changes_in_pieces(hot, keys, ts, order, hot_unit))
-    return found.select(*keys, *tracked, *version_columns(keys, tracked, F.col(ts), F.col("_end")))
+    hk = row_hash([*keys, *tracked, ts])
+    meta = _meta(hk, F.col("attr_hash"), F.col(ts).cast("timestamp"), F.col("_end").cast("timestamp"), True)
+    return found.select(*keys, *tracked, *meta).withColumn("is_current", F.col("eff_end").isNull())
 
 
 def current(dim: DataFrame) -> DataFrame:
@@ -193,14 +176,14 @@ def _one_per_key(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str]
         gone = (F.col("_action") == "DELETE") & ~F.col("_is_update")
         changes = changes.filter(inserted | gone if delete == "close" else inserted)
     return changes.select(
-        *keys,
-        *[F.col(c).alias(f"s_{c}") for c in tracked],
-        row_hash(tracked).alias("s_attr_hash"),
-        gone.alias("s_gone"),
-        F.lit(True).alias("in_s"),
+        *keys, F.struct(*tracked).alias("new"), row_hash(tracked).alias("new_hash"), gone.alias("gone")
     )
 
 
+def _meta(hk: Column, attr_hash: Column, start: Column, end: Column, is_current: bool) -> list[Column]:
+    return [c.alias(n) for c, n in zip((hk, attr_hash, start, end, F.lit(is_current)), META)]
+
+
 def _ts(value: datetime | Column) -> Column:
     """A naive datetime is read in the session's time zone, like any timestamp text."""
     return (value if isinstance(value, Column) else F.lit(str(value))).cast("timestamp")

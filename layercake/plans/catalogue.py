@@ -54,19 +54,19 @@ def date_dim(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kpi_yearly(spark: SparkSession, folder: str) -> DataFrame:
-    return kpis.kpi_yearly(retail.order_facts(spark, folder), date_dim(spark, folder))
+    return kpis.kpi_yearly(retail.order_facts(spark, folder), date_dim(spark, folder), retail.DONE)
 
 
 def kpi_yearly_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return kpis.kpi_yearly_dedup(retail.order_item_fact(spark, folder), date_dim(spark, folder))
+    return kpis.kpi_yearly_dedup(retail.order_item_fact(spark, folder), date_dim(spark, folder), retail.DONE)
 
 
 def kpi_monthly(spark: SparkSession, folder: str) -> DataFrame:
-    return kpis.kpi_monthly(retail.order_facts(spark, folder), date_dim(spark, folder))
+    return kpis.kpi_monthly(retail.order_facts(spark, folder), date_dim(spark, folder), retail.DONE)
 
 
 def kpi_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return kpis.kpi_daily(retail.order_facts(spark, folder), date_dim(spark, folder))
+    return kpis.kpi_daily(retail.order_facts(spark, folder), date_dim(spark, folder), retail.DONE)
 
 
 def kpi_dayname(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,7 +75,7 @@ def kpi_dayname(spark: SparkSession, folder: str) -> DataFrame:
 
 def kpi_monthly_by_supplier(spark: SparkSession, folder: str) -> DataFrame:
     suppliers = retail.table(spark, folder, "supplier").select(F.col("s_suppkey").alias("hk"), F.col("s_name").alias("name"))
-    fact = retail.order_facts(spark, folder, "restaurant_dim_key")
+    fact = retail.order_item_fact(spark, folder)
     return kpis.kpi_monthly_by_restaurant(fact, date_dim(spark, folder), suppliers)
 
 
@@ -92,15 +92,15 @@ def _part_types(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kpi_by_part_type(spark: SparkSession, folder: str) -> DataFrame:
-    return kpis.kpi_by_category(retail.order_facts(spark, folder, "menu_dim_key"), _part_types(spark, folder))
+    return kpis.kpi_by_category(retail.order_item_fact(spark, folder), _part_types(spark, folder), retail.DONE)
 
 
 def kpi_by_part_type_order_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return kpis.kpi_by_category_order_totals(retail.order_item_fact(spark, folder), _part_types(spark, folder))
+    return kpis.kpi_by_category_order_totals(retail.order_item_fact(spark, folder), _part_types(spark, folder), retail.DONE)
 
 
 def delivered_rows(spark: SparkSession, folder: str) -> DataFrame:
-    fact = kpis.delivered(retail.order_item_fact(spark, folder))
+    fact = kpis.delivered(retail.order_item_fact(spark, folder), retail.DONE)
     return fact.select("order_item_id", "order_id", "order_date", "delivery_status", "subtotal")
 
 
@@ -208,7 +208,7 @@ def table_changes(spark: SparkSession, folder: str) -> DataFrame:
     orders = _orders_table(spark, folder, "table-changes")
     batch = _orders_batch(spark, folder)
     orders.merge(batch, _merge_orders, orders.buckets_of(batch))
-    return orders.changes(1, 2)
+    return orders.changes(1)
 
 
 def delete_where_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Revenue KPI marts over the fact.
 
 Every mart takes the fact at item grain, or an ``order_rollup`` of it: both give the same numbers.
-A rollup brings each order (or order and dimension key) down to one row before any join, on the map
-side where its items lie together, so one hot order or menu item costs one row per task.
+A rollup brings each order down to one row before any join, on the map side where its items lie
+together, so a hot order costs one row per task. It pays where a mart groups by what an order
+determines (dates, customer); by menu item or restaurant of an item, the fact itself is as small.
 
 Facts carry ``order_date_dim_key`` (joined to ``date_dim_hk``) or a plain ``order_date`` (joined to
 ``calendar_date``). ``max_order_value`` is the largest item subtotal; that is its definition here.
@@ -18,8 +19,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 DELIVERED = "Delivered"
 
 
-def delivered(fact: DataFrame) -> DataFrame:
-    return fact.filter(F.col("delivery_status") == DELIVERED)
+def delivered(fact: DataFrame, done: str = DELIVERED) -> DataFrame:
+    """Rows of delivered orders; ``done`` is the status that says so."""
+    return fact.filter(F.col("delivery_status") == done)
 
 
 def order_rollup(items: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -62,26 +64,26 @@ def with_date(fact: DataFrame, date_dim: DataFrame, columns: Sequence[str]) -> D
     return fact.join(F.broadcast(days), key)
 
 
-def kpi_yearly(fact: DataFrame, date_dim: DataFrame) -> DataFrame:
-    return kpis(with_date(delivered(fact), date_dim, ["year"]), ["year"])
+def kpi_yearly(fact: DataFrame, date_dim: DataFrame, done: str = DELIVERED) -> DataFrame:
+    return kpis(with_date(delivered(fact, done), date_dim, ["year"]), ["year"])
 
 
-def kpi_yearly_dedup(fact: DataFrame, date_dim: DataFrame) -> DataFrame:
+def kpi_yearly_dedup(fact: DataFrame, date_dim: DataFrame, done: str = DELIVERED) -> DataFrame:
     """Yearly KPIs counting every item once. Needs the fact at item grain."""
-    items = dedup_items(delivered(fact))
+    items = dedup_items(delivered(fact, done))
     # Here every row counts as an item, with or without an id.
     measured = items.select("*", F.col("subtotal").alias("revenue"), F.lit(1).alias("items"), F.col("subtotal").alias("largest"))
     return kpis(with_date(measured, date_dim, ["year"]), ["year"])
 
 
-def kpi_monthly(fact: DataFrame, date_dim: DataFrame) -> DataFrame:
+def kpi_monthly(fact: DataFrame, date_dim: DataFrame, done: str = DELIVERED) -> DataFrame:
     by = ["year", "month"]
-    return kpis(with_date(delivered(fact), date_dim, by), by)
+    return kpis(with_date(delivered(fact, done), date_dim, by), by)
 
 
-def kpi_daily(fact: DataFrame, date_dim: DataFrame) -> DataFrame:
+def kpi_daily(fact: DataFrame, date_dim: DataFrame, done: str = DELIVERED) -> DataFrame:
     found = kpis(
-        with_date(delivered(fact), date_dim, ["year", "month", "day_of_the_month"]),
+        with_date(delivered(fact, done), date_dim, ["year", "month", "day_of_the_month"]),
         ["year", "month", "day_of_the_month"],
     )
     return found.withColumnRenamed("day_of_the_month", "day")
@@ -110,20 +112,20 @@ def kpi_by_city(fact: DataFrame, date_dim: DataFrame, addresses: DataFrame) -> D
     return kpis(with_date(fact, date_dim, ["year"]).join(placed, "customer_address_dim_key"), ["city", "year"])
 
 
-def kpi_by_category(fact: DataFrame, menus: DataFrame) -> DataFrame:
+def kpi_by_category(fact: DataFrame, menus: DataFrame, done: str = DELIVERED) -> DataFrame:
     """Delivered orders and revenue by menu category. ``menus`` has ``hk`` and ``category``."""
     categories = menus.select(F.col("hk").alias("menu_dim_key"), "category")
     return (
-        _measures(delivered(fact))
+        _measures(delivered(fact, done))
         .join(categories, "menu_dim_key")
         .groupBy("category")
         .agg(F.count_distinct("order_id").alias("order_count"), F.sum("revenue").alias("total_revenue"))
     )
 
 
-def kpi_by_category_order_totals(fact: DataFrame, menus: DataFrame) -> DataFrame:
+def kpi_by_category_order_totals(fact: DataFrame, menus: DataFrame, done: str = DELIVERED) -> DataFrame:
     """The same by way of totals per order and menu item."""
-    totals = _measures(delivered(fact)).groupBy("order_id", "menu_dim_key").agg(F.sum("revenue").alias("order_total"))
+    totals = _measures(delivered(fact, done)).groupBy("order_id", "menu_dim_key").agg(F.sum("revenue").alias("order_total"))
     categories = menus.select(F.col("hk").alias("menu_dim_key"), "category")
     return (
         totals.join(categories, "menu_dim_key")

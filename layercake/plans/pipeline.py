@@ -105,14 +105,14 @@ class Warehouse:
         read_to, upto = target.consumed("clean"), source.version()
         if read_to == upto:
             return target.version()
-        feed = source.changes(read_to, upto, entity.columns)
+        feed = source.changes(read_to, entity.columns)
 
         def combine(old: DataFrame, changes: DataFrame) -> DataFrame:
             moved = advance(old, changes, entity.keys, entity.tracked, effective_ts, delete)
             # Closed versions never change again: they are appended, only open ones stay in buckets.
             return moved.withColumn("_append", F.when(F.col("is_current"), 0).otherwise(1))
 
-        touched = source.touched_since(read_to, upto)
+        touched = source.touched_since(read_to)
         return target.merge(feed, combine, touched, sources={"clean": upto})
 
     def refresh_fact(self, date_dim: DataFrame | None = None) -> int:
@@ -125,20 +125,20 @@ class Warehouse:
             return target.version()
         changed, touched = None, set()
         for n, key in FACT_FEEDS.items():
-            feed = sources[n].changes(read_to[n], upto[n], ENTITIES[n].columns)
+            feed = sources[n].changes(read_to[n], ENTITIES[n].columns)
             ids = feed.select(F.col(key).alias("order_id"))
             changed = ids if changed is None else changed.unionByName(ids)
-            touched |= set(sources[n].touched_since(read_to[n], upto[n]))
+            touched |= set(sources[n].touched_since(read_to[n]))
         # Read three times below, and the diffs behind it are costly: written once.
         changed = written(changed.distinct(), "changed-orders")
 
         def of_changed(n: str) -> DataFrame:
             # All three are cut by order, so the buckets that changed in one are all that is needed.
-            rows = sources[n].read(upto[n], sorted(touched), appended=False)
+            rows = sources[n].read(buckets=sorted(touched), appended=False)
             key = FACT_FEEDS[n]
             return rows.join(changed.select(F.col("order_id").alias(key)), key, "left_semi")
 
-        orders = sources["orders"].read(upto["orders"])
+        orders = sources["orders"].read()
         fresh = build_fact(
             of_changed("order_item"),
             of_changed("orders"),

@@ -16,10 +16,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from layercake.operators.merge import snapshot_diff
 
@@ -31,11 +30,17 @@ COMMIT_SCHEMA = (
 
 @dataclass(frozen=True)
 class State:
-    """A version, the version that holds each filled bucket, and the versions with appended rows."""
+    """A version of a table.
+
+    ``buckets`` maps each bucket ever written to the version that wrote it last and whether it has rows
+    since then; ``appended`` lists the versions with appended rows, ``consumed`` the version taken in of
+    each source.
+    """
 
     version: int
-    live: dict[int, int]
+    buckets: dict[int, tuple[int, bool]]
     appended: list[int]
+    consumed: dict[str, int]
 
 
 class VersionedTable:
@@ -50,7 +55,6 @@ class VersionedTable:
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys, self.bucket_by, self.buckets = list(keys), list(bucket_by or keys), buckets
-        self._log: DataFrame | None = None
         self._latest: State | None = None
 
     # -- reading -------------------------------------------------------------------------------
@@ -59,30 +63,33 @@ class VersionedTable:
         """Latest version, 0 for a table never written."""
         return self._state().version
 
+    def refresh(self) -> None:
+        """Sees what another session has written since."""
+        self._latest = None
+
     def read(self, version: int | None = None, buckets: Sequence[int] | None = None, appended: bool = True) -> DataFrame:
         """Rows of a version, optionally of some buckets only, optionally without appended rows."""
         state = self._state(version)
-        wanted = set(state.live if buckets is None else buckets)
-        paths = [f"v={v}/_append=0/_bucket={b}" for b, v in sorted(state.live.items()) if b in wanted]
-        return self._load(paths + [f"v={v}/_append=1" for v in state.appended if appended])
+        wanted = set(state.buckets if buckets is None else buckets)
+        filled = sorted((b, v) for b, (v, has_rows) in state.buckets.items() if has_rows and b in wanted)
+        return self._load(
+            [f"v={v}/_append=0/_bucket={b}" for b, v in filled] + [f"v={v}/_append=1" for v in state.appended if appended]
+        )
 
     def appended_since(self, version: int) -> DataFrame:
         """Rows appended after ``version``: the unread part of an append-only feed."""
         return self._load([f"v={v}/_append=1" for v in self._state().appended if v > version])
 
-    def touched_since(self, version: int, until: int | None = None) -> list[int]:
-        """Buckets that may differ between two versions."""
-        until = self.version() if until is None else until
-        since = self._commits().filter((F.col("version") > version) & (F.col("version") <= until))
-        return sorted(r[0] for r in since.select(F.explode("buckets")).distinct().collect())
+    def touched_since(self, version: int) -> list[int]:
+        """Buckets written after ``version``."""
+        return sorted(b for b, (v, _) in self._state().buckets.items() if v > version)
 
-    def changes(self, since: int, until: int | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-        """Net change feed between two versions over ``columns`` (default: all that do not start with
-        an underscore). Reads only the buckets written in between."""
-        until = self.version() if until is None else until
+    def changes(self, since: int, columns: Sequence[str] | None = None) -> DataFrame:
+        """Net change feed from a version to the latest over ``columns`` (default: all that do not start
+        with an underscore). Reads only the buckets written in between."""
         columns = columns or [c for c in self.schema.names if not c.startswith("_")]
-        touched = self.touched_since(since, until)
-        old, new = (self.read(v, touched, appended=False).select(*columns) for v in (since, until))
+        touched = self.touched_since(since)
+        old, new = (self.read(v, touched, appended=False).select(*columns) for v in (since, None))
         return snapshot_diff(old, new, self.keys)
 
     def buckets_of(self, rows: DataFrame) -> list[int]:
@@ -90,12 +97,12 @@ class VersionedTable:
         return sorted(r[0] for r in rows.select(self._bucket().alias("_bucket")).distinct().collect())
 
     def has_batch(self, batch_id: str) -> bool:
-        return not self._commits().filter(F.col("batch_id") == batch_id).isEmpty()
+        log = self._commits()
+        return log is not None and not log.filter(F.col("batch_id") == batch_id).isEmpty()
 
     def consumed(self, source: str) -> int:
         """Version of ``source`` this table has taken in; 0 if none."""
-        seen = self._commits().select(F.max(F.col("sources")[source]))
-        return seen.first()[0] or 0
+        return self._state().consumed.get(source, 0)
 
     # -- writing -------------------------------------------------------------------------------
 
@@ -158,10 +165,30 @@ class VersionedTable:
         written: bool = True,
     ) -> int:
         live, appended = self._written(version) if written else ([], False)
-        row: tuple[Any, ...] = (version, op, batch_id, touched, live, appended, sources or {})
-        one = self.spark.createDataFrame([row], COMMIT_SCHEMA)
-        one.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/v={version}")
-        self._log = self._latest = None
+        sources = sources or {}
+
+        def ints(values: Sequence[int]) -> Column:
+            return F.array(*map(F.lit, values)).cast("array<int>")
+
+        pairs = [F.lit(x) for pair in sources.items() for x in pair]
+        row = self.spark.range(1).select(
+            F.lit(version).cast("long").alias("version"),
+            F.lit(op).alias("op"),
+            F.lit(batch_id).cast("string").alias("batch_id"),
+            ints(touched).alias("buckets"),
+            ints(live).alias("live"),
+            F.lit(appended).alias("appended"),
+            F.create_map(*pairs).cast("map<string,long>").alias("sources"),
+        )
+        before = self._state()
+        row.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/v={version}")
+        earlier = [] if op == "overwrite" else before.appended
+        self._latest = State(
+            version,
+            before.buckets | {b: (version, b in live) for b in touched},
+            earlier + [version] * appended,
+            before.consumed | sources,
+        )
         return version
 
     def _written(self, version: int) -> tuple[list[int], bool]:
@@ -178,53 +205,57 @@ class VersionedTable:
         found = place.filter(F.col("b").isNotNull()).distinct().collect()
         return sorted(r["b"] for r in found if r["a"] == "0"), any(r["a"] == "1" for r in found)
 
-    def _commits(self) -> DataFrame:
-        if self._log is None:
-            reader = self.spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true")
-            try:
-                self._log = reader.json(f"{self.path}/commits")
-            except AnalysisException as e:
-                if e.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return self._log
+    def _commits(self) -> DataFrame | None:
+        reader = self.spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true")
+        try:
+            return reader.json(f"{self.path}/commits")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
 
     def _state(self, version: int | None = None) -> State:
-        """One small row per bucket and per append comes to the driver, however long the log."""
-        if version is None and self._latest is not None:
+        """One small row per bucket, append and source comes to the driver, however long the log."""
+        if self._latest is not None and version in (None, self._latest.version):
             return self._latest
-        log = self._commits()
-        if version is not None:
-            log = log.filter(F.col("version") <= version)
+        log = None if version == 0 else self._commits()
+        newest = [] if log is None else self._newest(log if version is None else log.filter(F.col("version") <= version))
+        by_kind = {k: [r for r in newest if r["kind"] == k] for k in ("bucket", "any", "append", "reset", "source")}
+        reset = max([r["version"] for r in by_kind["reset"]], default=0)
+        state = State(
+            max([r["version"] for r in by_kind["any"]], default=0),
+            {int(r["id"]): (r["version"], r["value"] == 1) for r in by_kind["bucket"]},
+            sorted(r["version"] for r in by_kind["append"] if r["version"] >= reset),
+            {r["id"]: r["value"] for r in by_kind["source"]},
+        )
+        if version is None:
+            self._latest = state
+        return state
+
+    @staticmethod
+    def _newest(log: DataFrame) -> list[Row]:
+        """What the commits say, reduced to the last word on each thing."""
         facts = """
             concat(
-                transform(buckets, b -> struct('bucket' AS kind, b AS id, array_contains(live, b) AS filled)),
-                array(struct('any' AS kind, 0 AS id, true AS filled)),
-                if(appended, array(struct('append' AS kind, cast(version AS int) AS id, true AS filled)), array()),
-                if(op = 'overwrite', array(struct('reset' AS kind, 0 AS id, true AS filled)), array())
+                array(struct('any' AS kind, '' AS id, 1L AS value)),
+                transform(buckets, b -> struct('bucket' AS kind, string(b) AS id, bigint(array_contains(live, b)) AS value)),
+                transform(map_entries(sources), e -> struct('source' AS kind, e.key AS id, e.value AS value)),
+                if(appended, array(struct('append' AS kind, string(version) AS id, 1L AS value)), array()),
+                if(op = 'overwrite', array(struct('reset' AS kind, '' AS id, 1L AS value)), array())
             )
         """
-        newest = (
+        return (
             log.select("version", F.expr(f"inline({facts})"))
             .groupBy("kind", "id")
-            .agg(F.max(F.struct("version", "filled")).alias("at"))
+            .agg(F.max(F.struct("version", "value")).alias("at"))
             .select("kind", "id", "at.*")
             .collect()
         )
-        by_kind = {k: [r for r in newest if r["kind"] == k] for k in ("bucket", "any", "append", "reset")}
-        reset = max([r["version"] for r in by_kind["reset"]], default=0)
-        state = State(
-            max([r["version"] for r in by_kind["any"]], default=0),
-            {r["id"]: r["version"] for r in by_kind["bucket"] if r["filled"]},
-            sorted(r["id"] for r in by_kind["append"] if r["id"] >= reset),
-        )
-        if version is None:
-            self._latest = state
-        return state
 
     def _load(self, folders: list[str]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
+            return self.spark.range(1).filter(F.lit(False)).select(*nothing)
         # Looking up files recursively leaves the folder columns out, so the schema is as declared.
         reader = self.spark.read.schema(self.schema).option("recursiveFileLookup", "true")
         return reader.parquet(*[f"{self.path}/data/{f}" for f in folders])
