@@ -1,4 +1,8 @@
-"""Text to typed value, never failing a row: what cannot be read becomes NULL."""
+"""Text to typed value, never failing a row: what cannot be read becomes NULL.
+
+Text is matched against the shape of its type before it is cast. A cast that fails raises and catches an
+exception inside Spark for every such row, ten to twenty times the cost of the match.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +11,12 @@ from pyspark.sql import Column, functions as F
 ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?)?$"
 US_MINUTE_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$"
 US_DATE_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4}$"
+WHOLE_SHAPE = r"^\s*[+-]?\d+\s*$"
+DECIMAL_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def parse_ts(text: Column) -> Column:
-    """ISO or US date with optional time. Time-only text is NULL.
-
-    Each format is tried only on text of its shape: a failed parse raises and catches an exception
-    per row, which dominates the cost of cleaning when formats are tried one after the other.
-    """
+    """ISO or US date with optional time. Time-only text is NULL."""
     t = F.trim(text)
     return (
         F.when(t.rlike(ISO_SHAPE), t.try_cast("timestamp"))
@@ -44,7 +46,11 @@ def typed(text: Column, kind: str) -> Column:
         return parse_date(text)
     if kind == "boolean":
         return parse_bool(text)
-    return text.try_cast(kind)
+    if kind == "bigint":
+        return F.when(text.rlike(WHOLE_SHAPE), text.try_cast(kind))
+    if kind.startswith("decimal"):
+        return F.when(text.rlike(DECIMAL_SHAPE), text.try_cast(kind))
+    raise ValueError(f"no such kind: {kind}")
 
 
 def strict(text: Column, kind: str) -> Column:

@@ -82,8 +82,12 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
 
 def apply_diff(old: DataFrame, diff: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``old`` with a change feed applied; the inverse of ``snapshot_diff``."""
-    kept = old.join(diff.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.unionByName(diff.filter("_action = 'INSERT'").select(*old.columns))
+    values = [c for c in old.columns if c not in keys]
+    inserted = F.when(F.col("_action") == "INSERT", F.struct(*values))
+    net = diff.groupBy(*keys).agg(F.max(inserted).alias("after"), F.lit(True).alias("touched"))
+    joined = _packed(old, keys, values, "before").join(net, list(keys), "full_outer")
+    row = F.when(F.col("touched"), F.col("after")).otherwise(F.col("before"))
+    return joined.select(*keys, row.alias("row")).filter("row IS NOT NULL").select(*keys, "row.*").select(*old.columns)
 
 
 def _side(df: DataFrame, keys: Sequence[str], values: Sequence[str], tag: str) -> DataFrame:

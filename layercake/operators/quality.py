@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from layercake.functions.parse import typed
 from layercake.operators.clean import clean_values
 from layercake.registry import MASKS, Entity
 
@@ -28,7 +29,7 @@ def max_length(column: str, n: int) -> Rule:
 
 
 def castable(column: str, kind: str) -> Rule:
-    return Rule(f"{column} not {kind}", F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull())
+    return Rule(f"{column} not {kind}", F.col(column).isNotNull() & typed(F.col(column), kind).isNull())
 
 
 def with_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

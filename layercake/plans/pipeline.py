@@ -13,11 +13,12 @@ from layercake.operators.scd2 import advance
 from layercake.plans.star import FACT_KEYS, FACT_SCHEMA, build_date_dim, build_fact
 from layercake.registry import DIMENSIONS, ENTITIES, Entity
 from layercake.session import written
-from layercake.sources.files import only_new_files, read_stage
+from layercake.sources.files import read_stage
 from layercake.sources.tables import VersionedTable
 
 # Later load first, then file time and name, so the last delivered version of a row wins.
 LOAD_ORDER = ["_copy_data_ts", "_stg_file_load_ts", "_stg_file_name"]
+FILES_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("_stg_file_name", "_stg_file_md5")])
 FACT_FEEDS = {"orders": "order_id", "order_item": "order_id_fk", "delivery": "order_id_fk"}
 
 
@@ -64,10 +65,17 @@ class Warehouse:
     ) -> int:
         """Appends the files at ``path`` to the stage table. With ``once``, files loaded before are
         left out; with ``on_error='abort'`` a row that cannot be loaded fails the load unwritten."""
-        rows = read_stage(self.spark, entity, path, load_ts, by)
-        if once:
-            rows = only_new_files(rows, self.stage(entity).read())
-        return self.append_stage(entity, rows, on_error, batch_id)
+        loaded = self.loaded_files(entity) if once else None
+        return self.append_stage(entity, read_stage(self.spark, entity, path, load_ts, by, loaded), on_error, batch_id)
+
+    def loaded_files(self, entity: Entity) -> DataFrame:
+        """Files in the stage table, one row each, kept up to date from its unread part."""
+        stage, files = self.stage(entity), self._table(f"stage/{entity.name}_files", FILES_SCHEMA)
+        read_to, upto = files.consumed("stage"), stage.version()
+        if read_to < upto:
+            new = stage.appended_since(read_to).select(*FILES_SCHEMA.names).distinct()
+            files.append(new, sources={"stage": upto})
+        return files.read()
 
     def append_stage(self, entity: Entity, rows: DataFrame, on_error: str, batch_id: str | None = None) -> int:
         if on_error not in ("continue", "abort"):

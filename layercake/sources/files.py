@@ -15,6 +15,8 @@ EXTRA_COLUMNS = 16
 # Files up to this size are hashed whole in one task, larger ones line by line across tasks.
 WHOLE_FILE_BYTES = 64 << 20
 MAX_LAYOUTS = 100
+# Up to this many files, what is known per file (some hundred bytes) is broadcast.
+BROADCAST_FILES = 100_000
 
 _FILE = "_stg_file_name"
 
@@ -46,10 +48,12 @@ def read_stage(
     path: str | list[str],
     load_ts: datetime | Column,
     by: str = "header",
+    loaded: DataFrame | None = None,
 ) -> DataFrame:
-    """Stage rows of the files at ``path``. ``by='position'`` ignores the headers."""
+    """Stage rows of the files at ``path``. ``by='position'`` ignores the headers; files in ``loaded``
+    (see ``only_new_files``) are left out."""
     raw = with_file_columns(spark.read.schema(positional_schema(entity)).options(**csv_options()).csv(path))
-    return finish_stage(spark, entity, raw, path, load_ts, by)
+    return finish_stage(spark, entity, raw, path, load_ts, by, loaded)
 
 
 def with_file_columns(raw: DataFrame) -> DataFrame:
@@ -67,13 +71,16 @@ def finish_stage(
     path: str | list[str],
     load_ts: datetime | Column,
     by: str = "header",
+    loaded: DataFrame | None = None,
 ) -> DataFrame:
     """Named columns and audit columns for a positional read of ``path``."""
     bound = bind_columns(spark, entity, raw, path, by)
     hashes = file_md5(spark, path)
+    if loaded is not None:
+        hashes = only_new_files(hashes, loaded)
     stamp = load_ts if isinstance(load_ts, Column) else F.lit(str(load_ts))
     return (
-        bound.join(hashes, _FILE, "left")
+        bound.join(_per_file(hashes, list_stage(spark, path).count()), _FILE)
         .withColumn("_copy_data_ts", stamp.cast("timestamp"))
         .select(*entity.headers, *AUDIT)
         .to(stage_schema(entity))
@@ -86,19 +93,17 @@ def bind_columns(spark: SparkSession, entity: Entity, raw: DataFrame, path: str
     if by not in ("header", "position"):
         raise ValueError(f"by must be 'header' or 'position', not {by!r}")
     by_position = list(range(len(entity.headers)))
-    layouts = {}
-    headers = None
-    if by == "header":
-        headers = header_lines(spark, entity, path)
-        # Distinct header lines, not files: a handful however many files there are.
-        found = [r[0] for r in headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
-        if len(found) > MAX_LAYOUTS:
-            raise ValueError(f"more than {MAX_LAYOUTS} different headers for {entity.name}")
-        layouts = {line: _positions(entity, line) for line in found}
-    plans = {tuple(p) for p in layouts.values()} | ({tuple(by_position)} if not layouts else set())
-    if len(plans) == 1:
-        return raw.select(*_named(entity, plans.pop()), _FILE, "_stg_file_load_ts")
-    joined = raw.join(headers, _FILE, "left")
+    if by == "position":
+        return raw.select(*_named(entity, by_position), _FILE, "_stg_file_load_ts")
+    headers = header_lines(spark, entity, path)
+    # Distinct header lines, not files: a handful however many files there are.
+    found = headers.groupBy("header").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LAYOUTS + 1).collect()
+    if len(found) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} different headers for {entity.name}")
+    layouts = {r["header"]: _positions(entity, r["header"]) for r in found}
+    if not any(p != by_position for p in layouts.values()):
+        return raw.select(*_named(entity, by_position), _FILE, "_stg_file_load_ts")
+    joined = raw.join(_per_file(headers, sum(r["n"] for r in found)), _FILE, "left")
     columns = []
     for i, name in enumerate(entity.headers):
         value = F.col(f"_{i}")
@@ -148,9 +153,15 @@ def list_stage(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return files.select("path", "length", F.col("modificationTime").alias("modification_time"))
 
 
-def only_new_files(stage: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Rows of files whose name and content are not in ``loaded`` yet."""
-    return stage.join(loaded.select(_FILE, "_stg_file_md5").distinct(), [_FILE, "_stg_file_md5"], "left_anti")
+def only_new_files(files: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Files (name and content hash) not in ``loaded`` yet."""
+    return files.join(loaded.select(_FILE, "_stg_file_md5"), [_FILE, "_stg_file_md5"], "left_anti")
+
+
+def _per_file(files: DataFrame, n: int) -> DataFrame:
+    """One row per file, to be joined to the rows. Broadcast while there are few, so that the rows of a
+    large file stay where they are read."""
+    return F.broadcast(files) if n <= BROADCAST_FILES else files
 
 
 def _positions(entity: Entity, header_line: str) -> list[int]:
@@ -161,5 +172,5 @@ def _positions(entity: Entity, header_line: str) -> list[int]:
     return list(range(len(entity.headers)))
 
 
-def _named(entity: Entity, positions: tuple[int, ...]) -> list[Column]:
+def _named(entity: Entity, positions: list[int]) -> list[Column]:
     return [F.col(f"_{p}").alias(h) for h, p in zip(entity.headers, positions)]

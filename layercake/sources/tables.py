@@ -168,7 +168,9 @@ class VersionedTable:
         sources = sources or {}
 
         def ints(values: Sequence[int]) -> Column:
-            return F.array(*map(F.lit, values)).cast("array<int>")
+            # As one text literal: a table may have thousands of buckets.
+            joined = F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+            return joined if values else F.array().cast("array<int>")
 
         pairs = [F.lit(x) for pair in sources.items() for x in pair]
         row = self.spark.range(1).select(
