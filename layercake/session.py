@@ -18,7 +18,9 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "layercake", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def build_session(
+    app: str = "layercake", cores: int | str = "*", shuffle_partitions: int = 8, settings: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster pass SETTINGS to spark-submit."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -27,7 +29,7 @@ def build_session(app: str = "layercake", cores: int | str = "*", shuffle_partit
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | (settings or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
