@@ -11,21 +11,28 @@ SEPARATOR = "\u001f"
 NULL_MARK = "\u001e"
 
 
-def row_hash(cols: Sequence[str | Column]) -> Column:
-    """sha1 over all columns. NULL differs from empty text, and 'a','bc' from 'ab','c'."""
-    parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_MARK)) for c in cols]
-    return F.sha1(F.concat_ws(SEPARATOR, *parts))
+def row_hash(values: Sequence[str]) -> Column:
+    """sha1 over values given as SQL, such as column names. NULL differs from empty text, and 'a','bc'
+    from 'ab','c'."""
+    return F.expr(row_hash_sql(values))
+
+
+def row_hash_sql(values: Sequence[str]) -> str:
+    parts = ", ".join(f"coalesce(CAST({v} AS string), '{NULL_MARK}')" for v in values)
+    return f"sha1(concat_ws('{SEPARATOR}', {parts}))"
+
+
+def quoted(names: Sequence[str]) -> list[str]:
+    """Column names as SQL."""
+    return [f"`{n}`" for n in names]
 
 
 def surrogate_key(keys: Sequence[str]) -> Column:
     """Key of a row from its business key. A dense running number would need one global sort."""
-    return row_hash(keys)
+    return row_hash(quoted(keys))
 
 
 def compact_key(hex_hash: Column) -> Column:
     """First 60 bits of a hex hash as a long. For small tables: collisions get likely near 10^9 rows."""
     return F.conv(F.substring(hex_hash, 1, 15), 16, 10).cast("long")
 
-
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -1,77 +1,80 @@
 """Text to typed value, never failing a row: what cannot be read becomes NULL.
 
-Text is matched against the shape of its type before it is cast. A cast that fails raises and catches an
-exception inside Spark for every such row, ten to twenty times the cost of the match.
+All functions take the text as SQL (mostly a column name). Text is matched against the shape of its type
+before it is cast: a cast that fails raises and catches an exception inside Spark for every such row,
+ten to twenty times the cost of the match.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?)?$"
-US_MINUTE_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$"
-US_DATE_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4}$"
-WHOLE_SHAPE = r"^\s*[+-]?\d+\s*$"
-DECIMAL_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Accepted shapes, written without backslashes, which SQL text would need escaped.
+ISO_SHAPE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,9})?)?$"
+US_MINUTE_SHAPE = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{2}$"
+US_DATE_SHAPE = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+WHOLE_SHAPE = "^ *[+-]?[0-9]+ *$"
+DECIMAL_SHAPE = "^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
 
 
-def parse_ts(text: Column) -> Column:
-    """ISO or US date with optional time. Time-only text is NULL."""
-    t = F.trim(text)
-    return (
-        F.when(t.rlike(ISO_SHAPE), t.try_cast("timestamp"))
-        .when(t.rlike(US_MINUTE_SHAPE), F.try_to_timestamp(t, F.lit("M/d/yyyy H:mm")))
-        .when(t.rlike(US_DATE_SHAPE), F.try_to_timestamp(t, F.lit("M/d/yyyy")))
-    )
-
-
-def parse_date(text: Column) -> Column:
-    return F.to_date(parse_ts(text))
-
-
-def parse_bool(text: Column) -> Column:
-    t = F.lower(F.trim(text))
-    return F.when(t == "true", F.lit(True)).when(t == "false", F.lit(False))
-
-
-def typed(text: Column, kind: str) -> Column:
-    """Lenient cast of raw text to ``kind`` (a Spark type name, or ``text`` for trimmed strings)."""
+def typed_sql(text: str, kind: str) -> str:
+    """SQL for the lenient cast of raw text to ``kind``: a Spark type name, or ``text`` for trimmed
+    strings. Timestamps and dates may be ISO or US, with or without time; time-only text is NULL."""
     if kind == "string":
         return text
     if kind == "text":
-        return F.trim(text)
+        return f"trim({text})"
     if kind == "timestamp":
-        return parse_ts(text)
+        t = f"trim({text})"
+        return f"""CASE WHEN {t} RLIKE '{ISO_SHAPE}' THEN try_cast({t} AS timestamp)
+            WHEN {t} RLIKE '{US_MINUTE_SHAPE}' THEN try_to_timestamp({t}, 'M/d/yyyy H:mm')
+            WHEN {t} RLIKE '{US_DATE_SHAPE}' THEN try_to_timestamp({t}, 'M/d/yyyy') END"""
     if kind == "date":
-        return parse_date(text)
+        return f"to_date({typed_sql(text, 'timestamp')})"
     if kind == "boolean":
-        return parse_bool(text)
+        return f"CASE lower(trim({text})) WHEN 'true' THEN true WHEN 'false' THEN false END"
     if kind == "bigint":
-        return F.when(text.rlike(WHOLE_SHAPE), text.try_cast(kind))
+        return f"CASE WHEN {text} RLIKE '{WHOLE_SHAPE}' THEN try_cast({text} AS bigint) END"
     if kind.startswith("decimal"):
-        return F.when(text.rlike(DECIMAL_SHAPE), text.try_cast(kind))
+        return f"CASE WHEN {text} RLIKE '{DECIMAL_SHAPE}' THEN try_cast({text} AS {kind}) END"
     raise ValueError(f"no such kind: {kind}")
 
 
-def strict(text: Column, kind: str) -> Column:
+def typed(text: str, kind: str) -> Column:
+    return F.expr(typed_sql(text, kind))
+
+
+def strict(text: str, kind: str) -> Column:
     """As ``typed``, but text that cannot be read fails the query."""
-    value = typed(text, kind)
-    complaint = F.concat(F.lit(f"not a {kind}: "), text)
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(complaint).cast(spark_type(kind))).otherwise(value)
+    value = typed_sql(text, kind)
+    failed = f"CAST(raise_error(concat('not a {kind}: ', {text})) AS {spark_type(kind)})"
+    return F.expr(f"CASE WHEN {text} IS NOT NULL AND ({value}) IS NULL THEN {failed} ELSE {value} END")
+
+
+def parse_ts(text: str) -> Column:
+    return typed(text, "timestamp")
+
+
+def parse_date(text: str) -> Column:
+    return typed(text, "date")
+
+
+def parse_bool(text: str) -> Column:
+    return typed(text, "boolean")
 
 
 def spark_type(kind: str) -> str:
     return "string" if kind == "text" else kind
 
 
-def name_part(name: Column, n: int) -> Column:
+def name_part(name: str, n: int) -> Column:
     """The n-th blank-separated word; an empty string past the end."""
-    return F.split_part(name, F.lit(" "), F.lit(n))
+    return F.expr(f"split_part({name}, ' ', {n})")
 
 
-def json_field(text: Column, schema: str, field: str) -> Column:
-    return F.from_json(text, schema)[field]
+def json_field(text: str, schema: str, field: str) -> Column:
+    return F.expr(f"from_json({text}, '{schema}').{field}")
 
 
-def month_label(month: Column) -> Column:
-    return F.date_format(F.make_date(F.lit(2000), month.cast("int"), F.lit(1)), "MMM")
+def month_label(month: str) -> Column:
+    return F.expr(f"date_format(make_date(2000, CAST({month} AS int), 1), 'MMM')")

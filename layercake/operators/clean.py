@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -47,22 +48,22 @@ def clean_values(
     if on_error not in ("continue", "abort"):
         raise ValueError(f"on_error must be 'continue' or 'abort', not {on_error!r}")
     read = strict if on_error == "abort" else typed
-    values = {c.name: read(F.col(c.source), c.kind) for c in entity.cols if c.source}
+    values = {c.name: read(c.source, c.kind) for c in entity.cols if c.source}
     if entity.name == "location":
         values |= _location_values(state_codes, city_tiers)
     if entity.name == "customer":
         values |= {
-            "first_name": name_part(F.col("name"), 1),
-            "last_name": name_part(F.col("name"), 2),
-            "preferences": json_field(F.col("preferences"), PREFERENCES_JSON, "FoodPreference"),
-            "cuisine_types": F.array_join(json_field(F.col("preferences"), PREFERENCES_JSON, "CuisineTypes"), ", "),
+            "first_name": name_part("name", 1),
+            "last_name": name_part("name", 2),
+            "preferences": json_field("preferences", PREFERENCES_JSON, "FoodPreference"),
+            "cuisine_types": F.array_join(json_field("preferences", PREFERENCES_JSON, "CuisineTypes"), ", "),
         }
     return values
 
 
 def lookup(value: Column, mapping: Mapping[str, str], default: str | None = None) -> Column:
     """Value of ``mapping``, a small table known to the driver, as part of the projection."""
-    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    table = F.from_json(F.lit(json.dumps(dict(mapping))), "map<string,string>")
     return F.coalesce(table[value], F.lit(default).cast("string"))
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -39,19 +38,20 @@ def upsert(
     update = values if update is None else update
     joined = _side(target, keys, values, "t").join(_side(source, keys, values, "s"), list(keys), "full_outer")
 
-    def new(c: str) -> Column:
-        return F.coalesce(F.col(f"s_{c}"), F.col(f"t_{c}")) if c in keep_if_null else F.col(f"s_{c}")
 
-    is_new = F.col("in_s").isNotNull() & F.col("in_t").isNull()
-    changed = F.col("in_s").isNotNull() & F.col("in_t").isNotNull() & _any_differs(
-        [(F.col(f"t_{c}"), new(c)) for c in compare]
-    )
-    joined = joined.withColumn("is_new", is_new).withColumn("is_changed", changed)
-    out = []
-    for c in values:
-        written = F.col("is_new") | F.col("is_changed") if c in update else F.col("is_new")
-        out.append(F.when(written, new(c)).otherwise(F.col(f"t_{c}")).alias(c))
-    return joined.select(*keys, *out).select(*target.columns)
+    def new(c: str) -> str:
+        return f"coalesce(`s_{c}`, `t_{c}`)" if c in keep_if_null else f"`s_{c}`"
+
+    differs = " OR ".join([f"NOT (`t_{c}` <=> {new(c)})" for c in compare]) or "false"
+    flags = {
+        "is_new": F.expr("in_s IS NOT NULL AND in_t IS NULL"),
+        "is_changed": F.expr(f"in_s IS NOT NULL AND in_t IS NOT NULL AND ({differs})"),
+    }
+    out = {
+        c: f"CASE WHEN is_new{' OR is_changed' if c in update else ''} THEN {new(c)} ELSE `t_{c}` END AS `{c}`"
+        for c in values
+    }
+    return joined.withColumns(flags).selectExpr(*[out.get(c, f"`{c}`") for c in target.columns])
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
@@ -91,7 +91,7 @@ def apply_diff(old: DataFrame, diff: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def _side(df: DataFrame, keys: Sequence[str], values: Sequence[str], tag: str) -> DataFrame:
-    return df.select(*keys, *[F.col(c).alias(f"{tag}_{c}") for c in values], F.lit(True).alias(f"in_{tag}"))
+    return df.selectExpr(*[f"`{k}`" for k in keys], *[f"`{c}` AS `{tag}_{c}`" for c in values], f"true AS in_{tag}")
 
 
 def _packed(df: DataFrame, keys: Sequence[str], values: Sequence[str], name: str) -> DataFrame:
@@ -102,6 +102,3 @@ def _packed(df: DataFrame, keys: Sequence[str], values: Sequence[str], name: str
     """
     return df.select(*keys, F.struct(*values).alias(name))
 
-
-def _any_differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
-    return reduce(lambda a, b: a | b, [~a.eqNullSafe(b) for a, b in pairs], F.lit(False))

@@ -29,15 +29,13 @@ def max_length(column: str, n: int) -> Rule:
 
 
 def castable(column: str, kind: str) -> Rule:
-    return Rule(f"{column} not {kind}", F.col(column).isNotNull() & typed(F.col(column), kind).isNull())
+    return Rule(f"{column} not {kind}", F.col(column).isNotNull() & typed(column, kind).isNull())
 
 
 def with_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Adds ``_reasons``, the reasons of the rules a row breaks; empty for a good row."""
-    return df.withColumn(
-        "_reasons",
-        F.array_compact(F.array(*[F.when(r.broken, F.lit(r.reason)) for r in rules], F.lit(None).cast("string"))),
-    )
+    found = [F.when(r.broken, F.lit(r.reason)) for r in rules]
+    return df.withColumn("_reasons", F.array_compact(F.array(*found, F.lit(None).cast("string"))))
 
 
 def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from layercake.functions.hashing import row_hash
+from layercake.functions.hashing import quoted, row_hash, row_hash_sql
 from layercake.operators.skew import split_hot
 
 META = ["hk", "attr_hash", "eff_start", "eff_end", "is_current"]
@@ -19,9 +19,14 @@ META = ["hk", "attr_hash", "eff_start", "eff_end", "is_current"]
 
 def open_dimension(rows: DataFrame, keys: Sequence[str], tracked: Sequence[str], effective_ts: datetime | Column) -> DataFrame:
     """First load: one open version per row."""
-    start, none = _ts(effective_ts), F.lit(None).cast("timestamp")
-    meta = _meta(row_hash([*keys, *tracked, start]), row_hash(tracked), start, none, True)
-    return rows.select(*keys, *tracked, *meta)
+    return rows.select(*keys, *tracked, _ts(effective_ts).alias("eff_start")).selectExpr(
+        *quoted([*keys, *tracked]),
+        f"{row_hash_sql(quoted([*keys, *tracked, 'eff_start']))} AS hk",
+        f"{row_hash_sql(quoted(tracked))} AS attr_hash",
+        "eff_start",
+        "CAST(NULL AS timestamp) AS eff_end",
+        "true AS is_current",
+    )
 
 
 def scd2_apply(
@@ -53,30 +58,26 @@ def advance(
     whose tracked columns equal the open version changes nothing. Real deletes close the open version
     with ``delete='close'``. One shuffle per side, on the key; keys are unique on both sides.
     """
-    start = _ts(effective_ts)
-    open_row = F.struct(*tracked, *META).alias("cur")
-    joined = current.select(*keys, open_row).join(
-        _one_per_key(changes, keys, tracked, delete), list(keys), "full_outer"
-    )
-    cur, new = F.col("cur"), F.col("new")
-    none = F.lit(None).cast("timestamp")
-    fresh_hk = row_hash([*keys, *[new[c] for c in tracked], start])
-    opened = F.struct(
-        *[new[c].alias(c) for c in tracked], *_meta(fresh_hk, F.col("new_hash"), start, none, True)
-    )
-    closed = F.struct(
-        *[cur[c].alias(c) for c in tracked], *_meta(cur["hk"], cur["attr_hash"], cur["eff_start"], start, False)
-    )
-    versions = (
-        F.when(new.isNull(), F.array(cur))
-        .when(cur.isNull(), F.array(opened))
-        .when(F.col("gone"), F.array(closed))
-        .when(cur["attr_hash"] == F.col("new_hash"), F.array(cur))
-        .otherwise(F.array(closed, opened))
-    )
-    useless = cur.isNull() & F.col("gone")
-    out = joined.filter(~F.coalesce(useless, F.lit(False))).select(*keys, F.inline(versions))
-    return out.select(*keys, *tracked, *META)
+    cur = current.select(*keys, F.struct(*tracked, *META).alias("cur"))
+    joined = cur.join(_one_per_key(changes, keys, tracked, delete), list(keys), "full_outer")
+
+    def version(row: str, hk: str, attr_hash: str, start: str, end: str, is_current: str) -> str:
+        fields = [f"'{c}', {row}.`{c}`" for c in tracked]
+        fields += [f"'{n}', {v}" for n, v in zip(META, (hk, attr_hash, start, end, is_current))]
+        return f"named_struct({', '.join(fields)})"
+
+    fresh_hk = row_hash_sql([*quoted(keys), *[f"new.`{c}`" for c in tracked], "at"])
+    opened = version("new", fresh_hk, "new_hash", "at", "CAST(NULL AS timestamp)", "true")
+    closed = version("cur", "cur.hk", "cur.attr_hash", "cur.eff_start", "at", "false")
+    versions = f"""
+        CASE WHEN new IS NULL THEN array(cur)
+             WHEN cur IS NULL THEN array({opened})
+             WHEN gone THEN array({closed})
+             WHEN cur.attr_hash = new_hash THEN array(cur)
+             ELSE array({closed}, {opened}) END
+    """
+    known = joined.filter("cur IS NOT NULL OR NOT gone").withColumn("at", _ts(effective_ts))
+    return known.selectExpr(*quoted(keys), f"inline({versions})")
 
 
 def scd2_from_log(
@@ -99,13 +100,18 @@ def scd2_from_log(
     rows = (
         log.dropna(subset=[*keys, ts])
         .select(*dict.fromkeys([*keys, *tracked, ts, *tiebreak]))
-        .withColumn("attr_hash", row_hash(tracked))
+        .withColumn("attr_hash", row_hash(quoted(tracked)))
     )
     hot, cold = split_hot(rows, keys, hot_rows)
     found = _changes(cold, keys, ts, order).unionByName(_changes_in_pieces(hot, keys, ts, order, hot_unit))
-    hk = row_hash([*keys, *tracked, ts])
-    meta = _meta(hk, F.col("attr_hash"), F.col(ts).cast("timestamp"), F.col("_end").cast("timestamp"), True)
-    return found.select(*keys, *tracked, *meta).withColumn("is_current", F.col("eff_end").isNull())
+    return found.selectExpr(
+        *quoted([*keys, *tracked]),
+        f"{row_hash_sql(quoted([*keys, *tracked, ts]))} AS hk",
+        "attr_hash",
+        f"CAST(`{ts}` AS timestamp) AS eff_start",
+        "CAST(_end AS timestamp) AS eff_end",
+        "_end IS NULL AS is_current",
+    )
 
 
 def current(dim: DataFrame) -> DataFrame:
@@ -176,14 +182,10 @@ def _one_per_key(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str]
         gone = (F.col("_action") == "DELETE") & ~F.col("_is_update")
         changes = changes.filter(inserted | gone if delete == "close" else inserted)
     return changes.select(
-        *keys, F.struct(*tracked).alias("new"), row_hash(tracked).alias("new_hash"), gone.alias("gone")
+        *keys, F.struct(*tracked).alias("new"), row_hash(quoted(tracked)).alias("new_hash"), gone.alias("gone")
     )
 
 
-def _meta(hk: Column, attr_hash: Column, start: Column, end: Column, is_current: bool) -> list[Column]:
-    return [c.alias(n) for c, n in zip((hk, attr_hash, start, end, F.lit(is_current)), META)]
-
-
 def _ts(value: datetime | Column) -> Column:
     """A naive datetime is read in the session's time zone, like any timestamp text."""
     return (value if isinstance(value, Column) else F.lit(str(value))).cast("timestamp")

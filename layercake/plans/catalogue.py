@@ -19,6 +19,7 @@ from layercake.operators.merge import apply_diff, delete_where, latest_per_key,
 from layercake.plans import dashboard, kpis, retail
 from layercake.plans.pipeline import Warehouse
 from layercake.plans.star import FACT_KEYS, build_date_dim, build_fact
+from layercake.plans.views import register
 from layercake.registry import AUDIT, DIMENSIONS, ENTITIES
 from layercake.session import shared_dir, written
 from layercake.sources.files import csv_options, list_stage, read_stage
@@ -315,42 +316,46 @@ def parse_dates(spark: SparkSession, folder: str) -> DataFrame:
         "wrong_order": F.date_format(at, "d.M.yyyy"),
         "no_such_day": F.concat(F.date_format(at, "yyyy"), F.lit("-02-30")),
     }
-    parsed = [parse_ts(text).alias(name) for name, text in forms.items()]
-    orders = retail.table(spark, folder, "orders")
-    return orders.select("o_orderkey", *parsed, parse_date(forms["us_minute"]).alias("as_date"))
+    written_out = retail.table(spark, folder, "orders").select("o_orderkey", *[t.alias(n) for n, t in forms.items()])
+    return written_out.select("o_orderkey", *[parse_ts(n).alias(n) for n in forms], parse_date("us_minute").alias("as_date"))
 
 
 def lenient_casts(spark: SparkSession, folder: str) -> DataFrame:
-    price = retail.money("l_extendedprice").cast("string")
-    return retail.table(spark, folder, "lineitem").select(
+    lines = retail.table(spark, folder, "lineitem").withColumns(
+        {
+            "price_text": retail.money("l_extendedprice").cast("string"),
+            "flag_text": F.when(F.col("l_linestatus") == "O", "TRUE").when(F.col("l_returnflag") == "R", "False").otherwise("?"),
+            "wide_status": F.concat(F.lit("  "), F.col("l_linestatus"), F.lit(" ")),
+        }
+    )
+    return lines.select(
         "l_orderkey",
         "l_linenumber",
-        typed(F.col("l_partkey").cast("string"), "bigint").alias("whole"),
-        typed(price, "bigint").alias("fraction_as_whole"),
-        typed(price, "decimal(10,2)").alias("price"),
-        typed(price, "decimal(6,2)").alias("small_price"),
-        typed(F.col("l_returnflag"), "bigint").alias("letter"),
-        typed(F.concat(F.lit("  "), F.col("l_linestatus"), F.lit(" ")), "text").alias("trimmed"),
-        parse_bool(F.when(F.col("l_linestatus") == "O", "TRUE").when(F.col("l_returnflag") == "R", "False").otherwise("?")).alias("flag"),
+        typed("string(l_partkey)", "bigint").alias("whole"),
+        typed("price_text", "bigint").alias("fraction_as_whole"),
+        typed("price_text", "decimal(10,2)").alias("price"),
+        typed("price_text", "decimal(6,2)").alias("small_price"),
+        typed("l_returnflag", "bigint").alias("letter"),
+        typed("wide_status", "text").alias("trimmed"),
+        parse_bool("flag_text").alias("flag"),
     )
 
 
 def json_props(spark: SparkSession, folder: str) -> DataFrame:
     props = F.when(F.col("event_type") == "error", F.lit("{broken")).otherwise(F.col("props"))
-    return retail.table(spark, folder, "events").select("event_id", json_field(props, "k bigint", "k").alias("k"))
+    events = retail.table(spark, folder, "events").withColumn("props", props)
+    return events.select("event_id", json_field("props", "k bigint", "k").alias("k"))
 
 
 def split_names(spark: SparkSession, folder: str) -> DataFrame:
     return retail.table(spark, folder, "part").select(
-        "p_partkey", *[name_part(F.col("p_name"), n).alias(f"word{n}") for n in (1, 2, 3)]
+        "p_partkey", *[name_part("p_name", n).alias(f"word{n}") for n in (1, 2, 3)]
     )
 
 
 def month_names(spark: SparkSession, folder: str) -> DataFrame:
-    month = F.month("o_orderdate")
-    return retail.table(spark, folder, "orders").groupBy(month.alias("month")).agg(
-        F.first(month_label(month)).alias("label"), F.count(F.lit(1)).alias("orders")
-    )
+    counted = retail.table(spark, folder, "orders").groupBy(F.month("o_orderdate").alias("month")).agg(F.count(F.lit(1)).alias("orders"))
+    return counted.select("month", month_label("month").alias("label"), "orders")
 
 
 def hash_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -463,6 +468,13 @@ def star_kpi_by_category(spark: SparkSession, folder: str) -> DataFrame:
     return kpis.kpi_by_category(star_fact(spark, folder), _dimension(spark, folder, "menu"))
 
 
+def star_views(spark: SparkSession, folder: str) -> DataFrame:
+    """The marts by name, from SQL."""
+    dims = {n: _dimension(spark, folder, n) for n in DIMENSIONS}
+    register(written(star_fact(spark, folder), "star-fact"), star_date_dim(spark, folder), dims)
+    return spark.sql("SELECT year, month, total_revenue, total_orders FROM vw_monthly_revenue_kpis WHERE total_orders > 1")
+
+
 def star_fact_merge(spark: SparkSession, folder: str) -> DataFrame:
     """The fact merged into an earlier state of itself, in which nothing was delivered yet."""
     fact = star_fact(spark, folder)
@@ -545,6 +557,17 @@ def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stage_delete(spark: SparkSession, folder: str) -> DataFrame:
+    """Stage rows deleted by pattern; the clean table keeps them, and nothing is read twice."""
+    menu = ENTITIES["menu"]
+    warehouse = Warehouse(spark, shared_dir(spark, "stage-delete"), buckets=4)
+    warehouse.append_stage(menu, retail.stage_rows(spark, folder, menu), "continue")
+    warehouse.delete_stage(menu, F.col("category").like("%ECONOMY%"))
+    warehouse.refresh_clean(menu)
+    staged = warehouse.stage(menu).read().select(F.lit("stage").alias("layer"), F.col("menuid").try_cast("bigint").alias("menu_id"))
+    return staged.unionByName(warehouse.clean(menu).read().select(F.lit("clean").alias("layer"), "menu_id"))
+
+
 def load_once(spark: SparkSession, folder: str) -> DataFrame:
     """The same files loaded twice count once."""
     landing = _land(_stage_text(spark, folder, "orders"), shared_dir(spark, "once"))
@@ -608,8 +631,8 @@ QUERIES: dict[str, Query] = {
         parse_dates, lenient_casts, json_props, split_names, month_names, hash_keys,
         quality_bad_rows, quality_good_rows, unique_check, fk_check, masked_customers, masked_restaurants,
         star_date_dim, star_fact, star_kpi_yearly, star_kpi_by_restaurant, star_kpi_by_city, star_kpi_by_category,
-        star_fact_merge, star_fact_incremental,
-        csv_roundtrip, csv_header_binding, csv_quarantine, load_once, list_files, stream_ingest, stream_to_scd2,
+        star_views, star_fact_merge, star_fact_incremental,
+        csv_roundtrip, csv_header_binding, csv_quarantine, stage_delete, load_once, list_files, stream_ingest, stream_to_scd2,
         feed_reset,
     ]
 }

@@ -68,4 +68,4 @@ def latest_period(kpi_monthly: DataFrame) -> DataFrame:
 def month_labels(kpi_monthly: DataFrame, year: int) -> DataFrame:
     """Short month names in calendar order."""
     found = kpi_monthly.filter(F.col("year") == F.lit(year)).select("month").distinct()
-    return found.select("month", month_label(F.col("month")).alias("label")).orderBy("month")
+    return found.select("month", month_label("month").alias("label")).orderBy("month")

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from layercake.operators.clean import clean, clean_schema, dimension_schema, stage_schema
-from layercake.operators.merge import latest_per_key, upsert
+from layercake.operators.merge import delete_where, latest_per_key, upsert
 from layercake.operators.quality import split_stage
 from layercake.operators.scd2 import advance
 from layercake.plans.star import FACT_KEYS, FACT_SCHEMA, build_date_dim, build_fact
+from layercake.plans.views import register
 from layercake.registry import DIMENSIONS, ENTITIES, Entity
 from layercake.session import written
 from layercake.sources.files import read_stage
@@ -37,6 +38,9 @@ class Warehouse:
     def stage(self, entity: Entity) -> VersionedTable:
         return self._table(f"stage/{entity.name}", stage_schema(entity))
 
+    def files(self, entity: Entity) -> VersionedTable:
+        return self._table(f"stage/{entity.name}_files", FILES_SCHEMA)
+
     def quarantine(self, entity: Entity) -> VersionedTable:
         schema = stage_schema(entity).add("_reasons", T.ArrayType(T.StringType()))
         return self._table(f"quarantine/{entity.name}", schema)
@@ -68,9 +72,20 @@ class Warehouse:
         loaded = self.loaded_files(entity) if once else None
         return self.append_stage(entity, read_stage(self.spark, entity, path, load_ts, by, loaded), on_error, batch_id)
 
+    def delete_stage(self, entity: Entity, condition: Column) -> int:
+        """Deletes stage rows, such as those of a malformed file. What was unread is taken in first, so
+        the deletion takes nothing away from the clean table."""
+        stage, readers = self.stage(entity), [self.clean(entity), self.quarantine(entity), self.files(entity)]
+        self.refresh_clean(entity)
+        self.loaded_files(entity)
+        version = stage.overwrite(delete_where(stage.read(), condition).withColumn("_append", F.lit(1)))
+        for table in readers:
+            table.mark_consumed({"stage": version})
+        return version
+
     def loaded_files(self, entity: Entity) -> DataFrame:
         """Files in the stage table, one row each, kept up to date from its unread part."""
-        stage, files = self.stage(entity), self._table(f"stage/{entity.name}_files", FILES_SCHEMA)
+        stage, files = self.stage(entity), self.files(entity)
         read_to, upto = files.consumed("stage"), stage.version()
         if read_to < upto:
             new = stage.appended_since(read_to).select(*FILES_SCHEMA.names).distinct()
@@ -168,6 +183,12 @@ class Warehouse:
             self.run_increment(entity, effective_ts)
         self.refresh_fact()
 
+    def register_views(self, until: date | None = None) -> list[str]:
+        """The consumption layer as temporary views for SQL: see ``views.register``."""
+        orders = self.clean(ENTITIES["orders"]).read()
+        dims = {n: self.dim(ENTITIES[n]).read() for n in DIMENSIONS}
+        return register(self.fact().read(), build_date_dim(orders, "order_date", until), dims)
+
     def reset_feed(self, entity: Entity) -> None:
         """The next refreshes start from now: what is unread stays unread for good."""
         self.clean(entity).mark_consumed({"stage": self.stage(entity).version()})

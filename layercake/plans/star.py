@@ -52,7 +52,7 @@ def build_date_dim(orders: DataFrame, order_date: str, until: date | Column | No
         bounds.filter(forward)
         .select(F.explode(F.sequence("start", last)).alias("calendar_date"))
         .select(
-            date_key(day).alias("date_dim_hk"),
+            date_key("calendar_date").alias("date_dim_hk"),
             day,
             F.year(day).alias("year"),
             F.quarter(day).alias("quarter"),
@@ -66,7 +66,7 @@ def build_date_dim(orders: DataFrame, order_date: str, until: date | Column | No
     )
 
 
-def date_key(day: Column) -> Column:
+def date_key(day: str) -> Column:
     return row_hash([day])
 
 

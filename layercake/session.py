@@ -15,6 +15,8 @@ SETTINGS = {
     # Split a skewed join side even where the split costs one more shuffle later on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Building a plan asks the JVM several things per column; noting each call's origin doubles that.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -39,7 +41,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
     Only a local session may fall back to a folder of this machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: no shared folder to write to")

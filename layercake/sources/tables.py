@@ -133,7 +133,7 @@ class VersionedTable:
         return self._replace("merge", out, list(touched), batch_id, sources)
 
     def overwrite(self, rows: DataFrame, batch_id: str | None = None, sources: dict[str, int] | None = None) -> int:
-        """Replaces all rows."""
+        """Replaces all rows. Rows with 1 in an ``_append`` column become appended rows."""
         return self._replace("overwrite", rows, list(range(self.buckets)), batch_id, sources)
 
     def truncate(self) -> int:
@@ -263,4 +263,6 @@ class VersionedTable:
         return reader.parquet(*[f"{self.path}/data/{f}" for f in folders])
 
     def _bucket(self) -> Column:
+        if not self.bucket_by:
+            return F.lit(0)
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")

@@ -578,6 +578,10 @@ STARS = {
         STAR_TEXT, "CASE WHEN delivery_status = 'Processing' THEN 'Pending' ELSE delivery_status END"
     ),
     "star_kpi_yearly": mart({"year": Y}, "status = 'Delivered'", STAR_FACT),
+    "star_views": f"""
+        SELECT year, month, total_revenue, total_orders
+        FROM ({mart({"year": Y, "month": M}, "status = 'Delivered'", STAR_FACT)}) WHERE total_orders > 1
+    """,
     "star_kpi_by_restaurant": mart(
         {"year": Y, "month": M, "delivery_status": "status", "restaurant_name": "s_name"},
         fact=STAR_FACT,
@@ -603,6 +607,10 @@ FILES = {
                            WHEN 'PROMO' THEN 'item_name missing or unreadable' ELSE '' END AS reasons
         FROM part
     """,
+    "stage_delete": """
+        SELECT 'stage' AS layer, p_partkey AS menu_id FROM part WHERE p_type NOT LIKE '%ECONOMY%'
+        UNION ALL SELECT 'clean', p_partkey FROM part
+    """,
     "load_once": f"SELECT {STATUS} AS status, count(*) AS orders FROM orders GROUP BY 1",
     "stream_ingest": clean_plain("orders"),
     "stream_to_scd2": f"""

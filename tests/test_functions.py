@@ -28,7 +28,7 @@ from layercake.functions.parse import month_label, name_part, parse_bool, parse_
 )
 def test_parse_ts(spark, text, expected):
     df = spark.createDataFrame([(text,)], "t string")
-    assert df.select(parse_ts(F.col("t"))).first()[0] == expected
+    assert df.select(parse_ts("t")).first()[0] == expected
 
 
 @pytest.mark.parametrize(
@@ -52,19 +52,19 @@ def test_parse_ts(spark, text, expected):
 )
 def test_typed(spark, text, kind, expected):
     df = spark.createDataFrame([(text,)], "t string")
-    assert df.select(typed(F.col("t"), kind).cast("string")).first()[0] == expected
+    assert df.select(typed("t", kind).cast("string")).first()[0] == expected
 
 
 def test_strict_fails_on_bad_text_only(spark):
     df = spark.createDataFrame([("1",), (None,)], "t string")
-    assert rows(df.select(strict(F.col("t"), "bigint"))) == [(1,), (None,)]
+    assert rows(df.select(strict("t", "bigint"))) == [(1,), (None,)]
     with pytest.raises(Exception, match="not a bigint: x"):
-        spark.createDataFrame([("x",)], "t string").select(strict(F.col("t"), "bigint")).collect()
+        spark.createDataFrame([("x",)], "t string").select(strict("t", "bigint")).collect()
 
 
 def test_names_flags_and_months(spark):
     df = spark.createDataFrame([("Ada King Love", 3), ("Ada", 12)], "n string, m int")
-    found = df.select(name_part(F.col("n"), 1), name_part(F.col("n"), 2), month_label(F.col("m")), parse_bool(F.col("n")))
+    found = df.select(name_part("n", 1), name_part("n", 2), month_label("m"), parse_bool("n"))
     assert rows(found) == [("Ada", "", "Dec", None), ("Ada", "King", "Mar", None)]
 
 

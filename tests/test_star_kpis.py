@@ -70,7 +70,7 @@ def test_rollup_gives_the_same_numbers(fact, days):
 
 
 def test_keyed_and_dated_facts_agree(fact, days):
-    keyed = fact.withColumn("order_date_dim_key", date_key(F.col("order_date"))).drop("order_date")
+    keyed = fact.withColumn("order_date_dim_key", date_key("order_date")).drop("order_date")
     assert rows(kpis.kpi_monthly(keyed, days)) == rows(kpis.kpi_monthly(fact, days))
 
 
