@@ -92,8 +92,9 @@ def scd2_from_log(
     """All versions at once from a timestamped log (backfill).
 
     Log rows of one key form a sequence, so a plain window sorts a whole key in one task. Keys with
-    ``hot_rows`` log rows or more are therefore cut into pieces of one ``hot_unit`` of time, and the
-    pieces are joined up through one summary row each. Rows without key or time have no place in the
+    ``hot_rows`` log rows or more are therefore cut into pieces of one ``hot_unit`` of time (MINUTE for
+    logs with more than some million rows of one key an hour), and the pieces are joined up through one
+    summary row each. Rows without key or time have no place in the
     sequence and are left out.
     """
     order = [ts, *tiebreak, "attr_hash"]

