@@ -1,8 +1,9 @@
 """Text to typed value, never failing a row: what cannot be read becomes NULL.
 
-All functions take the text as SQL (mostly a column name). Text is matched against the shape of its type
-before it is cast: a cast that fails raises and catches an exception inside Spark for every such row,
-ten to twenty times the cost of the match.
+All functions take the text as SQL (mostly a column name). Text that cannot be of its type by its shape is
+not cast at all: a cast that fails raises and catches an exception inside Spark for every such row, ten
+to twenty times the cost of a match. Numbers are only looked at by how they begin, which is cheaper still
+and keeps words away from the cast; the cast itself decides.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark.sql import Column, functions as F
 ISO_SHAPE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,9})?)?$"
 US_MINUTE_SHAPE = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{2}$"
 US_DATE_SHAPE = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
-WHOLE_SHAPE = "^ *[+-]?[0-9]+ *$"
-DECIMAL_SHAPE = "^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
+# Digits, signs, points and blanks sort before it, letters after it.
+AFTER_DIGITS = ":"
 
 
 def typed_sql(text: str, kind: str) -> str:
@@ -34,9 +35,9 @@ def typed_sql(text: str, kind: str) -> str:
     if kind == "boolean":
         return f"CASE lower(trim({text})) WHEN 'true' THEN true WHEN 'false' THEN false END"
     if kind == "bigint":
-        return f"CASE WHEN {text} RLIKE '{WHOLE_SHAPE}' THEN try_cast({text} AS bigint) END"
+        return f"CASE WHEN {text} < '{AFTER_DIGITS}' AND NOT contains({text}, '.') THEN try_cast({text} AS bigint) END"
     if kind.startswith("decimal"):
-        return f"CASE WHEN {text} RLIKE '{DECIMAL_SHAPE}' THEN try_cast({text} AS {kind}) END"
+        return f"CASE WHEN {text} < '{AFTER_DIGITS}' THEN try_cast({text} AS {kind}) END"
     raise ValueError(f"no such kind: {kind}")
 
 

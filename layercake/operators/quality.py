@@ -58,9 +58,10 @@ def stage_rules(entity: Entity) -> list[Rule]:
 
 
 def split_stage(entity: Entity, stage: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(loadable stage rows, quarantined rows with ``_reasons``). All-empty rows are neither."""
-    filled = stage.dropna(how="all", subset=entity.headers)
-    return split_valid(filled, stage_rules(entity))
+    """(loadable stage rows, quarantined rows with ``_reasons``). All-empty rows are neither: their key
+    is missing, and there is nothing in them to keep."""
+    good, bad = split_valid(stage, stage_rules(entity))
+    return good, bad.dropna(how="all", subset=entity.headers)
 
 
 def check_unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:

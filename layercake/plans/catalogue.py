@@ -580,7 +580,8 @@ def load_once(spark: SparkSession, folder: str) -> DataFrame:
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     listed = list_stage(spark, _land(_stage_text(spark, folder, "orders"), shared_dir(spark, "listing")))
-    return listed.filter(F.col("path").endswith(".csv")).select("path", "length")
+    written_files = listed.filter(F.col("path").endswith(".csv"))
+    return written_files.agg(F.count("path").alias("files"), (F.min("length") > 0).alias("filled"))
 
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:

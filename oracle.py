@@ -611,6 +611,8 @@ FILES = {
         SELECT 'stage' AS layer, p_partkey AS menu_id FROM part WHERE p_type NOT LIKE '%ECONOMY%'
         UNION ALL SELECT 'clean', p_partkey FROM part
     """,
+    # The query writes its table as four files.
+    "list_files": "SELECT 4 AS files, count(*) > 0 AS filled FROM orders",
     "load_once": f"SELECT {STATUS} AS status, count(*) AS orders FROM orders GROUP BY 1",
     "stream_ingest": clean_plain("orders"),
     "stream_to_scd2": f"""
