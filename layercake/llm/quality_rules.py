@@ -129,14 +129,14 @@ def base_failed() -> Column:
 
 
 def plan_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 2_000, seed: int = 7) -> list[Rule]:
-    """The rules by rejections per second, as measured on a sample of about ``sample_rows`` documents.
+    """The rules by rejections per second, as measured on a sample of about ``sample_rows`` rows of ``docs``.
 
-    ``docs`` has its counts. The sample only orders rules; an empty one leaves them as given.
+    The sample only orders rules; an empty one leaves them as given.
     """
     total = docs.count()
     if not total:
         return list(rules)
-    sample = docs.sample(min(1.0, sample_rows / total), seed).persist()
+    sample = with_counts(docs.sample(min(1.0, sample_rows / total), seed)).persist()
     try:
         seen = sample.count()
         floor, _ = _timed(sample.filter("n_words < 0"))
@@ -174,9 +174,9 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = R
     Null and empty texts have no words and fail the base rule. Repeated rows are judged alike. An empty
     table gives an empty result. Input columns named like a result are replaced.
     """
-    counted = with_counts(docs.withColumnRenamed(text, "text"))
-    order = plan_cascade(counted, rules, sample_rows)
-    return cascade(counted, order).drop("word_list", "lines").withColumnRenamed("text", text)
+    named = docs.withColumnRenamed(text, "text")
+    order = plan_cascade(named.select("text"), rules, sample_rows)
+    return cascade(with_counts(named), order).drop("word_list", "lines").withColumnRenamed("text", text)
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

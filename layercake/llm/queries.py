@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from layercake.llm.byte_bpe import op10_byte_bpe
 from layercake.llm.chat_format import op6_chat_formatting
+from layercake.llm.decontaminate import op4_decontamination
+from layercake.llm.ngram_join import op5_ngram_join
 from layercake.llm.pii import op9_pii
 from layercake.llm.quality_rules import op2_quality_rules
 from layercake.llm.sharding import op3_sharding
@@ -17,6 +19,8 @@ QUERIES = {
         op1_toxicity,
         op2_quality_rules,
         op3_sharding,
+        op4_decontamination,
+        op5_ngram_join,
         op6_chat_formatting,
         op8_url_filter,
         op9_pii,

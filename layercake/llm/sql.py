@@ -73,4 +73,26 @@ def _url() -> str:
     """
 
 
-SQL = {"op2_quality_rules": _QUALITY, "op6_chat_formatting": _CHAT, "op8_url_filter": _url()}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_CONTAMINATION = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_TERM}') AS ws FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[s : s + k - 1], ' ') AS w
+  FROM (SELECT item_id, ws, least(13, len(ws)) AS k, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS s
+        FROM b WHERE len(ws) > 0)),
+dw AS (
+  SELECT doc_id, s, k, array_to_string(ws[s : s + k - 1], ' ') AS w
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM iw) WHERE len(ws) >= k)),
+h AS (SELECT doc_id, s, dw.k, item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.w = iw.w),
+p AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS x FROM h) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM h) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
+SQL = {"op4_decontamination": _CONTAMINATION, "op2_quality_rules": _QUALITY, "op6_chat_formatting": _CHAT, "op8_url_filter": _url()}
