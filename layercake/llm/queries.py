@@ -5,6 +5,7 @@ from __future__ import annotations
 from layercake.llm.byte_bpe import op10_byte_bpe
 from layercake.llm.chat_format import op6_chat_formatting
 from layercake.llm.decontaminate import op4_decontamination
+from layercake.llm.line_dedup import op7_line_dedup
 from layercake.llm.ngram_join import op5_ngram_join
 from layercake.llm.pii import op9_pii
 from layercake.llm.quality_rules import op2_quality_rules
@@ -22,6 +23,7 @@ QUERIES = {
         op4_decontamination,
         op5_ngram_join,
         op6_chat_formatting,
+        op7_line_dedup,
         op8_url_filter,
         op9_pii,
         op10_byte_bpe,
