@@ -16,18 +16,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from layercake.llm.text import ascii_lower, numbers, table, without, words
+from layercake.llm.text import UPPER, lower_words, numbers, table, without
 from layercake.session import written
 
-TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-TERM_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Whatever in ASCII is no letter and no digit; all characters beyond ASCII belong to words.
+SEPARATORS = "".join(c for c in map(chr, range(128)) if not (c.isdigit() or c in UPPER + UPPER.lower()))
 WINDOW = 13
 SMALL_ROWS = 200_000  # of ids or short terms: some ten megabytes at most
 RESULTS = ["n_words", "n_hit", "n_items", "items", "contaminated"]
 
 
 def terms(text: Column) -> Column:
-    return words(ascii_lower(text), TERM)
+    return lower_words(text, SEPARATORS)
 
 
 def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
@@ -175,7 +175,7 @@ def decontaminate(
     which = which.groupBy("_id", "_hash").agg(F.sort_array(F.collect_set("item")).alias("_items"))
     found = hit.join(which, _same_text(hit, which)).select(hit["_id"].alias("_i"), hit["_hash"].alias("_h"), "_hit", "_items")
     mine = without(docs, [*RESULTS, "_i", "_h", "_hit", "_items"]).withColumn("_h0", F.xxhash64(F.col(f"`{text}`")))
-    mine = mine.withColumn("n_words", F.size(words(F.col(f"`{text}`"), TERM_ANY_CASE)).cast("long"))
+    mine = mine.withColumn("n_words", F.size(terms(F.col(f"`{text}`"))).cast("long"))
     found = written(found, "found")
     joined = mine.join(small(found), mine[f"`{key}`"].eqNullSafe(found["_i"]) & (mine["_h0"] == found["_h"]), "left")
     n_hit = F.coalesce("_hit", F.lit(0)).cast("long")

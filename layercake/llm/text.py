@@ -8,20 +8,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = r"[\x20\x09-\x0D]+"
+SPACE_CHARS = " \t\n\v\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def ascii_lower(text: Column) -> Column:
-    """A-Z lower-cased and nothing else. Text of ASCII alone takes Spark's faster function."""
-    plain = F.octet_length(text) == F.length(text)
-    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
-
-
 def words(text: Column, pattern: str = WORD) -> Column:
     """All matches of ``pattern``; none for null."""
     return F.coalesce(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.array().cast("array<string>"))
 
 
+def lower_words(text: Column, separators: str) -> Column:
+    """Words between any of the ASCII ``separators``, A-Z lower-cased; none for null.
+
+    One pass turns separators into spaces and letters into small ones; cutting at a plain space then needs
+    no regular expression, which would take three times as long.
+    """
+    plain = F.translate(text, separators + UPPER, " " * len(separators) + UPPER.lower())
+    return F.coalesce(F.array_remove(F.split(plain, " "), ""), F.array().cast("array<string>"))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often and however deep ``body`` uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
