@@ -264,9 +264,10 @@ def _written(spans: str):
 
 
 def digest(found: DataFrame) -> DataFrame:
-    counts = [
-        F.size(F.filter("base_spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS
-    ]
+    def of(kind: str):
+        return F.filter("base_spans", lambda x: x["kind"] == kind)
+
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(_written("base_spans"), 256).alias("base_sha256"), _written("spans").alias("spans"))
 
 
