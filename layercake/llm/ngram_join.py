@@ -1,9 +1,12 @@
 """N-gram Jaccard join by vertical partitioning (operator 5).
 
 A document's set of word n-grams is hashed; documents with equal sets are one class from then on. N-grams
-have one global order, which is cut into fragments. The first fragment finds candidates: n-grams are
-counted over all classes, and a class enters its rarest ones, as many as it may miss and still be similar
-(plus one). Two similar classes share one of these. For a candidate pair, the other fragments count their
+have one global order, which is cut into fragments.
+
+The first fragment screens: a set that is similar to another may miss few of its n-grams, so a class with
+more n-grams of its own in the first fragment than that is similar to none. Whatever is left is cut into
+fragments by the global order. Its n-grams are counted, and a class enters its rarest ones, as many as it
+may miss (plus one); two similar classes share one of these. For a candidate pair the fragments count their
 overlaps separately, each from the two parts it holds, and the counts are summed per pair.
 
 Groups of similar classes are joined to components without making all their pairs. In each round a class is
@@ -21,8 +24,8 @@ from pyspark.sql import Window
 
 from layercake.llm.components import components
 from layercake.llm.decontaminate import small
-from layercake.llm.text import ascii_lower, numbers, table, without, words
-from layercake.session import written
+from layercake.llm.text import SPACE_CHARS, lower_words, numbers, table, without
+from layercake.llm.scratch import Scratch
 
 FRAGMENTS = 4
 LOWEST, RANGE = -(2**63), 2**64
@@ -43,9 +46,9 @@ class Similarity:
         """Of any so many n-grams of a set of this size, a similar set has one."""
         return size - self.least(size) + 1
 
-    def fits(self, a: Column, b: Column) -> Column:
-        """Whether sets of these sizes can be similar."""
-        return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
+    def fits(self, shared_a: Column, size_a: Column, shared_b: Column, size_b: Column) -> Column:
+        """Whether sets can be similar of which no more than so many n-grams are shared with any other set."""
+        return self.linked(F.least(shared_a, shared_b), size_a, size_b)
 
     def linked(self, overlap: Column, a: Column, b: Column) -> Column:
         return 100 * overlap >= self.percent * (a + b - overlap)
@@ -61,7 +64,7 @@ def with_grams(docs: DataFrame, text: str, n: int) -> DataFrame:
 
     A text of fewer words has one n-gram, all of it; one without words has none.
     """
-    df = docs.withColumn("_words", F.transform(words(ascii_lower(F.col(text))), lambda w: F.xxhash64(w)))
+    df = docs.withColumn("_words", F.transform(lower_words(F.col(text), SPACE_CHARS), lambda w: F.xxhash64(w)))
     each = F.transform(numbers(F.size("_words") - (n - 1)), lambda i: F.xxhash64(*[F.get("_words", i + j) for j in range(n)]))
     few = F.when(F.size("_words") > 0, F.array(F.xxhash64("_words"))).otherwise(F.array().cast("array<bigint>"))
     grams = F.when(F.size("_words") >= n, each).otherwise(few)
@@ -89,27 +92,28 @@ def signed(docs: DataFrame, like: Similarity) -> DataFrame:
     )
 
 
-def candidate_postings(sets: DataFrame, like: Similarity) -> DataFrame:
-    """(gram, node, size, weight): each class's rarest n-grams of the first fragment that another class has.
-
-    ``weight`` is the share of the first fragment that other classes have too, in thousandths.
-    """
+def screened(sets: DataFrame, like: Similarity) -> DataFrame:
+    """The classes (column ``node``) that the first fragment does not show to be similar to none."""
     both = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("n_first").cast("long"))
     every = sets.select("node", both.alias("sizes"), F.explode("first").alias("gram"))
-    shared = every.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    met = every.join(shared, "gram").select(
-        "node", "gram", "df", F.shiftright("sizes", 32).cast("int").alias("size"), F.col("sizes").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("n_first"),
-        (F.col("gram") < F.lit(like.cut)).alias("inside"),
+    shared = every.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("gram")
+    met = every.join(shared, "gram").groupBy("node", "sizes").agg(
+        F.sum((F.col("gram") < F.lit(like.cut)).cast("int")).alias("n_shared")
     )
-    of_class = Window.partitionBy("node", "size", "inside")
-    ranked = met.withColumns(
-        {"at": F.row_number().over(of_class.orderBy("df", "gram")), "n_shared": F.count(F.lit(1)).over(of_class)}
+    size, n_first = F.shiftright("sizes", 32).cast("int"), F.col("sizes").bitwiseAND(F.lit(2**32 - 1)).cast("int")
+    return met.filter((n_first - F.col("n_shared") < like.needed(size)) | (n_first < like.needed(size))).select("node").distinct()
+
+
+def candidate_postings(parts: DataFrame, like: Similarity) -> DataFrame:
+    """(gram, node, size, shared): each class's rarest n-grams that another class has too, and how many it has."""
+    every = parts.select("node", "size", F.explode("part").alias("gram"))
+    shared = every.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    of_class = Window.partitionBy("node", "size")
+    ranked = every.join(shared, "gram").withColumns(
+        {"at": F.row_number().over(of_class.orderBy("df", "gram")), "shared": F.count(F.lit(1)).over(of_class).cast("int")}
     )
-    few = F.col("n_first") < like.needed(F.col("size"))
-    alone = F.col("n_first") - F.col("n_shared")
-    kept = ranked.filter(few | F.col("inside") & (F.col("at") <= like.needed(F.col("size")) - alone))
-    weight = (1000 * F.col("n_shared") / F.greatest("n_first", F.lit(1))).cast("int")
-    return kept.select("gram", "node", "size", weight.alias("weight"))
+    kept = ranked.filter(F.col("at") <= like.needed(F.col("size")) - (F.col("size") - F.col("shared")))
+    return kept.select("gram", "node", "size", "shared")
 
 
 def fragments(docs: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
@@ -134,7 +138,8 @@ def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     def side(x: str) -> DataFrame:
         return parts.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("size", "sign", "part")], "fragment")
 
-    met = small(pairs).join(side("a"), "a").join(side("b"), ["b", "fragment"])
+    other = side("b").join(small(pairs.select("b").distinct()), "b", "left_semi")
+    met = side("a").join(small(pairs), "a").join(other, ["b", "fragment"])
     texts = ["a", "b", "size_a", "size_b", "sign_a", "sign_b"]
     counted = met.select(*texts, "fragment", F.size(F.array_intersect("part_a", "part_b")).alias("k"))
     # Repeated rows of an id would count a fragment twice.
@@ -142,53 +147,77 @@ def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return once.groupBy(*texts).agg(F.sum("k").alias("overlap")).drop("sign_a", "sign_b")
 
 
-def links(postings: DataFrame, parts: DataFrame, like: Similarity) -> DataFrame:
+def links(postings: DataFrame, parts: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
     """Links (a, b) between classes: enough of them for exact components."""
     spark, on = postings.sparkSession, ["a", "b"]
     known = refused = spark.createDataFrame([], "a long, b long")
     rest, turn, found = postings.withColumn("root", F.col("node")), 0, True
     while True:
-        lists = rest.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        rest = written(rest.join(lists.select("gram"), "gram", "left_semi"), "postings")
+        lists = _open_lists(rest)
+        rest = scratch.put(rest.join(lists.select("gram"), "gram", "left_semi"), "open")
         per_root = rest.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("m"))
         sizes = per_root.groupBy("gram").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("same"))
         row = sizes.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
         if not row.rows:
             return known
-        last = row.pairs <= row.rows or not found
+        last = 4 * row.pairs <= row.rows or not found
         pairs = _all_pairs(rest, like) if last else _hub_pairs(rest, like, turn)
-        pairs = written(pairs.join(refused, on, "left_anti"), "pairs")
+        pairs = scratch.put(pairs.join(refused, on, "left_anti"), "pairs")
         judged = overlaps(pairs, parts).filter(like.linked(F.col("overlap"), F.col("size_a"), F.col("size_b")))
-        new = written(judged.select(*on).distinct(), "links")
+        new = scratch.put(judged.select(*on).distinct(), "links")
         known = known.union(new)
         if last:
             return known
+        scratch.tidy()
         found, turn = not new.isEmpty(), turn + 1
         refused = refused.union(pairs.join(new, on, "left_anti"))
         if found:
-            roots = components(known)
+            roots = components(known, scratch)
             rest = rest.drop("root").join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _open_lists(rest: DataFrame) -> DataFrame:
+    """Lists with classes of more than one component; of lists with the same classes, one.
+
+    N-grams of a passage that many documents share are in the same documents. Lists are told apart by
+    their length and 128 bits of their members' hashes.
+    """
+    members = [F.count(F.lit(1)), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64(F.lit(1), "node"))]
+    lists = rest.groupBy("gram").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), *[m.alias(f"m{i}") for i, m in enumerate(members)]
+    )
+    return lists.filter("low <> high").groupBy("m0", "m1", "m2").agg(F.min("gram").alias("gram"))
+
+
 def _hub_pairs(rest: DataFrame, like: Similarity, turn: int) -> DataFrame:
     """For each class the hub of another component that it shares most lists with.
 
     At first a list's hub is the class with least of its own, which copies with changes were made from;
     later a class of one component, another one each time.
     """
-    rank = [-F.col("weight")] if not turn else [F.col("root"), F.xxhash64("node", F.lit(turn))]
-    hubs = rest.groupBy("gram").agg(F.min_by(F.struct("root", "size", "node"), F.struct(*rank, "node")).alias("hub"))
-    met = rest.join(hubs, "gram").filter((F.col("root") != F.col("hub.root")) & like.fits(F.col("size"), F.col("hub.size")))
+    rank = [-F.col("shared") / F.col("size")] if not turn else [F.col("root"), F.xxhash64("node", F.lit(turn))]
+    hubs = rest.groupBy("gram").agg(F.min_by(F.struct("root", "size", "shared", "node"), F.struct(*rank, "node")).alias("hub"))
+    met = rest.join(hubs, "gram").filter((F.col("root") != F.col("hub.root")) & like.fits(F.col("shared"), F.col("size"), F.col("hub.shared"), F.col("hub.size")))
     voted = met.groupBy("node", F.col("hub.node").alias("hub")).agg(F.count(F.lit(1)).alias("votes"))
     best = voted.groupBy("node").agg(F.max_by("hub", F.struct("votes", -F.col("hub"))).alias("hub"))
     return best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def _all_pairs(rest: DataFrame, like: Similarity) -> DataFrame:
-    """Every pair of classes of different components in a list; their number was counted before."""
-    other = rest.select("gram", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
-    met = rest.join(other, "gram").filter((F.col("node") < F.col("b")) & (F.col("root") != F.col("root_b")) & like.fits(F.col("size"), F.col("size_b")))
-    return met.select(F.col("node").alias("a"), "b").distinct()
+    """Every pair of classes of different components that meet in a list and can be similar.
+
+    A pair is made in the first of the lists that it meets in only.
+    """
+    earlier = Window.partitionBy("node", "size").orderBy("gram").rowsBetween(Window.unboundedPreceding, -1)
+    mine = rest.withColumn("before", F.collect_list("gram").over(earlier))
+    other = mine.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "shared", "root", "before")])
+    met = mine.join(other, "gram").filter(
+        (F.col("node") < F.col("node_b"))
+        & (F.col("root") != F.col("root_b"))
+        & like.fits(F.col("shared"), F.col("size"), F.col("shared_b"), F.col("size_b"))
+        & ~F.arrays_overlap("before", "before_b")
+    )
+    return met.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def ngram_components(docs: DataFrame, like: Similarity = Similarity(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -200,16 +229,20 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), key: str
     Input columns named like a result are replaced.
     """
     source = docs.select(F.col(f"`{key}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text"))
-    sets = written(signed(source, like), "sets")
-    same = ["s1", "s2", "size"]
+    scratch, same = Scratch(docs.sparkSession, "ngram_join"), ["s1", "s2", "size"]
+    sets = scratch.put(signed(source, like), "sets")
     classes = sets.filter("size > 0").groupBy(*same).agg(F.min("_id").alias("node")).filter("node IS NOT NULL")
-    classes = written(classes, "classes")
+    classes = scratch.put(classes, "classes")
     own = sets.join(classes.withColumnRenamed("node", "_id"), [*same, "_id"], "left_semi")
-    postings = written(candidate_postings(own.withColumnRenamed("_id", "node"), like), "postings")
-    parts = written(fragments(source, written(postings.select("node").distinct(), "nodes"), like), "fragments")
-    roots = components(links(postings, parts, like))
+    nodes = scratch.put(screened(own.withColumnRenamed("_id", "node"), like), "nodes")
+    sets = scratch.put(sets.select("_id", "_hash", *same).distinct(), "ids")
+    scratch.drop("sets")
+    parts = scratch.put(fragments(source, nodes, like), "fragments")
+    postings = scratch.put(candidate_postings(parts, like), "postings")
+    scratch.tidy()
+    roots = components(links(postings, parts, like, scratch), scratch)
     of_class = classes.join(small(roots), "node", "left").select(*same, F.coalesce("root", "node").alias("component_id"))
-    rows = sets.select("_id", "_hash", *same).distinct().join(of_class, same, "left")
+    rows = sets.join(of_class, same, "left")
     own_id = F.when(F.col("size") == 0, F.col("_id"))
     rows = rows.select(
         F.col("_id").alias("_i"), F.col("_hash").alias("_h"), F.col("size").cast("long").alias("n_shingles"),
