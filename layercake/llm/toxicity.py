@@ -92,13 +92,14 @@ class SubwordSoftmax:
         ids, starts = ngrams(words, len(self.table))
         return ids.astype(np.int32), starts, np.diff(np.append(starts, len(ids)))
 
-    def fit(self, texts: Sequence[str], labels: Sequence[int], epochs: int = 10, batch: int = 256, rate: float = 0.05, seed: int = 1):
+    def fit(self, texts: Sequence[str], labels: Sequence[int], epochs: int = 10, largest_batch: int = 256, rate: float = 0.05, seed: int = 1):
         """Adam over batches in shuffled order. A label of the rarer class weighs more, by the square root of the odds."""
         rng, step = np.random.default_rng(seed), 0
         labels = np.asarray(labels)
         params = {"table": self.table, "softmax": self.softmax, "bias": self.bias}
         m = {k: np.zeros_like(x) for k, x in params.items()}
         v = {k: np.zeros_like(x) for k, x in params.items()}
+        batch = min(largest_batch, max(16, len(texts) // 16))
         positive = max(1, int(labels.sum()))
         weights = np.where(labels == 1, np.sqrt(max(1, len(labels) - positive) / positive), 1.0)
         order = rng.permutation(len(texts))
