@@ -94,8 +94,14 @@ def check_foreign_keys(fact: DataFrame, references: Mapping[str, tuple[DataFrame
 
 
 def mask(df: DataFrame, tags: Mapping[str, str], masks: Mapping[str, str] = MASKS) -> DataFrame:
-    """Tagged columns show their tag's text; NULL stays NULL. A masked column becomes a string."""
-    hidden = {c: F.when(F.col(c).isNotNull(), F.lit(masks[tag])) for c, tag in tags.items() if c in df.columns and tag in masks}
+    """Tagged columns show their tag's text; NULL stays NULL. A masked column becomes a string.
+
+    A tag without a mask is an error, so that no tagged column is shown by mistake.
+    """
+    unknown = sorted({tag for c, tag in tags.items() if c in df.columns and tag not in masks})
+    if unknown:
+        raise ValueError(f"no mask for {', '.join(unknown)}")
+    hidden = {c: F.when(F.col(c).isNotNull(), F.lit(masks[tag])) for c, tag in tags.items() if c in df.columns}
     return df.withColumns(hidden)
 
 

@@ -169,8 +169,7 @@ class Warehouse:
             {n: self.dim(ENTITIES[n]).read(appended=False) for n in DIMENSIONS},
             build_date_dim(orders, "order_date") if date_dim is None else date_dim,
         )
-        batch = latest_per_key(fresh, FACT_KEYS)
-        return target.merge(batch, lambda old, new: upsert(old, new, FACT_KEYS), sorted(touched), sources=upto)
+        return target.merge(fresh, lambda old, new: upsert(old, new, FACT_KEYS), sorted(touched), sources=upto)
 
     def run_increment(self, entity: Entity, effective_ts: datetime) -> None:
         """Unread stage rows through clean table and dimension. Repeating it changes nothing."""
@@ -194,6 +193,8 @@ class Warehouse:
         self.clean(entity).mark_consumed({"stage": self.stage(entity).version()})
         if entity.dimension:
             self.dim(entity).mark_consumed({"clean": self.clean(entity).version()})
+        if entity.name in FACT_FEEDS:
+            self.fact().mark_consumed({entity.name: self.clean(entity).version()})
 
     def _table(self, name: str, schema: T.StructType, keys: list[str] | None = None, bucket_by: list[str] | None = None) -> VersionedTable:
         if name not in self._tables:

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from layercake.functions.hashing import row_hash
+from layercake.operators.merge import latest_per_key
 from layercake.operators.scd2 import as_of as dim_as_of
 from layercake.operators.scd2 import current
 
@@ -15,6 +16,9 @@ from layercake.operators.scd2 import current
 # later plans broadcast.
 MAX_DAYS = 200_000
 
+# What was loaded last counts, where a source keeps several rows of one order or item.
+LOAD_ORDER = ["_copy_data_ts", "_stg_file_load_ts", "_stg_file_name"]
+
 FACT_KEYS = ["order_item_id", "order_id"]
 FACT_COLUMNS = [
     "order_item_id",
@@ -81,13 +85,17 @@ def build_fact(
     """Order items with the keys of their dimension versions.
 
     ``dims`` holds the six dimensions by entity name. Without ``as_of`` the open versions are taken,
-    with it those open at that time. The address is the one delivered to.
+    with it those open at that time. The address is the one delivered to. Of several deliveries of an order,
+    or several rows of an item in an order, the one loaded last counts, so an item is one row of the fact.
 
     Everything known per order is joined per order first, so the item table, the largest by far, is
     shuffled once for its order and once for its menu. Only the date dimension, of bounded length, is
     broadcast by hint; for the others Spark decides by their size, and splits hot keys at run time.
     """
 
+    def newest(rows: DataFrame, *keys: str) -> DataFrame:
+        return latest_per_key(rows, keys, [c for c in LOAD_ORDER if c in rows.columns])
+
     def pick(name: str) -> DataFrame:
         return current(dims[name]) if as_of is None else dim_as_of(dims[name], F.lit(as_of))
 
@@ -106,7 +114,7 @@ def build_fact(
         )
         .join(F.broadcast(days), "calendar_date")
         .join(
-            deliveries.select(
+            newest(deliveries, "order_id_fk").select(
                 F.col("order_id_fk").alias("order_id"),
                 "delivery_agent_id_fk",
                 "customer_address_id_fk",
@@ -127,7 +135,7 @@ def build_fact(
         )
     )
     menu = _keyed(pick("menu"), "menu_id", "menu_id_fk", "menu_dim_key")
-    lines = items.select(
+    lines = newest(items, "order_item_id", "order_id_fk").select(
         "order_item_id", F.col("order_id_fk").alias("order_id"), "menu_id_fk", "quantity", "price", "subtotal"
     )
     return lines.join(menu, "menu_id_fk").join(header, "order_id").select(*FACT_COLUMNS)

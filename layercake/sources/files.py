@@ -21,6 +21,10 @@ BROADCAST_FILES = 100_000
 _FILE = "_stg_file_name"
 
 
+# All files below a folder whose names end so; half-written ones (x.csv.tmp) do not.
+CSV_FILES = {"pathGlobFilter": "*.{csv,csv.gz,csv.bz2}", "recursiveFileLookup": "true"}
+
+
 def csv_options() -> dict[str, str]:
     """Comma separated, one header line, optional double quotes, ``\\N`` for NULL, blank lines skipped.
 
@@ -33,7 +37,7 @@ def csv_options() -> dict[str, str]:
         "escape": '"',
         "nullValue": "\\N",
         "mode": "PERMISSIVE",
-        "pathGlobFilter": "*.csv*",
+        **CSV_FILES,
     }
 
 
@@ -118,7 +122,7 @@ def header_lines(spark: SparkSession, entity: Entity, path: str | list[str]) ->
     """Header line per file: the line that starts with the entity's first column name."""
     first = entity.headers[0]
     plain = F.lower(F.regexp_replace("value", "[\ufeff\"\r]", ""))
-    lines = spark.read.options(pathGlobFilter="*.csv*").text(path)
+    lines = spark.read.options(**CSV_FILES).text(path)
     return (
         lines.select(F.col("_metadata.file_path").alias(_FILE), plain.alias("header"))
         .filter(F.col("header").startswith(first))
@@ -133,10 +137,10 @@ def file_md5(spark: SparkSession, path: str | list[str]) -> DataFrame:
     A larger file gets the md5 of its length, its line count and the sum of its lines' hashes, which
     tasks add up independently.
     """
-    files = spark.read.format("binaryFile").options(pathGlobFilter="*.csv*").load(path)
+    files = spark.read.format("binaryFile").options(**CSV_FILES).load(path)
     name = F.col("_metadata.file_path").alias(_FILE)
     small = files.filter(F.col("length") <= WHOLE_FILE_BYTES).select(name, F.md5("content").alias("_stg_file_md5"))
-    lines = spark.read.options(pathGlobFilter="*.csv*").text(path)
+    lines = spark.read.options(**CSV_FILES).text(path)
     size = F.col("_metadata.file_size")
     large = (
         lines.filter(size > WHOLE_FILE_BYTES)

@@ -153,3 +153,9 @@ def test_schemas_match_the_rows(spark):
         assert set(entity.keys) <= set(entity.columns) and set(entity.bucket_by) <= set(entity.keys)
     for name in DIMENSIONS:
         assert dimension_schema(ENTITIES[name]).names[-5:] == ["hk", "attr_hash", "eff_start", "eff_end", "is_current"]
+
+
+def test_mask_refuses_a_tag_it_does_not_know(spark):
+    df = spark.createDataFrame([("1",)], "price string")
+    with pytest.raises(ValueError, match="PRICE"):
+        mask(df, {"price": "PRICE"})
