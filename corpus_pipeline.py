@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layercake.llm.byte_bpe import decode, encode, public_vocabulary
+from layercake.llm.byte_bpe import encode, public_vocabulary
 from layercake.llm.decontaminate import decontaminate, small
 from layercake.llm.line_dedup import dedup_lines
 from layercake.llm.ngram_join import Similarity, ngram_components
@@ -50,7 +50,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and digests of them and of what they decode to."""
     path, pattern = public_vocabulary()
-    back = decode(encode(docs.select("doc_id", "text"), path, pattern).drop("text"), path, pattern)
+    back = encode(docs.select("doc_id", "text"), path, pattern, with_decoded=True)
     return back.select(
         "doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -25,7 +25,8 @@ from layercake.llm.workers import ship
 
 NONE = np.int64(1 << 40)  # the rank of a pair that is no token
 LONG = 128
-KNOWN_PIECES = 200_000  # remembered per worker; beyond that it starts anew
+ROWS_AT_ONCE = 500
+KNOWN_PIECES = 100_000  # remembered per worker; beyond that it starts anew
 CHARS_AT_ONCE = 1 << 20
 _encoders: dict[tuple[str, str], Encoder] = {}
 
@@ -202,32 +203,34 @@ def _batches(texts: list[str]) -> Iterator[list[str]]:
 
 def _mapped(work: Callable[[pa.RecordBatch], dict[str, pa.Array]]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            made = work(b)
-            columns = {n: b.column(i) for i, n in enumerate(b.schema.names) if n not in made} | made
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                b = whole.slice(at, ROWS_AT_ONCE)
+                columns = {n: b.column(i) for i, n in enumerate(b.schema.names)} | work(b)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (binary: little-endian unsigned 32-bit ids of the whole text) and ``n_tokens``.
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_decoded: bool = False) -> DataFrame:
+    """``docs`` with ``ids`` (binary: little-endian unsigned 32-bit ids of the whole text) and ``n_tokens``,
+    on request also ``decoded``, the bytes that these ids decode to, in the same pass.
 
     ``path`` names the rank file, which every executor can read. Null counts as empty, and empty texts
     have no ids. Repeated rows are encoded alike. Input columns named like a result are replaced.
     """
     ship(docs.sparkSession)
-    df = without(docs, ["ids", "n_tokens"])
+    df = without(docs, ["ids", "n_tokens", *["decoded"] * with_decoded])
 
     def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         tokenizer = encoder(path, pattern)
         column = batch.column(batch.schema.names.index(text))
         ids = [x for part in _batches([t or "" for t in column.to_pylist()]) if part for x in tokenizer.encode(part)]
-        counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-        return {"ids": pa.array(ids, pa.binary()), "n_tokens": counts}
+        made = {"ids": pa.array(ids, pa.binary()), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64())}
+        return made | ({"decoded": pa.array(map(tokenizer.decode, ids), pa.binary())} if with_decoded else {})
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(_mapped(work), f"{fields}, ids binary, n_tokens long")
+    return df.mapInArrow(_mapped(work), f"{fields}, ids binary, n_tokens long" + ", decoded binary" * with_decoded)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -246,7 +249,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> Dat
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document the number of ids, and digests of its ids and of what they decode to."""
-    back = decode(encode(docs.select("doc_id", "text"), path, pattern).select("doc_id", "ids", "n_tokens"), path, pattern)
+    back = encode(docs.select("doc_id", "text"), path, pattern, with_decoded=True)
     return back.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -24,7 +24,7 @@ from layercake.llm.workers import ship
 PUNCTUATION = " \t\n\r\f\v.,;:!?\"'`()[]{}<>*#$%&|~^_=+-/\\…«»“”‘’¿¡"
 WINDOW, STRIDE = 8, 4
 SMALLEST, LARGEST = 3, 5
-KNOWN_WORDS = 300_000  # remembered per worker; beyond that it starts anew
+KNOWN_WORDS = 150_000  # remembered per worker; beyond that it starts anew
 WORDS_AT_ONCE = 20_000
 
 
@@ -92,7 +92,7 @@ class SubwordSoftmax:
         ids, starts = ngrams(words, len(self.table))
         return ids.astype(np.int32), starts, np.diff(np.append(starts, len(ids)))
 
-    def fit(self, texts: Sequence[str], labels: Sequence[int], epochs: int = 10, largest_batch: int = 256, rate: float = 0.05, seed: int = 1):
+    def fit(self, texts: Sequence[str], labels: Sequence[int], epochs: int = 10, largest_batch: int = 128, rate: float = 0.05, seed: int = 1):
         """Adam over batches in shuffled order. A label of the rarer class weighs more, by the square root of the odds."""
         rng, step = np.random.default_rng(seed), 0
         labels = np.asarray(labels)
@@ -171,7 +171,7 @@ class SubwordSoftmax:
         return sigmoid(out)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 6_000, max_chars: int = 60_000, text: str = "text", key: str = "doc_id") -> SubwordSoftmax:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4_000, max_chars: int = 20_000, text: str = "text", key: str = "doc_id") -> SubwordSoftmax:
     """A model fitted on at most ``sample_rows`` labelled rows of at most ``max_chars`` characters.
 
     ``labels`` has the key and ``toxic`` (0 or 1; other values are no label). Up to half of the sample
