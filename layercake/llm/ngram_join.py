@@ -133,14 +133,14 @@ def fragments(docs: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """(a, b, size_a, size_b, overlap) of each pair (a, b): one count per fragment, summed."""
+    """(a, b, size_a, size_b, left_a, left_b, overlap) of each pair (a, b): one count per fragment, summed."""
 
     def side(x: str) -> DataFrame:
-        return parts.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("size", "sign", "part")], "fragment")
+        return parts.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("size", "sign", "left", "part")], "fragment")
 
     other = side("b").join(small(pairs.select("b").distinct()), "b", "left_semi")
     met = side("a").join(small(pairs), "a").join(other, ["b", "fragment"])
-    texts = ["a", "b", "size_a", "size_b", "sign_a", "sign_b"]
+    texts = ["a", "b", "size_a", "size_b", "sign_a", "sign_b", "left_a", "left_b"]
     counted = met.select(*texts, "fragment", F.size(F.array_intersect("part_a", "part_b")).alias("k"))
     # Repeated rows of an id would count a fragment twice.
     once = counted.groupBy(*texts, "fragment").agg(F.max("k").alias("k"))
@@ -163,7 +163,11 @@ def links(postings: DataFrame, parts: DataFrame, like: Similarity, scratch: Scra
         last = 4 * row.pairs <= row.rows or not found
         pairs = _all_pairs(rest, like) if last else _hub_pairs(rest, like, turn)
         pairs = scratch.put(pairs.join(refused, on, "left_anti"), "pairs")
-        judged = overlaps(pairs, parts).filter(like.linked(F.col("overlap"), F.col("size_a"), F.col("size_b")))
+        # The first fragment alone shows most pairs not to be similar: the rest can add no more than it holds.
+        begun = overlaps(pairs, parts.filter("fragment = 0").withColumn("left", F.col("size") - F.size("part")))
+        could = like.linked(F.col("overlap") + F.least("left_a", "left_b"), F.col("size_a"), F.col("size_b"))
+        likely = scratch.put(begun.filter(could).select(*on).distinct(), "likely")
+        judged = overlaps(likely, parts.withColumn("left", F.lit(0))).filter(like.linked(F.col("overlap"), F.col("size_a"), F.col("size_b")))
         new = scratch.put(judged.select(*on).distinct(), "links")
         known = known.union(new)
         if last:
