@@ -21,13 +21,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layercake.llm.text import table, without
-from layercake.llm.workers import ship
+from layercake.llm.workers import give_back, ship
 
 NONE = np.int64(1 << 40)  # the rank of a pair that is no token
 LONG = 128
 ROWS_AT_ONCE = 500
 KNOWN_PIECES = 100_000  # remembered per worker; beyond that it starts anew
-CHARS_AT_ONCE = 1 << 20
+CHARS_AT_ONCE = 1 << 19
 _encoders: dict[tuple[str, str], Encoder] = {}
 
 
@@ -190,7 +190,7 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 def _batches(texts: list[str]) -> Iterator[list[str]]:
-    """Lists of some texts; each with some million characters at most, or one text."""
+    """Lists of some texts; each with some 500,000 characters at most, or one text."""
     part, chars = [], 0
     for t in texts:
         if part and chars + len(t) > CHARS_AT_ONCE:
@@ -208,6 +208,8 @@ def _mapped(work: Callable[[pa.RecordBatch], dict[str, pa.Array]]) -> Callable:
                 b = whole.slice(at, ROWS_AT_ONCE)
                 columns = {n: b.column(i) for i, n in enumerate(b.schema.names)} | work(b)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                del columns
+                give_back()
 
     return run
 

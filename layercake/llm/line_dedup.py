@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from layercake.llm.decontaminate import small
 from layercake.llm.scratch import Scratch
 from layercake.llm.text import table, without
-from layercake.llm.workers import ship
+from layercake.llm.workers import give_back, ship
 
 MIN_WORDS = 50
 
@@ -76,6 +76,7 @@ def line_table(docs: DataFrame, least: int) -> DataFrame:
                         ],
                         names=["_id", "_hash", "seq", "h1", "h2", "from_here", "up_to_here"],
                     )
+            give_back()
 
     kind = docs.schema["_id"].dataType.simpleString()
     fields = f"_id {kind}, _hash long, seq int, h1 long, h2 long, from_here int, up_to_here int"

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layercake.llm.text import table, without
-from layercake.llm.workers import ship
+from layercake.llm.workers import give_back, ship
 
 PUNCTUATION = " \t\n\r\f\v.,;:!?\"'`()[]{}<>*#$%&|~^_=+-/\\…«»“”‘’¿¡"
 WINDOW, STRIDE = 8, 4
@@ -205,8 +205,9 @@ def score(docs: DataFrame, model: SubwordSoftmax, text: str = "text") -> DataFra
     @F.pandas_udf("double")
     def rate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:
-            texts = b.tolist()
-            yield pd.Series(np.concatenate([model.scores(texts[i : i + 256]) for i in range(0, len(texts), 256)] or [np.zeros(0)]))
+            parts = (b.iloc[i : i + 256].tolist() for i in range(0, len(b), 256))
+            yield pd.Series(np.concatenate([model.scores(texts) for texts in parts] or [np.zeros(0)]))
+            give_back()
 
     return without(docs, ["score", "predicted"]).withColumn("score", rate(F.col(f"`{text}`"))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

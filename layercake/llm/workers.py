@@ -1,12 +1,15 @@
-"""Makes this package importable in Python workers, wherever they run."""
+"""Python workers: this package made importable in them, wherever they run, and their memory kept small."""
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
@@ -24,3 +27,11 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(package.parent))
     spark.sparkContext.addPyFile(made)
     _shipped.add(app)
+
+
+def give_back() -> None:
+    """Returns freed memory to the machine. Workers live on after a task, and Arrow and the C library keep what
+    it has freed, so that an executor would hold the largest batch of every worker and every step."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
