@@ -57,6 +57,10 @@ def advance(
     ``changes`` holds one new row per key, or a change feed with ``_action`` and ``_is_update``. A row
     whose tracked columns equal the open version changes nothing. Real deletes close the open version
     with ``delete='close'``. One shuffle per side, on the key; keys are unique on both sides.
+
+    The order of batches counts, not their times: a batch that is no later than the open version takes
+    effect when that did and replaces it, or removes it. So no interval is empty or runs backward, and
+    versions of a key never share a start or ``hk``.
     """
     cur = current.select(*keys, F.struct(*tracked, *META).alias("cur"))
     joined = cur.join(_one_per_key(changes, keys, tracked, delete), list(keys), "full_outer")
@@ -72,11 +76,13 @@ def advance(
     versions = f"""
         CASE WHEN new IS NULL THEN array(cur)
              WHEN cur IS NULL THEN array({opened})
-             WHEN gone THEN array({closed})
+             WHEN gone THEN IF(replaces, slice(array({closed}), 1, 0), array({closed}))
              WHEN cur.attr_hash = new_hash THEN array(cur)
+             WHEN replaces THEN array({opened})
              ELSE array({closed}, {opened}) END
     """
-    known = joined.filter("cur IS NOT NULL OR NOT gone").withColumn("at", _ts(effective_ts))
+    at = F.greatest(_ts(effective_ts), F.col("cur.eff_start"))
+    known = joined.filter("cur IS NOT NULL OR NOT gone").withColumns({"at": at, "replaces": F.col("cur.eff_start") == at})
     return known.selectExpr(*quoted(keys), f"inline({versions})")
 
 
@@ -104,7 +110,9 @@ def scd2_from_log(
         .withColumn("attr_hash", row_hash(quoted(tracked)))
     )
     hot, cold = split_hot(rows, keys, hot_rows)
-    found = _changes(cold, keys, ts, order).unionByName(_changes_in_pieces(hot, keys, ts, order, hot_unit))
+    found = _changes(cold, keys, ts, order)
+    if hot is not None:
+        found = found.unionByName(_changes_in_pieces(hot, keys, ts, order, hot_unit))
     return found.selectExpr(
         *quoted([*keys, *tracked]),
         f"{row_hash_sql(quoted([*keys, *tracked, ts]))} AS hk",

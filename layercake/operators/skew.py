@@ -6,28 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from layercake.session import written
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, max_keys: int = 10_000) -> DataFrame:
-    """The at most ``max_keys`` most frequent keys among those with ``min_rows`` rows or more.
 
-    Counting combines on the map side, so the hot key itself is no problem here. A key left out has
-    fewer than ``min_rows`` rows or at most 1/``max_keys`` of all rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    """The keys with ``min_rows`` rows or more.
+
+    Counting combines on the map side, so the hot key itself is no problem here.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= min_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(max_keys)
-        .select(*keys)
-    )
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows).select(*keys)
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], min_rows: int) -> tuple[DataFrame, DataFrame]:
-    """(rows of hot keys, all other rows). Every row is in exactly one of the two.
+def split_hot(df: DataFrame, keys: Sequence[str], min_rows: int) -> tuple[DataFrame | None, DataFrame]:
+    """(rows of hot keys, all other rows). Every row is in exactly one of the two; None without a hot key.
 
-    Which keys count as hot changes the plan, never the result. The broadcast list is bounded by
-    ``hot_keys``' limit.
+    Which keys count as hot changes the plan, never the result. The list is counted and written once, so
+    Spark knows its size and broadcasts it only if it is small.
     """
-    hot = F.broadcast(hot_keys(df, keys, min_rows))
+    hot = written(hot_keys(df, keys, min_rows), "hot-keys")
+    if hot.isEmpty():
+        return None, df
     return df.join(hot, list(keys), "left_semi"), df.join(hot, list(keys), "left_anti")

@@ -33,6 +33,30 @@ def test_back_to_an_old_value_opens_a_third_version(spark):
     assert dim.select("hk").distinct().count() == 5
 
 
+def test_batches_of_one_time_or_an_earlier_one_replace_the_open_version(spark):
+    dim = open_dimension(frame(spark, (1, "A"), (2, "Z")), ["id"], ["zip"], D[2])
+    for value, at in (("B", D[2]), ("C", D[0]), ("A", D[2])):
+        dim = scd2_apply(dim, frame(spark, (1, value)), ["id"], ["zip"], at)
+        assert versions(dim) == [(1, value, 3, None, True), (2, "Z", 3, None, True)]
+    dim = scd2_apply(dim, frame(spark, (1, "B"), (7, None)), ["id"], ["zip"], D[3])
+    assert versions(dim)[:2] == [(1, "A", 3, 4, False), (1, "B", 4, None, True)]
+    feed = snapshot_diff(frame(spark, (1, "B"), (2, "Z")), frame(spark), ["id"])
+    gone = scd2_apply(dim, feed, ["id"], ["zip"], D[3], delete="close")
+    assert versions(gone) == [(1, "A", 3, 4, False), (2, "Z", 3, 4, False), (7, None, 4, None, True)]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from([None, "A", "B"]), st.integers(0, 3)), min_size=1, max_size=4))
+def test_intervals_of_batches_at_any_times_follow_each_other(spark, batches):
+    dim = open_dimension(frame(spark, (1, "A")), ["id"], ["zip"], D[1])
+    for value, at in batches:
+        dim = scd2_apply(dim, frame(spark, (1, value)), ["id"], ["zip"], D[at])
+    found = sorted(dim.select("eff_start", "eff_end", "hk", "zip").collect())
+    assert [r.eff_end for r in found] == [r.eff_start for r in found[1:]] + [None]
+    assert len({r.hk for r in found}) == len(found) == len({r.eff_start for r in found})
+    assert found[-1].zip == batches[-1][0]
+
+
 def test_null_to_value_and_back(spark):
     dim = open_dimension(frame(spark, (1, None)), ["id"], ["zip"], D[0])
     dim = scd2_apply(dim, frame(spark, (1, "A")), ["id"], ["zip"], D[1])
@@ -112,6 +136,7 @@ def test_one_current_row_and_no_overlap(spark):
 def test_hot_keys_are_the_frequent_ones(spark):
     df = spark.range(90).select(F.when(F.col("id") < 30, 1).otherwise(F.col("id")).alias("k"))
     assert rows(hot_keys(df, ["k"], 10)) == [(1,)]
+    assert split_hot(df, ["k"], 10**6)[0] is None
     hot, cold = split_hot(df, ["k"], 10)
     assert (hot.count(), cold.count()) == (30, 60)
 
