@@ -105,7 +105,8 @@ def screened(sets: DataFrame, like: Similarity) -> DataFrame:
 
 
 def candidate_postings(parts: DataFrame, like: Similarity) -> DataFrame:
-    """(gram, node, size, shared): each class's rarest n-grams that another class has too, and how many it has."""
+    """(gram, df, node, size, shared, at): each class's rarest n-grams that another class has too, how many it has
+    and where the n-gram stands among them, from 1, the rarest first."""
     every = parts.select("node", "size", F.explode("part").alias("gram"))
     shared = every.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     of_class = Window.partitionBy("node", "size")
@@ -113,7 +114,7 @@ def candidate_postings(parts: DataFrame, like: Similarity) -> DataFrame:
         {"at": F.row_number().over(of_class.orderBy("df", "gram")), "shared": F.count(F.lit(1)).over(of_class).cast("int")}
     )
     kept = ranked.filter(F.col("at") <= like.needed(F.col("size")) - (F.col("size") - F.col("shared")))
-    return kept.select("gram", "node", "size", "shared")
+    return kept.select("gram", "df", "node", "size", "shared", "at")
 
 
 def fragments(docs: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
@@ -184,13 +185,14 @@ def _open_lists(rest: DataFrame) -> DataFrame:
     """Lists with classes of more than one component; of lists with the same classes, one.
 
     N-grams of a passage that many documents share are in the same documents. Lists are told apart by
-    their length and 128 bits of their members' hashes.
+    their length and 128 bits of their members' hashes. The one of the rarest n-gram stays, so that the first
+    n-gram that two classes share keeps its list.
     """
     members = [F.count(F.lit(1)), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64(F.lit(1), "node"))]
     lists = rest.groupBy("gram").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), *[m.alias(f"m{i}") for i, m in enumerate(members)]
+        F.min("df").alias("df"), F.min("root").alias("low"), F.max("root").alias("high"), *[m.alias(f"m{i}") for i, m in enumerate(members)]
     )
-    return lists.filter("low <> high").groupBy("m0", "m1", "m2").agg(F.min("gram").alias("gram"))
+    return lists.filter("low <> high").groupBy("m0", "m1", "m2").agg(F.min(F.struct("df", "gram")).alias("first")).select("first.gram")
 
 
 def _hub_pairs(rest: DataFrame, like: Similarity, turn: int) -> DataFrame:
@@ -210,15 +212,17 @@ def _hub_pairs(rest: DataFrame, like: Similarity, turn: int) -> DataFrame:
 def _all_pairs(rest: DataFrame, like: Similarity) -> DataFrame:
     """Every pair of classes of different components that meet in a list and can be similar.
 
-    A pair is made in the first of the lists that it meets in only.
+    A pair is made in the first of the lists that it meets in only. It shares none of the n-grams before that
+    one, so no more than the fewer that either has from there on.
     """
-    earlier = Window.partitionBy("node", "size").orderBy("gram").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("node", "size").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     mine = rest.withColumn("before", F.collect_list("gram").over(earlier))
-    other = mine.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "shared", "root", "before")])
+    mine = mine.withColumn("ahead", F.col("shared") - F.col("at") + 1).select("gram", "node", "size", "ahead", "root", "before")
+    other = mine.select("gram", *[F.col(c).alias(f"{c}_b") for c in mine.columns if c != "gram"])
     met = mine.join(other, "gram").filter(
         (F.col("node") < F.col("node_b"))
         & (F.col("root") != F.col("root_b"))
-        & like.fits(F.col("shared"), F.col("size"), F.col("shared_b"), F.col("size_b"))
+        & like.fits(F.col("ahead"), F.col("size"), F.col("ahead_b"), F.col("size_b"))
         & ~F.arrays_overlap("before", "before_b")
     )
     return met.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
