@@ -65,6 +65,20 @@ def components_of(rows, n, percent):
     return {d: (len(sets[d]), find(d)) for d in sets}
 
 
+@pytest.mark.parametrize("changes", [1, 2, 3])
+def test_many_versions_of_one_text(spark, changes):
+    """All share rare n-grams with all others, and about as many pairs are links as are just not."""
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        ws = list(base)
+        for at in random.sample(range(len(ws)), changes):
+            ws[at] = f"c{random.randrange(40)}"
+        rows.append((i, " ".join(ws[random.choice([0, 0, 5]) :])))
+    got = ngram_join.ngram_components(frame(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components_of(rows, 4, 85)
+
+
 @pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80)])
 def test_ngram_components(spark, n, percent):
     base = [[random.choice(WORDS) for _ in range(50)] for _ in range(4)]
