@@ -57,11 +57,11 @@ def kpis(fact: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def with_date(fact: DataFrame, date_dim: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The fact with calendar columns. The date dimension has at most ``star.MAX_DAYS`` rows."""
+    """The fact with calendar columns. Spark broadcasts the date dimension by its size."""
     key = _date_column(fact)
     other = "date_dim_hk" if key == "order_date_dim_key" else "calendar_date"
     days = date_dim.select(F.col(other).alias(key), *columns)
-    return fact.join(F.broadcast(days), key)
+    return fact.join(days, key)
 
 
 def kpi_yearly(fact: DataFrame, date_dim: DataFrame, done: str = DELIVERED) -> DataFrame:

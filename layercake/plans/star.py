@@ -12,10 +12,6 @@ from layercake.operators.merge import latest_per_key
 from layercake.operators.scd2 import as_of as dim_as_of
 from layercake.operators.scd2 import current
 
-# Longest calendar a date dimension may span. It keeps one wrong date from blowing up a table that
-# later plans broadcast.
-MAX_DAYS = 200_000
-
 # What was loaded last counts, where a source keeps several rows of one order or item.
 LOAD_ORDER = ["_copy_data_ts", "_stg_file_load_ts", "_stg_file_name"]
 
@@ -48,13 +44,11 @@ def build_date_dim(orders: DataFrame, order_date: str, until: date | Column | No
     """One row per day from the first order to ``until`` (default: the last order), both included."""
     end = F.max(F.to_date(order_date)) if until is None else _date(until)
     bounds = orders.agg(F.min(F.to_date(order_date)).alias("start"), end.alias("end"))
-    too_long = F.datediff("end", "start") >= MAX_DAYS
-    last = F.when(too_long, F.raise_error(F.lit("date dimension too long")).cast("date")).otherwise(F.col("end"))
     forward = F.col("start") <= F.col("end")
     day = F.col("calendar_date")
     return (
         bounds.filter(forward)
-        .select(F.explode(F.sequence("start", last)).alias("calendar_date"))
+        .select(F.explode(F.sequence("start", "end")).alias("calendar_date"))
         .select(
             date_key("calendar_date").alias("date_dim_hk"),
             day,
@@ -89,8 +83,8 @@ def build_fact(
     or several rows of an item in an order, the one loaded last counts, so an item is one row of the fact.
 
     Everything known per order is joined per order first, so the item table, the largest by far, is
-    shuffled once for its order and once for its menu. Only the date dimension, of bounded length, is
-    broadcast by hint; for the others Spark decides by their size, and splits hot keys at run time.
+    shuffled once for its order and once for its menu. Spark broadcasts dimensions by their size, and
+    splits hot keys of the others at run time.
     """
 
     def newest(rows: DataFrame, *keys: str) -> DataFrame:
@@ -112,7 +106,7 @@ def build_fact(
         orders.select(
             "order_id", "customer_id_fk", "restaurant_id_fk", F.to_date("order_date").alias("calendar_date")
         )
-        .join(F.broadcast(days), "calendar_date")
+        .join(days, "calendar_date")
         .join(
             newest(deliveries, "order_id_fk").select(
                 F.col("order_id_fk").alias("order_id"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -10,13 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from layercake.operators.clean import stage_schema
 from layercake.registry import AUDIT, Entity
 
-# Room for columns a file has beyond its entity's.
-EXTRA_COLUMNS = 16
 # Files up to this size are hashed whole in one task, larger ones line by line across tasks.
 WHOLE_FILE_BYTES = 64 << 20
-MAX_LAYOUTS = 100
-# Up to this many files, what is known per file (some hundred bytes) is broadcast.
-BROADCAST_FILES = 100_000
 
 _FILE = "_stg_file_name"
 
@@ -41,9 +35,9 @@ def csv_options() -> dict[str, str]:
     }
 
 
-def positional_schema(entity: Entity) -> T.StructType:
-    """Text columns by position. A file may have more or fewer than the entity."""
-    return T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(entity.headers) + EXTRA_COLUMNS)])
+def positional_schema(entity: Entity, width: int = 0) -> T.StructType:
+    """Text columns by position, ``width`` of them or as many as the entity has."""
+    return T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(max(width, len(entity.headers)))])
 
 
 def read_stage(
@@ -56,7 +50,9 @@ def read_stage(
 ) -> DataFrame:
     """Stage rows of the files at ``path``. ``by='position'`` ignores the headers; files in ``loaded``
     (see ``only_new_files``) are left out."""
-    raw = with_file_columns(spark.read.schema(positional_schema(entity)).options(**csv_options()).csv(path))
+    # As wide as the widest header, so that every named column is read.
+    width = header_lines(spark, entity, path).agg(F.max(F.size("names"))).first()[0] if by == "header" else 0
+    raw = with_file_columns(spark.read.schema(positional_schema(entity, width or 0)).options(**csv_options()).csv(path))
     return finish_stage(spark, entity, raw, path, load_ts, by, loaded)
 
 
@@ -84,7 +80,7 @@ def finish_stage(
         hashes = only_new_files(hashes, loaded)
     stamp = load_ts if isinstance(load_ts, Column) else F.lit(str(load_ts))
     return (
-        bound.join(_per_file(hashes, list_stage(spark, path).count()), _FILE)
+        bound.join(hashes, _FILE)
         .withColumn("_copy_data_ts", stamp.cast("timestamp"))
         .select(*entity.headers, *AUDIT)
         .to(stage_schema(entity))
@@ -99,35 +95,32 @@ def bind_columns(spark: SparkSession, entity: Entity, raw: DataFrame, path: str
     by_position = list(range(len(entity.headers)))
     if by == "position":
         return raw.select(*_named(entity, by_position), _FILE, "_stg_file_load_ts")
-    headers = header_lines(spark, entity, path)
-    # Distinct header lines, not files: a handful however many files there are.
-    found = headers.groupBy("header").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LAYOUTS + 1).collect()
-    if len(found) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers for {entity.name}")
-    layouts = {r["header"]: _positions(entity, r["header"]) for r in found}
-    if not any(p != by_position for p in layouts.values()):
+    where = F.array(*[F.array_position("names", h).cast("int") - 1 for h in entity.headers])
+    headers = header_lines(spark, entity, path).select(_FILE, where.alias("where"))
+    straight = F.array(*[F.lit(i) for i in by_position])
+    if headers.filter(F.col("where") != straight).isEmpty():
         return raw.select(*_named(entity, by_position), _FILE, "_stg_file_load_ts")
-    joined = raw.join(_per_file(headers, sum(r["n"] for r in found)), _FILE, "left")
-    columns = []
-    for i, name in enumerate(entity.headers):
-        value = F.col(f"_{i}")
-        for line, positions in layouts.items():
-            if positions[i] != i:
-                value = F.when(F.col("header") == line, F.col(f"_{positions[i]}")).otherwise(value)
-        columns.append(value.alias(name))
+    cells = F.array(*[F.col(c) for c in raw.columns if c not in (_FILE, "_stg_file_load_ts")])
+    joined = raw.join(headers, _FILE, "left").select(
+        cells.alias("cells"), F.coalesce("where", straight).alias("where"), _FILE, "_stg_file_load_ts"
+    )
+    # A position beyond the columns read fails instead of giving null.
+    columns = [F.element_at("cells", F.get("where", F.lit(i)) + 1).alias(h) for i, h in enumerate(entity.headers)]
     return joined.select(*columns, _FILE, "_stg_file_load_ts")
 
 
 def header_lines(spark: SparkSession, entity: Entity, path: str | list[str]) -> DataFrame:
-    """Header line per file: the line that starts with the entity's first column name."""
-    first = entity.headers[0]
+    """(file, names) of each file that has a header line: one with all of the entity's column names, in any order."""
     plain = F.lower(F.regexp_replace("value", "[\ufeff\"\r]", ""))
-    lines = spark.read.options(**CSV_FILES).text(path)
+    names = F.transform(F.split(plain, ","), F.trim)
+    missing = F.array_except(F.array(*[F.lit(h) for h in entity.headers]), "names")
+    # Most lines are told apart by one name.
+    lines = spark.read.options(**CSV_FILES).text(path).filter(F.lower("value").contains(entity.headers[0]))
     return (
-        lines.select(F.col("_metadata.file_path").alias(_FILE), plain.alias("header"))
-        .filter(F.col("header").startswith(first))
+        lines.select(F.col("_metadata.file_path").alias(_FILE), names.alias("names"))
+        .filter(F.size(missing) == 0)
         .groupBy(_FILE)
-        .agg(F.min("header").alias("header"))
+        .agg(F.min("names").alias("names"))
     )
 
 
@@ -162,19 +155,5 @@ def only_new_files(files: DataFrame, loaded: DataFrame) -> DataFrame:
     return files.join(loaded.select(_FILE, "_stg_file_md5"), [_FILE, "_stg_file_md5"], "left_anti")
 
 
-def _per_file(files: DataFrame, n: int) -> DataFrame:
-    """One row per file, to be joined to the rows. Broadcast while there are few, so that the rows of a
-    large file stay where they are read."""
-    return F.broadcast(files) if n <= BROADCAST_FILES else files
-
-
-def _positions(entity: Entity, header_line: str) -> list[int]:
-    names = [n.strip() for n in next(csv.reader([header_line]))]
-    where = {n: i for i, n in reversed(list(enumerate(names)))}
-    if all(h in where and where[h] < len(entity.headers) + EXTRA_COLUMNS for h in entity.headers):
-        return [where[h] for h in entity.headers]
-    return list(range(len(entity.headers)))
-
-
 def _named(entity: Entity, positions: list[int]) -> list[Column]:
     return [F.col(f"_{p}").alias(h) for h, p in zip(entity.headers, positions)]

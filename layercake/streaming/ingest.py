@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from layercake.plans.pipeline import Warehouse
 from layercake.registry import Entity
-from layercake.sources.files import csv_options, finish_stage, positional_schema, with_file_columns
+from layercake.sources.files import csv_options, positional_schema, read_stage, with_file_columns
 
 # Files per micro-batch. Their names, and nothing else of them, come to the driver.
 MAX_FILES = 1000
@@ -46,7 +46,8 @@ def stream_stage(
         if not warehouse.stage(entity).has_batch(key):
             # Names come URL-encoded.
             paths = [unquote(r[0]) for r in batch.select("_stg_file_name").distinct().collect()]
-            rows = finish_stage(spark, entity, batch, paths, load_ts, by)
+            # The stream finds the files; they are read as in a batch, as wide as their headers are.
+            rows = read_stage(spark, entity, paths, load_ts, by)
             warehouse.append_stage(entity, rows, "continue", key)
         if then is not None:
             then()

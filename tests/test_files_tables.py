@@ -77,10 +77,21 @@ def test_large_files_are_hashed_in_pieces(spark, tmp_path, monkeypatch):
     assert whole["a.csv"] != pieces["a.csv"]
 
 
-def test_many_files_join_without_broadcast(spark, tmp_path, monkeypatch):
-    put(tmp_path / "in", "plain.csv", LOCATION, "1,Patna,Bihar,1,Yes,c,m")
-    monkeypatch.setattr(files, "BROADCAST_FILES", 0)
-    assert read_stage(spark, ENTITIES["location"], str(tmp_path / "in"), NOW).count() == 1
+def test_headers_in_any_order_and_as_wide_as_they_are(spark, tmp_path):
+    names = LOCATION.split(",")
+    cells = dict(zip(names, ["1", "Patna", "Bihar", "1", "Yes", "c", "m"]))
+    junk = [f"x{i}" for i in range(40)]
+    for i, order in enumerate([names[::-1], names[1:] + names[:1], [*junk, *names], [names[0], *junk, *names[1:]]]):
+        put(tmp_path / "in", f"{i}.csv", ",".join(order), ",".join(cells.get(n, "j") for n in order))
+    got = read_stage(spark, ENTITIES["location"], str(tmp_path / "in"), NOW)
+    assert rows(got.select(*ENTITIES["location"].headers)) == [tuple(cells.values())] * 4
+
+
+def test_more_layouts_than_a_hundred(spark, tmp_path):
+    for i in range(105):
+        put(tmp_path / "in", f"{i}.csv", ",".join(["x"] * i) + "," * (i > 0) + LOCATION, "j," * i + f"{i},Patna,Bihar,1,Yes,c,m")
+    got = read_stage(spark, ENTITIES["location"], str(tmp_path / "in"), NOW)
+    assert rows(got.select(got.locationid.cast("int"), "city")) == sorted([(i, "Patna") for i in range(105)], key=repr)
 
 
 # -- tables ----------------------------------------------------------------------------------------
