@@ -105,16 +105,24 @@ def screened(sets: DataFrame, like: Similarity) -> DataFrame:
 
 
 def candidate_postings(parts: DataFrame, like: Similarity) -> DataFrame:
-    """(gram, df, node, size, shared, at): each class's rarest n-grams that another class has too, how many it has
-    and where the n-gram stands among them, from 1, the rarest first."""
-    every = parts.select("node", "size", F.explode("part").alias("gram"))
+    """(gram, df, node, sign, size, shared, at): each set's rarest n-grams that another set has too, how many it has
+    and where the n-gram stands among them, from 1, the rarest first. A node may have several sets."""
+    every = parts.select("node", "sign", "size", F.explode("part").alias("gram"))
     shared = every.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    of_class = Window.partitionBy("node", "size")
+    of_set = Window.partitionBy("node", "sign", "size")
     ranked = every.join(shared, "gram").withColumns(
-        {"at": F.row_number().over(of_class.orderBy("df", "gram")), "shared": F.count(F.lit(1)).over(of_class).cast("int")}
+        {"at": F.row_number().over(of_set.orderBy("df", "gram")), "shared": F.count(F.lit(1)).over(of_set).cast("int")}
     )
     kept = ranked.filter(F.col("at") <= like.needed(F.col("size")) - (F.col("size") - F.col("shared")))
-    return kept.select("gram", "df", "node", "size", "shared", "at")
+    return kept.select("gram", "df", "node", "sign", "size", "shared", "at")
+
+
+def once(rows: DataFrame, again: DataFrame, repeated: bool, key: str = "_id") -> DataFrame:
+    """``rows`` with those of the ids in ``again`` made distinct; only these are shuffled."""
+    if not repeated:
+        return rows
+    again = small(again.select(F.col("_id").alias(key)))
+    return rows.join(again, key, "left_anti").unionByName(rows.join(again, key, "left_semi").distinct())
 
 
 def fragments(docs: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
@@ -143,9 +151,9 @@ def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     met = side("a").join(small(pairs), "a").join(other, ["b", "fragment"])
     texts = ["a", "b", "size_a", "size_b", "sign_a", "sign_b", "left_a", "left_b"]
     counted = met.select(*texts, "fragment", F.size(F.array_intersect("part_a", "part_b")).alias("k"))
-    # Repeated rows of an id would count a fragment twice.
-    once = counted.groupBy(*texts, "fragment").agg(F.max("k").alias("k"))
-    return once.groupBy(*texts).agg(F.sum("k").alias("overlap")).drop("sign_a", "sign_b")
+    # A repeated pair or part would count a fragment twice.
+    single = counted.groupBy(*texts, "fragment").agg(F.max("k").alias("k"))
+    return single.groupBy(*texts).agg(F.sum("k").alias("overlap")).drop("sign_a", "sign_b")
 
 
 def links(postings: DataFrame, parts: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
@@ -182,17 +190,20 @@ def links(postings: DataFrame, parts: DataFrame, like: Similarity, scratch: Scra
 
 
 def _open_lists(rest: DataFrame) -> DataFrame:
-    """Lists with classes of more than one component; of lists with the same classes, one.
+    """Lists with sets of more than one component; of lists with the same sets, one.
 
     N-grams of a passage that many documents share are in the same documents. Lists are told apart by
-    their length and 128 bits of their members' hashes. The one of the rarest n-gram stays, so that the first
-    n-gram that two classes share keeps its list.
+    their length and the sums of 128 bits of their members' hashes, 32 at a time, so that no sum overflows
+    and a member that stands twice does not cancel itself. The one of the rarest n-gram stays, so that the
+    first n-gram that two sets share keeps its list.
     """
-    members = [F.count(F.lit(1)), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64(F.lit(1), "node"))]
+    hashes = [F.xxhash64("node", "sign"), F.xxhash64(F.lit(1), "node", "sign")]
+    halves = [half for h in hashes for half in (h.bitwiseAND(F.lit(2**32 - 1)), F.shiftrightunsigned(h, 32))]
+    members = [F.count(F.lit(1)), *[F.sum(half) for half in halves]]
     lists = rest.groupBy("gram").agg(
         F.min("df").alias("df"), F.min("root").alias("low"), F.max("root").alias("high"), *[m.alias(f"m{i}") for i, m in enumerate(members)]
     )
-    return lists.filter("low <> high").groupBy("m0", "m1", "m2").agg(F.min(F.struct("df", "gram")).alias("first")).select("first.gram")
+    return lists.filter("low <> high").groupBy(*[f"m{i}" for i in range(len(members))]).agg(F.min(F.struct("df", "gram")).alias("first")).select("first.gram")
 
 
 def _hub_pairs(rest: DataFrame, like: Similarity, turn: int) -> DataFrame:
@@ -215,7 +226,7 @@ def _all_pairs(rest: DataFrame, like: Similarity) -> DataFrame:
     A pair is made in the first of the lists that it meets in only. It shares none of the n-grams before that
     one, so no more than the fewer that either has from there on.
     """
-    earlier = Window.partitionBy("node", "size").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("node", "sign", "size").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     mine = rest.withColumn("before", F.collect_list("gram").over(earlier))
     mine = mine.withColumn("ahead", F.col("shared") - F.col("at") + 1).select("gram", "node", "size", "ahead", "root", "before")
     other = mine.select("gram", *[F.col(c).alias(f"{c}_b") for c in mine.columns if c != "gram"])
@@ -228,6 +239,13 @@ def _all_pairs(rest: DataFrame, like: Similarity) -> DataFrame:
     return met.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
+def id_links(sets: DataFrame, classes: DataFrame, again: DataFrame, same: list[str]) -> DataFrame:
+    """Links (a, b) between the classes that an id of several rows has sets of."""
+    held = sets.join(small(again), "_id", "left_semi").join(classes, same).select("_id", "node").distinct()
+    least = held.groupBy("_id").agg(F.min("node").alias("a"))
+    return held.join(least, "_id").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+
+
 def ngram_components(docs: DataFrame, like: Similarity = Similarity(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``n_shingles`` (size of the set) and ``component_id`` (smallest id reachable by links).
 
@@ -241,14 +259,20 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), key: str
     sets = scratch.put(signed(source, like), "sets")
     classes = sets.filter("size > 0").groupBy(*same).agg(F.min("_id").alias("node")).filter("node IS NOT NULL")
     classes = scratch.put(classes, "classes")
-    own = sets.join(classes.withColumnRenamed("node", "_id"), [*same, "_id"], "left_semi")
+    again = sets.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND _id IS NOT NULL").select("_id")
+    again = scratch.put(again, "again")
+    repeated = not again.isEmpty()
+    own = once(sets.join(classes.withColumnRenamed("node", "_id"), [*same, "_id"], "left_semi"), again, repeated)
     nodes = scratch.put(screened(own.withColumnRenamed("_id", "node"), like), "nodes")
     sets = scratch.put(sets.select("_id", "_hash", *same).distinct(), "ids")
     scratch.drop("sets")
-    parts = scratch.put(fragments(source, nodes, like), "fragments")
+    parts = scratch.put(once(fragments(source, nodes, like), again, repeated, "node"), "fragments")
     postings = scratch.put(candidate_postings(parts, like), "postings")
     scratch.tidy()
-    roots = components(links(postings, parts, like, scratch), scratch)
+    found = links(postings, parts, like, scratch)
+    if repeated:
+        found = found.unionByName(id_links(sets, classes, again, same))
+    roots = components(found, scratch)
     of_class = classes.join(small(roots), "node", "left").select(*same, F.coalesce("root", "node").alias("component_id"))
     rows = sets.join(of_class, same, "left")
     own_id = F.when(F.col("size") == 0, F.col("_id"))

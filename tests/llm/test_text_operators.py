@@ -89,6 +89,34 @@ def test_ngram_components(spark, n, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components_of(rows, n, percent)
 
 
+@pytest.mark.parametrize("copies", [1, 2, 3])
+def test_repeated_rows_keep_their_links(spark, copies):
+    """Pairs of 20 n-grams that share 19: all n-grams of a pair are in the same two documents."""
+    rows = []
+    for i in range(6):
+        ws = [f"p{i}x{j}" for j in range(23)]
+        rows += [(2 * i, " ".join(ws)), (2 * i + 1, " ".join([*ws[:-1], "other"]))]
+    got = ngram_join.ngram_components(frame(spark, rows * copies)).collect()
+    assert len(got) == len(rows) * copies
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components_of(rows, 4, 85)
+
+
+def test_ids_of_several_texts_are_one_node(spark):
+    base = [[random.choice(WORDS) for _ in range(40)] for _ in range(12)]
+    rows = [(random.randrange(40), " ".join(random.choice(WORDS) if random.random() < 0.02 else w for w in random.choice(base))) for _ in range(60)]
+    alone = components_of(list(enumerate(t for _, t in rows)), 4, 85)
+    root = {d: d for d, _ in rows}
+    for _ in rows:  # the smallest id among all rows of an id and all rows of a component, until nothing moves
+        for group in ([alone[i][1] for i in range(len(rows))], [d for d, _ in rows]):
+            for g in set(group):
+                ids = [rows[i][0] for i in range(len(rows)) if group[i] == g]
+                least = min(root[d] for d in ids)
+                root.update({d: least for d in ids})
+    got = ngram_join.ngram_components(frame(spark, rows + rows[::2])).collect()
+    assert len(set(root.values())) > 1
+    assert {r.doc_id: r.component_id for r in got} == root and {(r.doc_id, r.component_id) for r in got} == set(root.items())
+
+
 def deleted_of(rows, least):
     seen, gone = {}, {}
     docs = [(d, [x.strip() for x in (t or "").split("\n") if x.strip()]) for d, t in sorted(rows)]
