@@ -4,7 +4,9 @@ A word is the bag of its character n-grams and itself, hashed to rows of an embe
 a window of words are averaged and go through a linear softmax over (clean, toxic). A text scores as its
 most toxic window, so that a few words count alike in short and long texts. Embeddings and softmax are
 trained jointly, in numpy, from labels of whole texts: while training, windows share a text's gradient by
-how toxic they look. Misspelt words that no label has shown share n-grams with known ones.
+how toxic they look. Misspelt words that no label has shown share n-grams with known ones. What has no
+spaces, such as Chinese text or words glued by other marks, is read whole: a long word is cut into
+overlapping pieces, each of which is a word of a window.
 
 The average of linear scores is the linear score of the average: a worker computes one number per word,
 remembers it, and reads texts of any length in one pass. Nothing is shuffled for scoring.
@@ -24,19 +26,30 @@ from layercake.llm.workers import give_back, ship
 PUNCTUATION = " \t\n\r\f\v.,;:!?\"'`()[]{}<>*#$%&|~^_=+-/\\…«»“”‘’¿¡"
 WINDOW, STRIDE = 8, 4
 SMALLEST, LARGEST = 3, 5
+LONGEST = 30  # code points of a word; a longer one becomes pieces
+PIECE, STEP = 6, 2  # each n-gram of a longer word is within a piece; a window of pieces spans some ten short words
 KNOWN_WORDS = 150_000  # remembered per worker; beyond that it starts anew
 WORDS_AT_ONCE = 20_000
 
 
 def words_of(text: str | None) -> list[str]:
-    return text.lower().split() if text else []
+    """The words of a text. One of more than ``LONGEST`` code points is given as overlapping pieces of it."""
+    words = text.lower().split() if text else []
+    if not words or max(map(len, words)) <= LONGEST:
+        return words
+    return [p for w in words for p in ([w] if len(w) <= LONGEST else pieces(w))]
+
+
+def pieces(word: str) -> list[str]:
+    """Pieces that hang over both ends, so that n-grams there are in as many as those in the middle."""
+    return [word[max(0, i) : i + PIECE] for i in range(-STEP, len(word) - SMALLEST + 1, STEP)]
 
 
 def ngrams(words: Sequence[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of all words, and where each word's begin; every word has one at least (itself)."""
-    raw = [b"<" + w.strip(PUNCTUATION).encode("utf-8", "replace")[:60] + b">" for w in words]
+    """Hashed n-grams of code points of all words, and where each word's begin; every word has one at least (itself)."""
+    raw = [f"<{w.strip(PUNCTUATION)}>" for w in words]
     lengths = np.fromiter(map(len, raw), np.int64, len(raw))
-    codes = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64) + np.uint64(1)
+    codes = np.frombuffer("".join(raw).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
     ends = np.cumsum(lengths)
     starts = ends - lengths
     owner = np.repeat(np.arange(len(raw)), lengths)

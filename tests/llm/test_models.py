@@ -87,6 +87,33 @@ def test_toxicity_held_out(spark):
     assert got[9002].predicted == 1 and got[9000].score == got[9001].score
 
 
+def test_pieces_hold_every_ngram_of_a_long_word():
+    for n in (1, 20, 30, 31, 36, 37, 44, 45, 500):
+        word = "".join(chr(0x4E00 + i) for i in range(n))
+        got = toxicity.words_of(word)
+        assert got == [word] if n <= toxicity.LONGEST else max(map(len, got)) <= toxicity.PIECE
+        for k in range(toxicity.SMALLEST, toxicity.LARGEST + 1):
+            assert {word[i : i + k] for i in range(n - k + 1)} == {p[i : i + k] for p in got for i in range(len(p) - k + 1)}
+
+
+@pytest.mark.parametrize(("glue", "n"), [("", 2400), ("，", 600), ("_", 600), ("\u200b", 600)])
+def test_toxicity_reads_texts_without_spaces(glue, n):
+    rng = random.Random(3)
+    clean = ["".join(chr(0x4E00 + rng.randrange(300)) for _ in range(rng.randint(2, 3))) for _ in range(30)]
+    bad, texts, labels = ["毒害恶", "骂咒鬼", "蠢猪狗"], [], []
+    for i in range(n):
+        ws = [rng.choice(clean) for _ in range(rng.randint(30, 120))]
+        if i % 3 == 0:
+            ws[rng.randrange(25, len(ws))] = rng.choice(bad)
+        texts.append(glue.join(ws))
+        labels.append(int(i % 3 == 0))
+    model = toxicity.SubwordSoftmax().fit(texts[: n * 3 // 4], labels[: n * 3 // 4])
+    assert np.mean((model.scores(texts[n * 3 // 4 :]) >= 0.5) == np.array(labels[n * 3 // 4 :])) > 0.95
+    prefix = glue.join(clean[:25])
+    harmless, toxic = model.scores([prefix, glue.join([prefix, bad[0]])])
+    assert harmless < 0.5 and harmless < toxic
+
+
 @pytest.mark.parametrize("rows", [0, 1, 39, 1000])
 def test_shards(spark, rows):
     df = spark.range(rows).withColumnRenamed("id", "shard").repartition(3) if rows else spark.range(0)
