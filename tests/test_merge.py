@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from helpers import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 

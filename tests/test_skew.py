@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from layercake.operators.merge import latest_per_key
