@@ -95,4 +95,27 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
-SQL = {"op4_decontamination": _CONTAMINATION, "op2_quality_rules": _QUALITY, "op6_chat_formatting": _CHAT, "op8_url_filter": _url()}
+_PHRASES = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS id,
+         regexp_extract_all(unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws
+  FROM documents),
+g AS (SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM p, (VALUES (1), (2), (3)) v(k))),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS n FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10),
+i AS (SELECT lang, phrase, max(a) AS longer
+      FROM (SELECT lang, a, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS phrase FROM c WHERE k = 3) GROUP BY ALL),
+s AS (SELECT c.* FROM c LEFT JOIN i USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a),
+x AS (SELECT lang, phrase, a, j, array_to_string(ws[1 : j], ' ') AS first, array_to_string(ws[j + 1 : k], ' ') AS rest
+      FROM (SELECT *, unnest(range(1, k)) AS j FROM s)),
+y AS (SELECT x.lang, x.phrase, a, fl.n AS l, fr.n AS r, j, (1000000 * a * a) // (fl.n * fr.n) AS score
+      FROM x JOIN f fl ON fl.lang = x.lang AND fl.phrase = x.first JOIN f fr ON fr.lang = x.lang AND fr.phrase = x.rest),
+z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
+SELECT o.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, t.n::BIGINT AS n, score::BIGINT AS score
+FROM o JOIN t ON o.lang = t.lang WHERE rank <= 2000
+"""
+
+SQL = {"op13_collocations": _PHRASES, "op4_decontamination": _CONTAMINATION, "op2_quality_rules": _QUALITY, "op6_chat_formatting": _CHAT, "op8_url_filter": _url()}
