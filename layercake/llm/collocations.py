@@ -30,6 +30,7 @@ from layercake.llm.workers import give_back, ship
 
 SHARD_WORDS = 1_000_000
 FILTER_BITS = 26  # 8 MB
+RANK_PARTS = 256
 NO_LANGUAGE = "und"
 BREAK = b"\n"  # stands for every mark between pieces
 MARKS = b".,;:!?\x0b\x0c\r"
@@ -265,7 +266,12 @@ def collocations(
         .agg(F.min(F.struct("score", "k", "a", "l", "r")).alias("x"))
         .select("lang", "phrase", "x.a", "x.l", "x.r", "x.score")
     )
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # A language's phrases are cut into parts first, so that its last task sees no more than the best of each part.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)).cast("int")
+    of_part = Window.partitionBy("lang", "part").orderBy(*order)
+    scored = scored.withColumn("part", part).withColumn("rank", F.row_number().over(of_part)).filter(F.col("rank") <= top)
+    best = Window.partitionBy("lang").orderBy(*order)
     ranked = scored.withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= top)
     totals = counts.filter("words = 0").select("lang", "n")
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
