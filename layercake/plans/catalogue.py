@@ -18,7 +18,7 @@ from layercake.operators.clean import clean
 from layercake.operators.merge import apply_diff, delete_where, latest_per_key, snapshot_diff, upsert
 from layercake.plans import dashboard, kpis, retail
 from layercake.plans.pipeline import Warehouse
-from layercake.plans.star import FACT_KEYS, build_date_dim, build_fact
+from layercake.plans.star import FACT_KEYS, ORDER_TIME, build_date_dim, build_fact
 from layercake.plans.views import register
 from layercake.registry import AUDIT, DIMENSIONS, ENTITIES
 from layercake.session import shared_dir, written
@@ -249,7 +249,7 @@ def scd2_log_events(spark: SparkSession, folder: str) -> DataFrame:
 def scd2_log_hot_users(spark: SparkSession, folder: str) -> DataFrame:
     """The same with every user of 20 events or more treated as a hot key."""
     log = retail.table(spark, folder, "events")
-    return scd2.scd2_from_log(log, ["user_id"], ["event_type"], "ts", ["event_id"], hot_rows=20, hot_unit="DAY")
+    return scd2.scd2_from_log(log, ["user_id"], ["event_type"], "ts", ["event_id"], hot_rows=20)
 
 
 def scd2_current(spark: SparkSession, folder: str) -> DataFrame:
@@ -505,6 +505,91 @@ def star_fact_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.fact().read()
 
 
+def _warehouse_without(spark: SparkSession, folder: str, entity: str, late: str) -> Warehouse:
+    """All entities through the warehouse but those rows of ``entity`` for which ``late`` is true."""
+    warehouse = Warehouse(spark, shared_dir(spark, "warehouse"), buckets=4)
+    for name, rows in retail.stage_rows_of(spark, folder).items():
+        if name == "order_item":
+            rows = latest_per_key(rows, ["orderitemid", "orderid"], ["modifieddate"])
+        warehouse.append_stage(ENTITIES[name], delete_where(rows, F.expr(late)) if name == entity else rows, "continue")
+    warehouse.run_all(LOADED)
+    return warehouse
+
+
+def _then_late(spark: SparkSession, folder: str, warehouse: Warehouse, entity: str, late: str) -> DataFrame:
+    rows = retail.stage_rows(spark, folder, ENTITIES[entity]).filter(late)
+    warehouse.append_stage(ENTITIES[entity], rows.withColumn("_copy_data_ts", F.lit(str(NEXT_DAY)).cast("timestamp")), "continue")
+    warehouse.run_all(NEXT_DAY)
+    return warehouse.fact().read()
+
+
+LATE = {"customer": "customerid % 5 = 2", "menu": "category LIKE 'PROMO%'", "location": "locationid % 3 = 1"}
+
+
+def star_fact_late_customer(spark: SparkSession, folder: str) -> DataFrame:
+    """A fifth of the customers arrive a day after their orders, which then enter the fact."""
+    return _then_late(spark, folder, _warehouse_without(spark, folder, "customer", LATE["customer"]), "customer", LATE["customer"])
+
+
+def star_fact_late_menu(spark: SparkSession, folder: str) -> DataFrame:
+    """Menu entries arrive a day after the items that order them."""
+    return _then_late(spark, folder, _warehouse_without(spark, folder, "menu", LATE["menu"]), "menu", LATE["menu"])
+
+
+def star_pending(spark: SparkSession, folder: str) -> DataFrame:
+    """What orders wait for while some locations are missing, and again, for nothing, after these have come."""
+    warehouse = _warehouse_without(spark, folder, "location", LATE["location"])
+    before = written(warehouse.pending().read().withColumn("day", F.lit(1)), "pending")
+    _then_late(spark, folder, warehouse, "location", LATE["location"])
+    return before.unionByName(warehouse.pending().read().withColumn("day", F.lit(2)))
+
+
+def star_fact_reassigned(spark: SparkSession, folder: str) -> DataFrame:
+    """A day later, deliveries in progress have another agent and the first item of each order another menu entry."""
+    warehouse = _warehouse_without(spark, folder, "", "")
+    stamp = F.lit(str(NEXT_DAY)).cast("timestamp")
+    moved = retail.stage_rows(spark, folder, ENTITIES["delivery"]).filter("deliverystatus = 'Processing'")
+    agent = F.col("deliveryagentid").cast("long")
+    warehouse.append_stage(
+        ENTITIES["delivery"], moved.withColumns({"deliveryagentid": F.abs(agent - 1).cast("string"), "_copy_data_ts": stamp}), "continue"
+    )
+    items = retail.stage_rows(spark, folder, ENTITIES["order_item"]).filter("orderitemid % 10 = 1")
+    items = latest_per_key(items, ["orderitemid", "orderid"], ["modifieddate"])
+    warehouse.append_stage(ENTITIES["order_item"], items.withColumns({"menuid": F.lit("0"), "_copy_data_ts": stamp}), "continue")
+    warehouse.run_all(NEXT_DAY)
+    return warehouse.fact().read()
+
+
+SPRING, BEFORE_ALL = datetime(1998, 3, 1), datetime(1990, 1, 1)
+
+
+def _dimension_with_history(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Open since long ago; in spring 1998 some customers moved, some menu prices rose, some restaurants opened elsewhere."""
+    entity, rows = ENTITIES[name], clean_rows(spark, folder, name)
+    dim = scd2.open_dimension(rows, entity.keys, entity.tracked, BEFORE_ALL)
+    moves = {
+        "customer": ("customer_id % 3 = 0", {"mobile": F.lit("1")}),
+        "menu": ("category = 'ECONOMY'", {"price": (F.col("price") + 1).cast("decimal(10,2)")}),
+        "restaurant": ("restaurant_id % 2 = 0", {"location_id_fk": F.lit(0).cast("long")}),
+    }
+    if name not in moves:
+        return dim
+    condition, new = moves[name]
+    return scd2.scd2_apply(dim, rows.filter(condition).withColumns(new), entity.keys, entity.tracked, SPRING)
+
+
+def star_fact_as_of_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Every item with the dimension versions valid when its order was placed."""
+    lines = latest_per_key(clean_rows(spark, folder, "order_item"), ["order_item_id", "order_id_fk"], ["modified_dt"])
+    return build_fact(
+        lines,
+        clean_rows(spark, folder, "orders"),
+        clean_rows(spark, folder, "delivery"),
+        {n: _dimension_with_history(spark, folder, n) for n in DIMENSIONS},
+        as_of=ORDER_TIME,
+    )
+
+
 # -- files and streams -----------------------------------------------------------------------------
 
 
@@ -632,7 +717,8 @@ QUERIES: dict[str, Query] = {
         parse_dates, lenient_casts, json_props, split_names, month_names, hash_keys,
         quality_bad_rows, quality_good_rows, unique_check, fk_check, masked_customers, masked_restaurants,
         star_date_dim, star_fact, star_kpi_yearly, star_kpi_by_restaurant, star_kpi_by_city, star_kpi_by_category,
-        star_views, star_fact_merge, star_fact_incremental,
+        star_views, star_fact_merge, star_fact_incremental, star_fact_late_customer, star_fact_late_menu, star_pending,
+        star_fact_reassigned, star_fact_as_of_order,
         csv_roundtrip, csv_header_binding, csv_quarantine, stage_delete, load_once, list_files, stream_ingest, stream_to_scd2,
         feed_reset,
     ]

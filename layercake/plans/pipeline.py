@@ -10,10 +10,10 @@ from layercake.operators.clean import clean, clean_schema, dimension_schema, sta
 from layercake.operators.merge import delete_where, latest_per_key, upsert
 from layercake.operators.quality import split_stage
 from layercake.operators.scd2 import advance
-from layercake.plans.star import FACT_KEYS, FACT_SCHEMA, build_date_dim, build_fact
+from layercake.plans.star import DATE_SCHEMA, DIMENSION_KEYS, FACT_COLUMNS, FACT_KEYS, FACT_SCHEMA, build_date_dim, resolve
 from layercake.plans.views import register
 from layercake.registry import DIMENSIONS, ENTITIES, Entity
-from layercake.session import written
+from layercake.session import scratch
 from layercake.sources.files import read_stage
 from layercake.sources.tables import VersionedTable
 
@@ -55,6 +55,14 @@ class Warehouse:
         schema = T.StructType.fromDDL(FACT_SCHEMA)
         return self._table("consumption/order_item_fact", schema, FACT_KEYS, ["order_id"])
 
+    def pending(self) -> VersionedTable:
+        """Orders that wait for a dimension row; one row per order, dimension and key."""
+        schema = T.StructType.fromDDL("order_id long, dimension string, key long")
+        return self._table("consumption/pending_orders", schema, schema.names, ["order_id"])
+
+    def dates(self) -> VersionedTable:
+        return self._table("consumption/date_dim", T.StructType.fromDDL(DATE_SCHEMA))
+
     # -- steps ---------------------------------------------------------------------------------
 
     def load_stage(
@@ -138,38 +146,80 @@ class Warehouse:
         touched = source.touched_since(read_to)
         return target.merge(feed, combine, touched, sources={"clean": upto})
 
-    def refresh_fact(self, date_dim: DataFrame | None = None) -> int:
-        """Rebuilds the items of every order that changed, or whose items or delivery changed."""
-        target = self.fact()
-        sources = {n: self.clean(ENTITIES[n]) for n in FACT_FEEDS}
-        upto = {n: t.version() for n, t in sources.items()}
-        read_to = {n: target.consumed(n) for n in sources}
-        if read_to == upto:
+    def refresh_fact(self) -> int:
+        """Rebuilds the items of every order that changed, whose items or delivery changed, or for which a dimension row
+        that it lacked has arrived.
+
+        Orders that lack one wait in the pending table, which is written before the fact. The fact knows the version
+        of it that it has taken in, so after a crash in between the same orders are rebuilt.
+        """
+        target, pending = self.fact(), self.pending()
+        feeds = {n: self.clean(ENTITIES[n]) for n in FACT_FEEDS}
+        dims = {n: self.dim(ENTITIES[n]) for n in DIMENSIONS}
+        upto = {n: t.version() for n, t in feeds.items()} | {f"{n}_dim": t.version() for n, t in dims.items()}
+        read_to = {n: target.consumed(n) for n in upto}
+        waiting = pending.read(version=target.consumed("pending"))
+        quiet = all(read_to[n] == upto[n] for n in feeds)
+        if quiet and (read_to == upto or waiting.isEmpty()):
             return target.version()
-        changed, touched = None, set()
+        changed, touched = self._arrived(waiting, read_to), set()
         for n, key in FACT_FEEDS.items():
-            feed = sources[n].changes(read_to[n], ENTITIES[n].columns)
-            ids = feed.select(F.col(key).alias("order_id"))
-            changed = ids if changed is None else changed.unionByName(ids)
-            touched |= set(sources[n].touched_since(read_to[n]))
-        # Read three times below, and the diffs behind it are costly: written once.
-        changed = written(changed.distinct(), "changed-orders")
-
-        def of_changed(n: str) -> DataFrame:
-            # All three are cut by order, so the buckets that changed in one are all that is needed.
-            rows = sources[n].read(buckets=sorted(touched), appended=False)
-            key = FACT_FEEDS[n]
-            return rows.join(changed.select(F.col("order_id").alias(key)), key, "left_semi")
-
-        orders = sources["orders"].read()
-        fresh = build_fact(
-            of_changed("order_item"),
-            of_changed("orders"),
-            of_changed("delivery"),
-            {n: self.dim(ENTITIES[n]).read(appended=False) for n in DIMENSIONS},
-            build_date_dim(orders, "order_date") if date_dim is None else date_dim,
-        )
-        return target.merge(fresh, lambda old, new: upsert(old, new, FACT_KEYS), sorted(touched), sources=upto)
+            changed = changed.unionByName(feeds[n].changes(read_to[n], ENTITIES[n].columns).select(F.col(key).alias("order_id")))
+            touched |= set(feeds[n].touched_since(read_to[n]))
+        with scratch(self.spark, "fact") as put:
+            # Read several times below, and the diffs behind it are costly: written once.
+            changed = put(changed.distinct())
+            touched = sorted(touched | set(target.buckets_of(changed)))
+
+            def of_changed(n: str) -> DataFrame:
+                # All three are cut by order, so the buckets that changed in one are all that is needed.
+                rows = feeds[n].read(buckets=touched, appended=False)
+                key = FACT_FEEDS[n]
+                return rows.join(changed.select(F.col("order_id").alias(key)), key, "left_semi")
+
+            found = put(
+                resolve(
+                    of_changed("order_item"),
+                    of_changed("orders"),
+                    of_changed("delivery"),
+                    {n: t.read(appended=False) for n, t in dims.items()},
+                )
+            )
+            lacking = found.select("order_id", F.inline("_missing")).distinct()
+
+            def still_waiting(old: DataFrame, new: DataFrame) -> DataFrame:
+                return old.join(changed, "order_id", "left_anti").unionByName(new)
+
+            noted = pending.version()
+            if noted or not lacking.isEmpty():
+                noted = pending.merge(lacking, still_waiting, touched)
+            fresh = found.dropna(subset=DIMENSION_KEYS).select(*FACT_COLUMNS)
+            return target.merge(
+                fresh, lambda old, new: upsert(old, new, FACT_KEYS), touched, sources=upto | {"pending": noted}
+            )
+
+    def _arrived(self, waiting: DataFrame, read_to: dict[str, int]) -> DataFrame:
+        """Waiting orders of which a dimension row was written since."""
+        found = waiting.select("order_id").filter("false")
+        for n in DIMENSIONS:
+            dim, entity = self.dim(ENTITIES[n]), ENTITIES[n]
+            written_since = dim.read(buckets=dim.touched_since(read_to[f"{n}_dim"]), appended=False)
+            keys = written_since.select(F.col(entity.keys[0]).alias("key"))
+            found = found.unionByName(waiting.filter(F.col("dimension") == n).join(keys, "key", "left_semi").select("order_id"))
+        return found
+
+    def refresh_dates(self) -> int:
+        """Days of new orders to the date dimension. Only orders that changed are read."""
+        source, target = self.clean(ENTITIES["orders"]), self.dates()
+        read_to, upto = target.consumed("orders"), source.version()
+        if read_to == upto:
+            return target.version()
+        days = source.changes(read_to, ["order_id", "order_date"]).select("order_date")
+        known = target.read()
+        ends = known.agg(F.min("calendar_date").alias("a"), F.max("calendar_date").alias("b"))
+        both = days.unionByName(ends.select(F.explode(F.array("a", "b")).alias("order_date")).select(F.col("order_date").cast("timestamp")))
+        fresh = build_date_dim(both, "order_date").join(known, "date_dim_hk", "left_anti")
+        return target.append(fresh.select(*target.schema.names), sources={"orders": upto})
 
     def run_increment(self, entity: Entity, effective_ts: datetime) -> None:
         """Unread stage rows through clean table and dimension. Repeating it changes nothing."""
@@ -180,13 +230,15 @@ class Warehouse:
     def run_all(self, effective_ts: datetime) -> None:
         for entity in ENTITIES.values():
             self.run_increment(entity, effective_ts)
+        self.refresh_dates()
         self.refresh_fact()
 
     def register_views(self, until: date | None = None) -> list[str]:
         """The consumption layer as temporary views for SQL: see ``views.register``."""
-        orders = self.clean(ENTITIES["orders"]).read()
         dims = {n: self.dim(ENTITIES[n]).read() for n in DIMENSIONS}
-        return register(self.fact().read(), build_date_dim(orders, "order_date", until), dims)
+        self.refresh_dates()
+        days = self.dates().read()
+        return register(self.fact().read(), days if until is None else build_date_dim(days, "calendar_date", until), dims)
 
     def reset_feed(self, entity: Entity) -> None:
         """The next refreshes start from now: what is unread stays unread for good."""

@@ -22,9 +22,6 @@ STATES = [
     "Maharashtra", "Delhi", "Rajasthan", "Tamil Nadu", "Kerala", "Himachal Pradesh", "Bihar", "Manipur",
 ]
 
-# Orders are spread over this many restaurants and agents; the smallest supplier table has as many.
-OUTLETS = 10
-
 LOADED_AT = "2025-01-01 00:00:00"
 
 
@@ -85,6 +82,10 @@ def stage_rows(spark: SparkSession, folder: str, entity: Entity) -> DataFrame:
     source, columns = _SOURCES[entity.name]
     text = columns()
     rows = table(spark, folder, source)
+    if entity.name in ("menu", "orders", "delivery"):
+        # Spread over all restaurants and agents, numbered from 0.
+        suppliers = table(spark, folder, "supplier").agg(F.count(F.lit(1)))
+        rows = rows.withColumn("_outlets", suppliers.scalar())
     return rows.select(
         *[text[h].cast("string").alias(h) for h in entity.headers],
         F.lit(f"{entity.name}.csv").alias("_stg_file_name"),
@@ -206,7 +207,7 @@ def _menu() -> dict[str, Column]:
     key = "p_partkey"
     return {
         "menuid": F.col(key),
-        "restaurantid": F.col(key) % OUTLETS,
+        "restaurantid": F.col(key) % F.col("_outlets"),
         "itemname": F.concat(F.lit(" "), F.col("p_name"), F.lit("  ")),
         "description": F.concat_ws(" ", "p_brand", "p_name"),
         "price": money("p_retailprice"),
@@ -240,7 +241,7 @@ def _orders() -> dict[str, Column]:
     return {
         "orderid": F.col(key),
         "customerid": F.col("o_custkey"),
-        "restaurantid": F.col(key) % OUTLETS,
+        "restaurantid": F.col(key) % F.col("_outlets"),
         "orderdate": F.when(F.col(key) % 2 == 0, _us_date(F.col("o_orderdate"))).otherwise(_iso(F.col("o_orderdate"))),
         "totalamount": money("o_totalprice"),
         "status": delivery_status(),
@@ -268,7 +269,7 @@ def _delivery() -> dict[str, Column]:
     return {
         "deliveryid": F.col(key),
         "orderid": F.col(key),
-        "deliveryagentid": F.col(key) % OUTLETS,
+        "deliveryagentid": F.col(key) % F.col("_outlets"),
         "deliverystatus": delivery_status(),
         "estimatedtime": F.concat((F.col(key) % 60).cast("string"), F.lit(" minutes")),
         "addressid": F.col("o_custkey"),

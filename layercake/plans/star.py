@@ -11,6 +11,8 @@ from layercake.functions.hashing import row_hash
 from layercake.operators.merge import latest_per_key
 from layercake.operators.scd2 import as_of as dim_as_of
 from layercake.operators.scd2 import current
+from layercake.operators.sequence import as_of_join
+from layercake.session import written
 
 # What was loaded last counts, where a source keeps several rows of one order or item.
 LOAD_ORDER = ["_copy_data_ts", "_stg_file_load_ts", "_stg_file_name"]
@@ -32,6 +34,9 @@ FACT_COLUMNS = [
     "delivery_status",
     "estimated_time",
 ]
+# What an item may lack; an order's date has its key by itself.
+DIMENSION_KEYS = [c for c in FACT_COLUMNS if c.endswith("_dim_key")]
+ORDER_TIME = "order time"
 FACT_SCHEMA = (
     "order_item_id long, order_id long, customer_dim_key string, customer_address_dim_key string,"
     " restaurant_dim_key string, restaurant_location_dim_key string, menu_dim_key string,"
@@ -40,6 +45,12 @@ FACT_SCHEMA = (
 )
 
 
+DATE_SCHEMA = (
+    "date_dim_hk string, calendar_date date, year int, quarter int, month int, week int, day_of_year int,"
+    " day_of_week int, day_of_the_month int, day_name string"
+)
+
+
 def build_date_dim(orders: DataFrame, order_date: str, until: date | Column | None = None) -> DataFrame:
     """One row per day from the first order to ``until`` (default: the last order), both included."""
     end = F.max(F.to_date(order_date)) if until is None else _date(until)
@@ -73,70 +84,124 @@ def build_fact(
     orders: DataFrame,
     deliveries: DataFrame,
     dims: Mapping[str, DataFrame],
-    date_dim: DataFrame,
+    date_dim: DataFrame | None = None,
     as_of: str | None = None,
 ) -> DataFrame:
-    """Order items with the keys of their dimension versions.
+    """Order items with the keys of their dimension versions; items that lack one of them are left out.
 
     ``dims`` holds the six dimensions by entity name. Without ``as_of`` the open versions are taken,
-    with it those open at that time. The address is the one delivered to. Of several deliveries of an order,
+    with it those open at that time, or, for ``ORDER_TIME``, those valid when their order was placed. The address is
+    the one delivered to. Of several deliveries of an order,
     or several rows of an item in an order, the one loaded last counts, so an item is one row of the fact.
 
     Everything known per order is joined per order first, so the item table, the largest by far, is
     shuffled once for its order and once for its menu. Spark broadcasts dimensions by their size, and
     splits hot keys of the others at run time.
     """
+    # Spark makes these left joins inner ones, as no key may be missing.
+    return resolve(items, orders, deliveries, dims, date_dim, as_of).dropna(subset=DIMENSION_KEYS).select(*FACT_COLUMNS)
+
+
+def resolve(
+    items: DataFrame,
+    orders: DataFrame,
+    deliveries: DataFrame,
+    dims: Mapping[str, DataFrame],
+    date_dim: DataFrame | None = None,
+    as_of: str | None = None,
+) -> DataFrame:
+    """As ``build_fact``, with every item of a delivered order; ``_missing`` lists the dimension rows (dimension, key) that
+    it waits for. An item without an order, a delivery or a date waits for no dimension: these change with its order."""
+    pick = _AsOfOrder(dims) if as_of == ORDER_TIME else _Open(dims, as_of)
 
     def newest(rows: DataFrame, *keys: str) -> DataFrame:
         return latest_per_key(rows, keys, [c for c in LOAD_ORDER if c in rows.columns])
 
-    def pick(name: str) -> DataFrame:
-        return current(dims[name]) if as_of is None else dim_as_of(dims[name], F.lit(as_of))
-
-    place = pick("restaurant").select(
-        F.col("restaurant_id").alias("restaurant_id_fk"), F.col("hk").alias("restaurant_dim_key"), "location_id_fk"
-    ).join(
-        pick("location").select(
-            F.col("location_id").alias("location_id_fk"), F.col("hk").alias("restaurant_location_dim_key")
-        ),
-        "location_id_fk",
+    header = orders.select(
+        "order_id", "customer_id_fk", "restaurant_id_fk", "order_date", F.to_date("order_date").alias("calendar_date")
     )
-    days = date_dim.select("calendar_date", F.col("date_dim_hk").alias("order_date_dim_key"))
-    header = (
-        orders.select(
-            "order_id", "customer_id_fk", "restaurant_id_fk", F.to_date("order_date").alias("calendar_date")
-        )
-        .join(days, "calendar_date")
-        .join(
-            newest(deliveries, "order_id_fk").select(
-                F.col("order_id_fk").alias("order_id"),
-                "delivery_agent_id_fk",
-                "customer_address_id_fk",
-                "delivery_status",
-                "estimated_time",
-            ),
-            "order_id",
-        )
-        .join(_keyed(pick("customer"), "customer_id", "customer_id_fk", "customer_dim_key"), "customer_id_fk")
-        .join(
-            _keyed(pick("customer_address"), "address_id", "customer_address_id_fk", "customer_address_dim_key"),
-            "customer_address_id_fk",
-        )
-        .join(place, "restaurant_id_fk")
-        .join(
-            _keyed(pick("delivery_agent"), "delivery_agent_id", "delivery_agent_id_fk", "delivery_agent_dim_key"),
+    if date_dim is None:  # one that covers all orders has every day of theirs
+        header = header.withColumn("order_date_dim_key", F.when(F.col("calendar_date").isNotNull(), date_key("calendar_date")))
+    else:
+        days = date_dim.select("calendar_date", F.col("date_dim_hk").alias("order_date_dim_key"))
+        header = header.join(days, "calendar_date")
+    header = header.join(
+        newest(deliveries, "order_id_fk").select(
+            F.col("order_id_fk").alias("order_id"),
             "delivery_agent_id_fk",
-        )
+            "customer_address_id_fk",
+            "delivery_status",
+            "estimated_time",
+        ),
+        "order_id",
     )
-    menu = _keyed(pick("menu"), "menu_id", "menu_id_fk", "menu_dim_key")
+    header = pick.add(header, "customer", "customer_id", "customer_id_fk", "customer_dim_key")
+    header = pick.add(header, "customer_address", "address_id", "customer_address_id_fk", "customer_address_dim_key")
+    header = pick.place(header)
+    header = pick.add(header, "delivery_agent", "delivery_agent_id", "delivery_agent_id_fk", "delivery_agent_dim_key")
     lines = newest(items, "order_item_id", "order_id_fk").select(
         "order_item_id", F.col("order_id_fk").alias("order_id"), "menu_id_fk", "quantity", "price", "subtotal"
     )
-    return lines.join(menu, "menu_id_fk").join(header, "order_id").select(*FACT_COLUMNS)
+    found = pick.menu(lines, header).withColumn("_missing", _missing())
+    return found.select(*FACT_COLUMNS, "_missing")
+
+
+class _Open:
+    """Joins with the versions of one moment, or the open ones."""
+
+    def __init__(self, dims: Mapping[str, DataFrame], as_of: str | None):
+        self.dims, self.as_of = dims, as_of
+
+    def rows(self, name: str) -> DataFrame:
+        return current(self.dims[name]) if self.as_of is None else dim_as_of(self.dims[name], F.lit(self.as_of))
+
+    def add(self, rows: DataFrame, name: str, key: str, fk: str, hk: str) -> DataFrame:
+        return rows.join(_keyed(self.rows(name), key, fk, hk), fk, "left")
+
+    def place(self, header: DataFrame) -> DataFrame:
+        shops = _keyed(self.rows("restaurant"), "restaurant_id", "restaurant_id_fk", "restaurant_dim_key", "location_id_fk")
+        place = _keyed(self.rows("location"), "location_id", "location_id_fk", "restaurant_location_dim_key")
+        return header.join(shops.join(place, "location_id_fk", "left"), "restaurant_id_fk", "left")
+
+    def menu(self, lines: DataFrame, header: DataFrame) -> DataFrame:
+        return self.add(lines, "menu", "menu_id", "menu_id_fk", "menu_dim_key").join(header, "order_id")
+
+
+class _AsOfOrder:
+    """Joins with the versions valid at each order's time."""
+
+    def __init__(self, dims: Mapping[str, DataFrame]):
+        self.dims = dims
+
+    def add(self, rows: DataFrame, name: str, key: str, fk: str, hk: str, *more: str) -> DataFrame:
+        versions = _keyed(self.dims[name], key, fk, hk, *more, "eff_start", "eff_end")
+        # Each join looks for hot keys first: written, so that it does not run the joins before it again.
+        return written(as_of_join(rows, versions, fk, "order_date", "eff_start", "eff_end", [hk, *more]), f"as-of-{name}")
+
+    def place(self, header: DataFrame) -> DataFrame:
+        header = self.add(header, "restaurant", "restaurant_id", "restaurant_id_fk", "restaurant_dim_key", "location_id_fk")
+        return self.add(header, "location", "location_id", "location_id_fk", "restaurant_location_dim_key")
+
+    def menu(self, lines: DataFrame, header: DataFrame) -> DataFrame:
+        return self.add(lines.join(header, "order_id"), "menu", "menu_id", "menu_id_fk", "menu_dim_key")
+
+
+def _missing() -> Column:
+    """A restaurant without a location waits for the restaurant to change."""
+    waits = {
+        "customer": "customer_dim_key IS NULL THEN customer_id_fk",
+        "customer_address": "customer_address_dim_key IS NULL THEN customer_address_id_fk",
+        "restaurant": "restaurant_dim_key IS NULL OR location_id_fk IS NULL THEN restaurant_id_fk",
+        "location": "restaurant_location_dim_key IS NULL THEN location_id_fk",
+        "delivery_agent": "delivery_agent_dim_key IS NULL THEN delivery_agent_id_fk",
+        "menu": "menu_dim_key IS NULL THEN menu_id_fk",
+    }
+    each = ", ".join(f"struct('{n}' AS dimension, CASE WHEN {w} END AS key)" for n, w in waits.items())
+    return F.expr(f"filter(array({each}), m -> m.key IS NOT NULL)")
 
 
-def _keyed(dim: DataFrame, key: str, fk: str, name: str) -> DataFrame:
-    return dim.select(F.col(key).alias(fk), F.col("hk").alias(name))
+def _keyed(dim: DataFrame, key: str, fk: str, name: str, *more: str) -> DataFrame:
+    return dim.select(F.col(key).alias(fk), F.col("hk").alias(name), *more)
 
 
 def _date(value: date | Column) -> Column:

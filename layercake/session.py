@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,3 +63,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that writes rows to the shared folder and reads them back; the folder goes when the block ends."""
+    base, made = shared_dir(spark, name), iter(range(1 << 30))
+
+    def put(df: DataFrame) -> DataFrame:
+        path = f"{base}/{next(made)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield put
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -366,7 +366,7 @@ CLEAN: dict[str, tuple[str, list[tuple[str, str, str]]]] = {
     ]),
     "menu": ("part", [
         ("menu_id", "s", "p_partkey"),
-        ("restaurant_id_fk", "s", "p_partkey % 10"),
+        ("restaurant_id_fk", "s", "p_partkey % (SELECT count(*) FROM supplier)"),
         ("item_name", "s", "p_name"),
         ("description", "s", "p_brand || ' ' || p_name"),
         ("price", "m", "CAST(p_retailprice AS DECIMAL(10,2))"),
@@ -391,7 +391,7 @@ CLEAN: dict[str, tuple[str, list[tuple[str, str, str]]]] = {
     "orders": ("orders", [
         ("order_id", "s", "o_orderkey"),
         ("customer_id_fk", "s", "o_custkey"),
-        ("restaurant_id_fk", "s", "o_orderkey % 10"),
+        ("restaurant_id_fk", "s", "o_orderkey % (SELECT count(*) FROM supplier)"),
         ("order_date", "t", "CAST(o_orderdate AS TIMESTAMP)"),
         ("total_amount", "m", "CAST(o_totalprice AS DECIMAL(10,2))"),
         ("status", "s", STATUS),
@@ -412,7 +412,7 @@ CLEAN: dict[str, tuple[str, list[tuple[str, str, str]]]] = {
     "delivery": ("orders", [
         ("delivery_id", "s", "o_orderkey"),
         ("order_id_fk", "s", "o_orderkey"),
-        ("delivery_agent_id_fk", "s", "o_orderkey % 10"),
+        ("delivery_agent_id_fk", "s", "o_orderkey % (SELECT count(*) FROM supplier)"),
         ("delivery_status", "s", STATUS),
         ("estimated_time", "s", "o_orderkey % 60 || ' minutes'"),
         ("customer_address_id_fk", "s", "o_custkey"),
@@ -524,8 +524,43 @@ CLEANING |= {
 # -- star schema -----------------------------------------------------------------------------------
 
 
-def star(order_by: str) -> str:
+def since(name: str, late: str) -> str:
+    """Keys and version keys of a dimension whose ``late`` rows came a day later than the others."""
+    names = [c for c, _, _ in CLEAN[name][1]]
+    start = f"CASE WHEN {late} THEN '{DAY2}' ELSE '{DAY1}' END"
+    return f"SELECT {names[0]}, {row_hash(*names, start)} AS hk FROM ({typed_rows(name)})"
+
+
+def history(name: str, moved: str = "false", new: dict[str, str] | None = None) -> str:
+    """Versions with their start and end: from 1990 on, and for ``moved`` rows another one from spring 1998."""
+    names = [c for c, _, _ in CLEAN[name][1]]
+    place = [c for c in names if c == "location_id_fk"]
+    first, then = "1990-01-01 00:00:00", "1998-03-01 00:00:00"
+    values = [(new or {}).get(c, c) for c in names]
+    where = [(new or {}).get(c, c) for c in place]
+    return f"""
+        SELECT {', '.join([names[0], *place])}, {row_hash(*names, f"'{first}'")} AS hk, TIMESTAMP '{first}' AS a,
+               CASE WHEN {moved} THEN TIMESTAMP '{then}' ELSE TIMESTAMP '9999-01-01' END AS b
+        FROM ({typed_rows(name)})
+        UNION ALL
+        SELECT {', '.join([names[0], *where])}, {row_hash(*values, f"'{then}'")}, TIMESTAMP '{then}', TIMESTAMP '9999-01-01'
+        FROM ({typed_rows(name)}) WHERE {moved}
+    """
+
+
+def star(
+    order_by: str,
+    dims: dict[str, str] | None = None,
+    menu: str = "i.menu_id_fk",
+    agent: str = "d.delivery_agent_id_fk",
+    location: str = "o.restaurant_id_fk",
+    at: str = "",
+) -> str:
     """The fact with typed money; ``order_by`` picks one of several rows of an item."""
+    def dim(name: str, alias: str) -> str:
+        valid = f"AND {at} >= {alias}.a AND {at} < {alias}.b" if at else ""
+        return f"({(dims or {}).get(name) or dimension(name)}) {alias} ON true {valid}"
+
     return f"""
         SELECT i.order_item_id, i.order_id_fk AS order_id, c.hk AS customer_dim_key, a.hk AS customer_address_dim_key,
                r.hk AS restaurant_dim_key, l.hk AS restaurant_location_dim_key, m.hk AS menu_dim_key,
@@ -536,22 +571,33 @@ def star(order_by: str) -> str:
               FROM ({typed_rows('order_item')})) i
         JOIN ({typed_rows('orders')}) o ON i.order_id_fk = o.order_id
         JOIN ({typed_rows('delivery')}) d ON d.order_id_fk = o.order_id
-        JOIN ({dimension('customer')}) c ON c.customer_id = o.customer_id_fk
-        JOIN ({dimension('customer_address')}) a ON a.address_id = d.customer_address_id_fk
-        JOIN ({dimension('restaurant')}) r ON r.restaurant_id = o.restaurant_id_fk
-        JOIN ({dimension('location')}) l ON l.location_id = o.restaurant_id_fk
-        JOIN ({dimension('menu')}) m ON m.menu_id = i.menu_id_fk
-        JOIN ({dimension('delivery_agent')}) g ON g.delivery_agent_id = d.delivery_agent_id_fk
+        JOIN {dim('customer', 'c')} AND c.customer_id = o.customer_id_fk
+        JOIN {dim('customer_address', 'a')} AND a.address_id = d.customer_address_id_fk
+        JOIN {dim('restaurant', 'r')} AND r.restaurant_id = o.restaurant_id_fk
+        JOIN {dim('location', 'l')} AND l.location_id = {location}
+        JOIN {dim('menu', 'm')} AND m.menu_id = {menu}
+        JOIN {dim('delivery_agent', 'g')} AND g.delivery_agent_id = {agent}
         WHERE rn = 1
     """
 
 
 STAR = star("modified_dt DESC, menu_id_fk DESC, quantity DESC, price DESC, subtotal DESC")
 # Text sorts differently from numbers: this one picks among raw rows.
-STAR_TEXT = star(
+AS_TEXT = (
     "modified_dt DESC, CAST(menu_id_fk AS VARCHAR) DESC, CAST(CAST(quantity AS DECIMAL(10,1)) AS VARCHAR) DESC,"
     " CAST(price AS VARCHAR) DESC"
 )
+STAR_TEXT = star(AS_TEXT)
+
+
+LATE_CUSTOMER = {"customer": since("customer", "customer_id % 5 = 2")}
+LATE_MENU = {"menu": since("menu", "category LIKE 'PROMO%'")}
+AT_ORDER = {n: history(n) for n in list(CLEAN)[:6]} | {
+    "customer": history("customer", "customer_id % 3 = 0", {"mobile": "'1'"}),
+    "menu": history("menu", "category = 'ECONOMY'", {"price": "CAST(price + 1 AS DECIMAL(10,2))"}),
+    # Restaurant 0 is there already.
+    "restaurant": history("restaurant", "restaurant_id % 2 = 0 AND restaurant_id <> 0", {"location_id_fk": "0"}),
+}
 
 
 def star_plain(sql: str, status: str = "delivery_status") -> str:
@@ -577,6 +623,26 @@ STARS = {
     "star_fact_incremental": star_plain(
         STAR_TEXT, "CASE WHEN delivery_status = 'Processing' THEN 'Pending' ELSE delivery_status END"
     ),
+    "star_fact_late_customer": star_plain(star(AS_TEXT, LATE_CUSTOMER)),
+    "star_fact_late_menu": star_plain(star(AS_TEXT, LATE_MENU)),
+    "star_pending": """
+        SELECT DISTINCT o_orderkey AS order_id, 'location' AS dimension, 1 AS day,
+               o_orderkey % (SELECT count(*) FROM supplier) AS key
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % (SELECT count(*) FROM supplier) % 3 = 1
+    """,
+    "star_fact_reassigned": star_plain(
+        star(
+            AS_TEXT,
+            menu="CASE WHEN i.order_item_id % 10 = 1 THEN 0 ELSE i.menu_id_fk END",
+            agent="CASE WHEN d.delivery_status = 'Processing' THEN abs(d.delivery_agent_id_fk - 1) ELSE d.delivery_agent_id_fk END",
+        )
+    ),
+    "star_fact_as_of_order": star_plain(
+        star(
+            "modified_dt DESC, menu_id_fk DESC, quantity DESC, price DESC, subtotal DESC",
+            AT_ORDER, location="r.location_id_fk", at="o.order_date",
+        )
+    ),
     "star_kpi_yearly": mart({"year": Y}, "status = 'Delivered'", STAR_FACT),
     "star_views": f"""
         SELECT year, month, total_revenue, total_orders

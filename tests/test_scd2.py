@@ -7,7 +7,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from layercake.operators.merge import snapshot_diff
-from layercake.operators.scd2 import as_of, current, open_dimension, scd2_apply, scd2_from_log
+from layercake.operators.scd2 import as_of, current, open_dimension, scd2_apply, scd2_apply_late, scd2_from_log, unplaced_rows
+from layercake.operators.sequence import as_of_join, carry_last
 from layercake.operators.skew import hot_keys, split_hot
 
 D = [datetime(2025, 1, d) for d in range(1, 10)]
@@ -19,6 +20,11 @@ def versions(dim):
     return rows(dim.select("id", "zip", F.dayofmonth("eff_start"), F.dayofmonth("eff_end"), "is_current"))
 
 
+def stored(spark, tables):
+    """Each batch starts from tables, not from the plan of all batches before it."""
+    return tuple(spark.createDataFrame(t.collect(), t.schema) for t in tables)
+
+
 def frame(spark, *data):
     return spark.createDataFrame(list(data), SCHEMA)
 
@@ -33,11 +39,13 @@ def test_back_to_an_old_value_opens_a_third_version(spark):
     assert dim.select("hk").distinct().count() == 5
 
 
-def test_batches_of_one_time_or_an_earlier_one_replace_the_open_version(spark):
+def test_batches_of_one_time_replace_the_open_version(spark):
     dim = open_dimension(frame(spark, (1, "A"), (2, "Z")), ["id"], ["zip"], D[2])
-    for value, at in (("B", D[2]), ("C", D[0]), ("A", D[2])):
-        dim = scd2_apply(dim, frame(spark, (1, value)), ["id"], ["zip"], at)
+    for value in "BA":
+        dim = scd2_apply(dim, frame(spark, (1, value)), ["id"], ["zip"], D[2])
         assert versions(dim) == [(1, value, 3, None, True), (2, "Z", 3, None, True)]
+    # An earlier one changes nothing here: it needs the history.
+    assert versions(scd2_apply(dim, frame(spark, (1, "C")), ["id"], ["zip"], D[0])) == versions(dim)
     dim = scd2_apply(dim, frame(spark, (1, "B"), (7, None)), ["id"], ["zip"], D[3])
     assert versions(dim)[:2] == [(1, "A", 3, 4, False), (1, "B", 4, None, True)]
     feed = snapshot_diff(frame(spark, (1, "B"), (2, "Z")), frame(spark), ["id"])
@@ -45,16 +53,35 @@ def test_batches_of_one_time_or_an_earlier_one_replace_the_open_version(spark):
     assert versions(gone) == [(1, "A", 3, 4, False), (2, "Z", 3, 4, False), (7, None, 4, None, True)]
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.sampled_from([None, "A", "B"]), st.integers(0, 3)), min_size=1, max_size=4))
-def test_intervals_of_batches_at_any_times_follow_each_other(spark, batches):
-    dim = open_dimension(frame(spark, (1, "A")), ["id"], ["zip"], D[1])
-    for value, at in batches:
-        dim = scd2_apply(dim, frame(spark, (1, value)), ["id"], ["zip"], D[at])
-    found = sorted(dim.select("eff_start", "eff_end", "hk", "zip").collect())
-    assert [r.eff_end for r in found] == [r.eff_start for r in found[1:]] + [None]
-    assert len({r.hk for r in found}) == len(found) == len({r.eff_start for r in found})
-    assert found[-1].zip == batches[-1][0]
+def test_late_batch_is_spliced_into_the_history(spark):
+    dim, seen = open_dimension(frame(spark, (1, "A"), (2, "Z")), ["id"], ["zip"], D[2]), None
+    for value, at in (("B", D[6]), ("C", D[4]), ("A", D[0]), ("B", D[7])):
+        dim, seen = stored(spark, scd2_apply_late(dim, seen, frame(spark, (1, value)), ["id"], ["zip"], at))
+    # A is known from day 1 on now, and was seen again on day 3; B was seen again on day 8.
+    assert versions(dim) == [(1, "A", 1, 5, False), (1, "B", 7, None, True), (1, "C", 5, 7, False), (2, "Z", 3, None, True)]
+    assert rows(seen.select("zip", F.dayofmonth("eff_start"))) == [("A", 3), ("B", 8)]
+    dim, seen = stored(spark, scd2_apply_late(dim, seen, frame(spark, (1, "X")), ["id"], ["zip"], D[1]))
+    assert versions(dim)[:3] == [(1, "A", 1, 2, False), (1, "A", 3, 5, False), (1, "B", 7, None, True)]
+    feed = snapshot_diff(frame(spark, (1, "B")), frame(spark), ["id"])
+    dim, seen = scd2_apply_late(dim, seen, feed, ["id"], ["zip"], D[5], delete="close")
+    assert versions(dim) == [
+        (1, "A", 1, 2, False), (1, "A", 3, 5, False), (1, "B", 7, None, True), (1, "C", 5, 6, False), (1, "X", 2, 3, False),
+        (2, "Z", 3, None, True),
+    ]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1, 2), st.sampled_from([None, "A", "B"]), st.integers(0, 4)), min_size=1, max_size=6))
+def test_batches_in_any_order_give_the_versions_of_their_log(spark, batches):
+    """The last batch of a key and time counts, wherever the others stand."""
+    dim = open_dimension(frame(spark), ["id"], ["zip"], D[0])
+    seen = None
+    for key, value, at in batches:
+        dim, seen = stored(spark, scd2_apply_late(dim, seen, frame(spark, (key, value)), ["id"], ["zip"], D[at]))
+    last = {(k, at): v for k, v, at in batches}
+    log = spark.createDataFrame([(k, v, D[at], 0) for (k, at), v in last.items()], LOG)
+    whole = scd2_from_log(log.withColumnRenamed("v", "zip"), ["id"], ["zip"], "ts", ["n"])
+    assert rows(dim.select(*whole.columns)) == rows(whole)
 
 
 def test_null_to_value_and_back(spark):
@@ -107,8 +134,8 @@ log_rows = st.lists(
 def test_hot_and_plain_paths_agree_with_brute_force(spark, log):
     df = spark.createDataFrame(log, LOG)
     plain = scd2_from_log(df, ["id"], ["v"], "ts", ["n"])
-    hot = scd2_from_log(df, ["id"], ["v"], "ts", ["n"], hot_rows=1, hot_unit="HOUR")
-    mixed = scd2_from_log(df, ["id"], ["v"], "ts", ["n"], hot_rows=10, hot_unit="DAY")
+    hot = scd2_from_log(df, ["id"], ["v"], "ts", ["n"], hot_rows=1)
+    mixed = scd2_from_log(df, ["id"], ["v"], "ts", ["n"], hot_rows=10)
     assert found(plain) == found(hot) == found(mixed) == brute(log)
 
 
@@ -144,3 +171,33 @@ def test_hot_keys_are_the_frequent_ones(spark):
 def test_rows_without_key_or_time_have_no_version(spark):
     log = spark.createDataFrame([(None, "a", D[0], 1), (1, "a", None, 2), (1, "a", D[0], 3)], LOG)
     assert found(scd2_from_log(log, ["id"], ["v"], "ts", ["n"])) == [(1, "a", D[0], None)]
+    assert rows(unplaced_rows(log, ["id"], "ts")) == [("key", 1), ("nothing", 1), ("time", 1)]
+
+
+steps = st.lists(st.tuples(st.sampled_from([1, 2, None]), st.integers(0, 9), st.booleans(), st.sampled_from(["a", "b"])), max_size=30)
+
+
+@given(steps=steps)
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_as_of_join_by_definition(spark, steps):
+    def day(m):
+        return datetime(2025, 1, 1) + timedelta(hours=m)
+
+    facts = [(i, k, day(t) if t else None) for i, (k, t, is_fact, _) in enumerate(steps) if is_fact]
+    held = {(k, t): v for k, t, is_fact, v in steps if not is_fact and k is not None}
+    marks = [(k, day(t), day(t + 2) if v == "a" else None, v) for (k, t), v in held.items()]
+    left = spark.createDataFrame(facts, "n long, k long, t timestamp")
+    right = spark.createDataFrame(marks, "k long, s timestamp, e timestamp, v string")
+    want = []
+    for n, k, t in facts:
+        known = [m for m in marks if t is not None and m[0] == k and m[1] <= t]
+        best = max(known, key=lambda m: m[1], default=None)
+        want.append((n, k, t, best[3] if best and (best[2] is None or t < best[2]) else None))
+    for hot_rows in (1, 10**6):
+        assert rows(as_of_join(left, right, "k", "t", "s", "e", ["v"], hot_rows)) == sorted(want, key=repr)
+
+
+def test_carry_over_pieces_without_a_value(spark):
+    data = [(1, i, "x" if i in (0, 70) else None) for i in range(100)]
+    df = spark.createDataFrame(data, "k long, i long, v string").repartition(5)
+    assert rows(carry_last(df, ["k"], ["i"], "v", hot_rows=10).groupBy("v").count()) == [("x", 100)]

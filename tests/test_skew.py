@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from layercake.operators.merge import latest_per_key
 from layercake.operators.quality import check_foreign_keys, check_unique
 from layercake.operators.scd2 import scd2_from_log
+from layercake.operators.sequence import as_of_join, in_pieces
 from layercake.plans import kpis
 
 N = 200_000
@@ -52,4 +53,25 @@ def test_hot_log_key_is_cut_into_pieces(spark):
     cut = scd2_from_log(log, ["k"], ["v"], "ts", ["id"], hot_rows=1000)
     both = [df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("k", "v", "eff_start", "eff_end", "hk").cast("decimal(38,0)"))).first() for df in (plain, cut)]
     assert both[0] == both[1]
-    assert "date_trunc(HOUR" in cut._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_hot_key_at_one_time_spreads_over_pieces(spark):
+    """All rows of the key agree in everything that orders them."""
+    log = spark.range(0, 40_000, 1, 4).select(F.lit(7).alias("k"), F.lit("2025-01-01").cast("timestamp").alias("ts"), F.lit("a").alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would join pieces as small as these
+    try:
+        cut = in_pieces(log, ["k"], ["ts", "v"], 1000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in cut.groupBy("_piece").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 20_000
+    assert scd2_from_log(log, ["k"], ["v"], "ts", hot_rows=1000).count() == 1
+
+
+def test_as_of_join_of_a_hot_key_makes_no_pairs(spark):
+    facts = hot(spark).select("k", "id", F.timestamp_seconds(F.col("id") * 60).alias("t"))
+    versions = spark.range(0, N, 500).select(F.lit(0).alias("k"), F.timestamp_seconds(F.col("id") * 60).alias("s"), F.col("id").alias("v"))
+    joined = as_of_join(facts, versions, "k", "t", "s", values=["v"], hot_rows=1000)
+    assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString().replace("Join LeftOuter", "").replace("Join LeftSemi", "").replace("Join LeftAnti", "")
+    wrong = joined.filter("k = 0 AND v != id - id % 500 OR k != 0 AND v IS NOT NULL OR k = 0 AND v IS NULL")
+    assert (wrong.count(), joined.count()) == (0, N)
