@@ -24,7 +24,7 @@ from layercake.registry import AUDIT, DIMENSIONS, ENTITIES
 from layercake.session import shared_dir, written
 from layercake.sources.files import csv_options, list_stage, read_stage
 from layercake.sources.tables import VersionedTable
-from layercake.streaming.ingest import stream_entity, stream_stage
+from layercake.streaming.ingest import batch_time, stream_entity, stream_stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -260,11 +260,16 @@ def scd2_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return scd2.as_of(scd2_log_events(spark, folder), AS_OF)
 
 
-def scd2_weekly_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Week after week, the last event of each user is applied to a dimension table."""
+def _weekly_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The last event of each user and week."""
     events = retail.table(spark, folder, "events").withColumn("week", F.date_trunc("WEEK", "ts").cast("timestamp"))
     last = latest_per_key(events.select("user_id", "week", "ts", "event_id", "event_type"), ["user_id", "week"], ["ts", "event_id"])
-    weekly = written(last.select("user_id", "week", "event_type"), "weekly-events")
+    return written(last.select("user_id", "week", "event_type"), "weekly-events")
+
+
+def scd2_weekly_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Week after week, the last event of each user is applied to a dimension table."""
+    weekly = _weekly_events(spark, folder)
     schema = scd2.open_dimension(weekly, ["user_id"], ["event_type"], LOADED).schema
     dim = VersionedTable(spark, shared_dir(spark, "weekly-dim"), schema, ["user_id"], buckets=4)
     first, until = weekly.agg(F.min("week"), F.max("week")).first()
@@ -280,6 +285,26 @@ def scd2_weekly_batches(spark: SparkSession, folder: str) -> DataFrame:
     return dim.read()
 
 
+def scd2_late_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Weeks applied in no order of time: every second one first, then the others backwards."""
+    weekly = _weekly_events(spark, folder)
+    weeks = sorted(r[0] for r in weekly.select("week").distinct().collect())
+    dim, seen = scd2.open_dimension(weekly.filter("false"), ["user_id"], ["event_type"], LOADED), None
+    for at in weeks[1::2] + weeks[::2][::-1]:
+        batch = weekly.filter(F.col("week") == F.lit(str(at)).cast("timestamp"))
+        dim, seen = scd2.scd2_apply_late(dim, seen, batch, ["user_id"], ["event_type"], at)
+        dim, seen = written(dim, "late-dim"), written(seen, "late-seen")
+    return dim
+
+
+def scd2_log_unplaced(spark: SparkSession, folder: str) -> DataFrame:
+    """Clicks have lost their user, and errors their time."""
+    log = retail.table(spark, folder, "events").withColumns(
+        {"user_id": F.expr("if(event_type = 'click', null, user_id)"), "ts": F.expr("if(event_type = 'error', null, ts)")}
+    )
+    return scd2.unplaced_rows(log, ["user_id"], "ts")
+
+
 def scd2_close_deleted(spark: SparkSession, folder: str) -> DataFrame:
     """Deleted orders close their version; updated ones close one and open the next."""
     keys, tracked = ["o_orderkey"], ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -692,6 +717,26 @@ def stream_to_scd2(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.dim(customer).read().select("customer_id", "mobile", "eff_start", "eff_end", "is_current")
 
 
+def stream_two_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers as files of one run, those with a new phone in the second batch. Each batch has its own time, also when the
+    second one is replayed at another."""
+    agent = ENTITIES["delivery_agent"]
+    landing, tables = shared_dir(spark, "agents"), shared_dir(spark, "stream-times")
+    first = _stage_text(spark, folder, "delivery_agent")
+    _land(first, landing, 1)
+    _land(first.filter("deliveryagentid % 3 = 0").withColumn("phone", F.lit("1")), landing, 1)
+    days = [LOADED, NEXT_DAY]
+    for replayed in (False, True):
+        warehouse = Warehouse(spark, f"{tables}/{replayed}", buckets=4)
+        times = (lambda batch: days[batch]) if not replayed else (lambda batch: AS_OF)
+        checkpoint = f"{tables}/checkpoint-{replayed}"
+        if replayed:  # the notes of a run that was lost after it had begun both batches
+            for batch, day in enumerate(days):
+                batch_time(spark, checkpoint, batch, day)
+        stream_entity(warehouse, agent, landing, checkpoint, LOADED, times, max_files=1).awaitTermination()
+    return warehouse.dim(agent).read().select("delivery_agent_id", "phone", "eff_start", "eff_end", "is_current")
+
+
 def feed_reset(spark: SparkSession, folder: str) -> DataFrame:
     """What was unread when the feed was reset is never read; what comes later is."""
     customer = ENTITIES["customer"]
@@ -713,13 +758,15 @@ QUERIES: dict[str, Query] = {
         dash_month_labels,
         dedup_latest, upsert_orders, upsert_nulls, table_upsert, table_changes, delete_where_lines, truncate_table,
         snapshot_diff_orders, snapshot_diff_applied,
-        scd2_log_events, scd2_log_hot_users, scd2_current, scd2_as_of, scd2_weekly_batches, scd2_close_deleted,
+        scd2_log_events, scd2_log_hot_users, scd2_current, scd2_as_of, scd2_weekly_batches, scd2_close_deleted, scd2_late_batch,
+        scd2_log_unplaced,
         parse_dates, lenient_casts, json_props, split_names, month_names, hash_keys,
         quality_bad_rows, quality_good_rows, unique_check, fk_check, masked_customers, masked_restaurants,
         star_date_dim, star_fact, star_kpi_yearly, star_kpi_by_restaurant, star_kpi_by_city, star_kpi_by_category,
         star_views, star_fact_merge, star_fact_incremental, star_fact_late_customer, star_fact_late_menu, star_pending,
         star_fact_reassigned, star_fact_as_of_order,
         csv_roundtrip, csv_header_binding, csv_quarantine, stage_delete, load_once, list_files, stream_ingest, stream_to_scd2,
+        stream_two_batches,
         feed_reset,
     ]
 }

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from layercake.operators.clean import clean, clean_schema, dimension_schema, stage_schema
 from layercake.operators.merge import delete_where, latest_per_key, upsert
 from layercake.operators.quality import split_stage
-from layercake.operators.scd2 import advance
+from layercake.operators.scd2 import advance, scd2_apply_late
 from layercake.plans.star import DATE_SCHEMA, DIMENSION_KEYS, FACT_COLUMNS, FACT_KEYS, FACT_SCHEMA, build_date_dim, resolve
 from layercake.plans.views import register
 from layercake.registry import DIMENSIONS, ENTITIES, Entity
@@ -131,20 +133,42 @@ class Warehouse:
         return target.merge(batch, combine, target.buckets_of(rows), sources={"stage": upto})
 
     def refresh_dim(self, entity: Entity, effective_ts: datetime, delete: str = "ignore") -> int:
-        """Applies the net changes of the clean table since the last refresh."""
+        """Applies the net changes of the clean table since the last refresh.
+
+        Of a batch no earlier than all before it only open versions are read. An earlier one is spliced into the history of
+        its keys, for which the buckets it touches are rewritten whole.
+        """
         source, target = self.clean(entity), self.dim(entity)
         read_to, upto = target.consumed("clean"), source.version()
         if read_to == upto:
             return target.version()
-        feed = source.changes(read_to, entity.columns)
+        feed, touched = source.changes(read_to, entity.columns), source.touched_since(read_to)
+        at = (effective_ts - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+        latest = max(at, target.consumed("effective")) if target.version() else at
+        sources = {"clean": upto, "effective": latest}
 
-        def combine(old: DataFrame, changes: DataFrame) -> DataFrame:
-            moved = advance(old, changes, entity.keys, entity.tracked, effective_ts, delete)
-            # Closed versions never change again: they are appended, only open ones stay in buckets.
-            return moved.withColumn("_append", F.when(F.col("is_current"), 0).otherwise(1))
+        def placed(versions: DataFrame) -> DataFrame:
+            # Closed versions rarely change again: they are appended, only open ones stay in buckets.
+            return versions.withColumn("_append", F.when(F.col("is_current"), 0).otherwise(1))
 
-        touched = source.touched_since(read_to)
-        return target.merge(feed, combine, touched, sources={"clean": upto})
+        if at == latest:
+            return target.merge(
+                feed, lambda old, new: placed(advance(old, new, entity.keys, entity.tracked, effective_ts, delete)), touched, sources=sources
+            )
+        noted = self.seen(entity)
+        seen = noted.read(version=target.consumed("seen"))
+        with scratch(self.spark, "late") as put:
+            feed = put(feed)
+            history = target.read(buckets=touched, whole=True)
+            versions, now_seen = scd2_apply_late(history, seen, feed, entity.keys, entity.tracked, effective_ts, delete)
+            # The dimension knows which version of this table belongs to it.
+            sources["seen"] = noted.overwrite(now_seen)
+            return target.merge(versions, lambda _, new: placed(new), touched, sources=sources, whole=True)
+
+    def seen(self, entity: Entity) -> VersionedTable:
+        """Rows of late batches that were like the version before them; see ``scd2.splice``."""
+        fields = [f for f in dimension_schema(entity) if f.name in (*entity.columns, "eff_start")]
+        return self._table(f"consumption/{entity.name}_seen", T.StructType(fields), entity.keys, entity.bucket_by)
 
     def refresh_fact(self) -> int:
         """Rebuilds the items of every order that changed, whose items or delivery changed, or for which a dimension row
@@ -227,9 +251,15 @@ class Warehouse:
         if entity.dimension:
             self.refresh_dim(entity, effective_ts)
 
-    def run_all(self, effective_ts: datetime) -> None:
-        for entity in ENTITIES.values():
+    def run_all(self, effective_ts: datetime, at_once: int = 4) -> None:
+        """Entities do not depend on each other, so some of them run side by side; the fact comes last."""
+
+        def one(entity: Entity) -> None:
             self.run_increment(entity, effective_ts)
+
+        with ThreadPoolExecutor(at_once) as pool:
+            for done in [pool.submit(inheritable_thread_target(one), e) for e in ENTITIES.values()]:
+                done.result()
         self.refresh_dates()
         self.refresh_fact()
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, ty
 from layercake.operators.merge import snapshot_diff
 
 COMMIT_SCHEMA = (
-    "version long, op string, batch_id string, buckets array<int>, live array<int>, appended boolean,"
+    "version long, op string, batch_id string, buckets array<int>, live array<int>, rewritten array<int>, appended boolean,"
     " sources map<string, long>"
 )
 
@@ -33,13 +33,14 @@ class State:
     """A version of a table.
 
     ``buckets`` maps each bucket ever written to the version that wrote it last and whether it has rows
-    since then; ``appended`` lists the versions with appended rows, ``consumed`` the version taken in of
-    each source.
+    since then; ``appended`` lists the versions with appended rows, ``floors`` the buckets of which only rows appended
+    from a version on count, ``consumed`` the version taken in of each source.
     """
 
     version: int
     buckets: dict[int, tuple[int, bool]]
     appended: list[int]
+    floors: dict[int, int]
     consumed: dict[str, int]
 
 
@@ -67,14 +68,21 @@ class VersionedTable:
         """Sees what another session has written since."""
         self._latest = None
 
-    def read(self, version: int | None = None, buckets: Sequence[int] | None = None, appended: bool = True) -> DataFrame:
-        """Rows of a version, optionally of some buckets only, optionally without appended rows."""
+    def read(
+        self, version: int | None = None, buckets: Sequence[int] | None = None, appended: bool = True, whole: bool = False
+    ) -> DataFrame:
+        """Rows of a version, optionally of some buckets only, optionally without appended rows. Appended rows are
+        those of all buckets, unless ``whole`` asks for ``buckets`` only."""
+        if whole:
+            rows = self._appended(self._state(version)).filter(self._bucket().isin(list(buckets or [])))
+            return self.read(version, buckets, appended=False).unionByName(rows)
         state = self._state(version)
         wanted = set(state.buckets if buckets is None else buckets)
         filled = sorted((b, v) for b, (v, has_rows) in state.buckets.items() if has_rows and b in wanted)
-        return self._load(
-            [f"v={v}/_append=0/_bucket={b}" for b, v in filled] + [f"v={v}/_append=1" for v in state.appended if appended]
-        )
+        rows = [f"v={v}/_append=0/_bucket={b}" for b, v in filled]
+        if not state.floors:
+            return self._load(rows + [f"v={v}/_append=1" for v in state.appended if appended])
+        return self._load(rows).unionByName(self._appended(state)) if appended else self._load(rows)
 
     def appended_since(self, version: int) -> DataFrame:
         """Rows appended after ``version``: the unread part of an append-only feed."""
@@ -120,8 +128,9 @@ class VersionedTable:
         touched: Sequence[int],
         batch_id: str | None = None,
         sources: dict[str, int] | None = None,
+        whole: bool = False,
     ) -> int:
-        """Replaces the ``touched`` buckets by ``combine(their rows, batch)``.
+        """Replaces the ``touched`` buckets by ``combine(their rows, batch)``; with ``whole``, also the rows appended to them.
 
         Every row of ``batch`` must belong to one of them: see ``buckets_of``, or ``touched_since`` of a
         source that is cut the same way. ``combine`` may return an ``_append`` column; rows with 1 there
@@ -129,8 +138,8 @@ class VersionedTable:
         """
         if not touched:
             return self._commit(self.version() + 1, "merge", [], batch_id, sources, written=False)
-        out = combine(self.read(buckets=touched, appended=False), batch)
-        return self._replace("merge", out, list(touched), batch_id, sources)
+        rows = self.read(buckets=touched, appended=False, whole=whole)
+        return self._replace("merge", combine(rows, batch), list(touched), batch_id, sources, list(touched) if whole else [])
 
     def overwrite(self, rows: DataFrame, batch_id: str | None = None, sources: dict[str, int] | None = None) -> int:
         """Replaces all rows. Rows with 1 in an ``_append`` column become appended rows."""
@@ -145,7 +154,19 @@ class VersionedTable:
 
     # -- inside --------------------------------------------------------------------------------
 
-    def _replace(self, op: str, rows: DataFrame, touched: list[int], batch_id: str | None, sources: dict[str, int] | None) -> int:
+    def _appended(self, state: State) -> DataFrame:
+        """Appended rows but those of buckets that were rewritten whole later on."""
+        groups: dict[tuple[int, ...], list[str]] = {}
+        for v in state.appended:
+            groups.setdefault(tuple(b for b, floor in sorted(state.floors.items()) if floor > v), []).append(f"v={v}/_append=1")
+        rows = self._load([])
+        for gone, folders in groups.items():
+            rows = rows.unionByName(self._load(folders).filter(~self._bucket().isin(*gone)) if gone else self._load(folders))
+        return rows
+
+    def _replace(
+        self, op: str, rows: DataFrame, touched: list[int], batch_id: str | None, sources: dict[str, int] | None, rewritten: Sequence[int] = ()
+    ) -> int:
         if "_append" not in rows.columns:
             rows = rows.withColumn("_append", F.lit(0))
         placed = rows.select(*self.schema.names, "_append", self._bucket().alias("_bucket"))
@@ -153,7 +174,7 @@ class VersionedTable:
         # Rebalancing brings a bucket together and lets Spark cut one that is too large for a task.
         whole = placed.hint("rebalance", F.col("_append"), F.col("_bucket"))
         whole.write.mode("overwrite").partitionBy("_append", "_bucket").parquet(f"{self.path}/data/v={version}")
-        return self._commit(version, op, touched, batch_id, sources)
+        return self._commit(version, op, touched, batch_id, sources, rewritten=rewritten)
 
     def _commit(
         self,
@@ -163,6 +184,7 @@ class VersionedTable:
         batch_id: str | None,
         sources: dict[str, int] | None,
         written: bool = True,
+        rewritten: Sequence[int] = (),
     ) -> int:
         live, appended = self._written(version) if written else ([], False)
         sources = sources or {}
@@ -179,6 +201,7 @@ class VersionedTable:
             F.lit(batch_id).cast("string").alias("batch_id"),
             ints(touched).alias("buckets"),
             ints(live).alias("live"),
+            ints(rewritten).alias("rewritten"),
             F.lit(appended).alias("appended"),
             F.create_map(*pairs).cast("map<string,long>").alias("sources"),
         )
@@ -189,6 +212,7 @@ class VersionedTable:
             version,
             before.buckets | {b: (version, b in live) for b in touched},
             earlier + [version] * appended,
+            before.floors | dict.fromkeys(rewritten, version),
             before.consumed | sources,
         )
         return version
@@ -222,12 +246,13 @@ class VersionedTable:
             return self._latest
         log = None if version == 0 else self._commits()
         newest = [] if log is None else self._newest(log if version is None else log.filter(F.col("version") <= version))
-        by_kind = {k: [r for r in newest if r["kind"] == k] for k in ("bucket", "any", "append", "reset", "source")}
+        by_kind = {k: [r for r in newest if r["kind"] == k] for k in ("bucket", "any", "append", "reset", "floor", "source")}
         reset = max([r["version"] for r in by_kind["reset"]], default=0)
         state = State(
             max([r["version"] for r in by_kind["any"]], default=0),
             {int(r["id"]): (r["version"], r["value"] == 1) for r in by_kind["bucket"]},
             sorted(r["version"] for r in by_kind["append"] if r["version"] >= reset),
+            {int(r["id"]): r["version"] for r in by_kind["floor"]},
             {r["id"]: r["value"] for r in by_kind["source"]},
         )
         if version is None:
@@ -241,6 +266,7 @@ class VersionedTable:
             concat(
                 array(struct('any' AS kind, '' AS id, 1L AS value)),
                 transform(buckets, b -> struct('bucket' AS kind, string(b) AS id, bigint(array_contains(live, b)) AS value)),
+                transform(coalesce(rewritten, array()), b -> struct('floor' AS kind, string(b) AS id, 1L AS value)),
                 transform(map_entries(sources), e -> struct('source' AS kind, e.key AS id, e.value AS value)),
                 if(appended, array(struct('append' AS kind, string(version) AS id, 1L AS value)), array()),
                 if(op = 'overwrite', array(struct('reset' AS kind, '' AS id, 1L AS value)), array())

@@ -6,7 +6,8 @@ from collections.abc import Callable
 from datetime import datetime
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from layercake.plans.pipeline import Warehouse
@@ -23,11 +24,11 @@ def stream_stage(
     landing: str,
     checkpoint: str,
     load_ts: datetime,
-    then: Callable[[], None] | None = None,
+    then: Callable[[int], None] | None = None,
     by: str = "header",
     max_files: int = MAX_FILES,
 ) -> StreamingQuery:
-    """Appends each new CSV file in ``landing`` to the stage table once, then calls ``then``.
+    """Appends each new CSV file in ``landing`` to the stage table once, then calls ``then`` with the batch's number.
 
     Runs until all files present are loaded. Rows that cannot be loaded do not stop the stream. The
     checkpoint knows the files read, the table knows the batches written, so a batch that is replayed
@@ -50,7 +51,7 @@ def stream_stage(
             rows = read_stage(spark, entity, paths, load_ts, by)
             warehouse.append_stage(entity, rows, "continue", key)
         if then is not None:
-            then()
+            then(batch_id)
 
     return (
         with_file_columns(source)
@@ -67,18 +68,34 @@ def stream_entity(
     landing: str,
     checkpoint: str,
     load_ts: datetime,
-    effective_ts: datetime,
+    effective_ts: datetime | Callable[[int], datetime],
     by: str = "header",
     max_files: int = MAX_FILES,
 ) -> StreamingQuery:
-    """As ``stream_stage``, taking each batch on through clean table and dimension."""
-    return stream_stage(
-        warehouse,
-        entity,
-        landing,
-        checkpoint,
-        load_ts,
-        lambda: warehouse.run_increment(entity, effective_ts),
-        by,
-        max_files,
-    )
+    """As ``stream_stage``, taking each batch on through clean table and dimension.
+
+    ``effective_ts`` is the time of all batches of this run, or gives each batch its own from its number, such as the
+    time of day. The time is written down before the batch starts, so a batch that is replayed keeps it.
+    """
+
+    def onward(batch_id: int) -> None:
+        warehouse.run_increment(entity, batch_time(warehouse.spark, checkpoint, batch_id, effective_ts))
+
+    return stream_stage(warehouse, entity, landing, checkpoint, load_ts, onward, by, max_files)
+
+
+def batch_time(spark: SparkSession, checkpoint: str, batch_id: int, effective_ts: datetime | Callable[[int], datetime]) -> datetime:
+    """The effective time of a batch: the one noted beside the checkpoint, else a new one, noted now."""
+    place = f"{checkpoint.rstrip('/')}-times/{batch_id}"
+    notes = spark.read.schema("effective_ts string")
+    try:
+        noted = notes.json(place).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        noted = None
+    if noted is None:  # none, or a note whose writing was cut off
+        given = effective_ts(batch_id) if callable(effective_ts) else effective_ts
+        spark.range(1).select(F.lit(given.isoformat(" ")).alias("effective_ts")).coalesce(1).write.mode("overwrite").json(place)
+        return given
+    return datetime.fromisoformat(noted[0])

@@ -271,6 +271,11 @@ VERSIONS = {
         AND (eff_end IS NULL OR eff_end > TIMESTAMP '2024-01-15 12:00:00')
     """),
     "scd2_weekly_batches": versions_plain(versions(WEEKLY, "user_id", "week", "week")),
+    "scd2_late_batch": versions_plain(versions(WEEKLY, "user_id", "week", "week")),
+    "scd2_log_unplaced": """
+        SELECT CASE event_type WHEN 'click' THEN 'key' WHEN 'error' THEN 'time' ELSE 'nothing' END AS lacks, count(*) AS rows
+        FROM events GROUP BY 1
+    """,
     "scd2_close_deleted": f"""
         {order_version(DAY1, None, f"({NOW}) WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {OLD_IMAGES})")}
         UNION ALL {order_version(DAY1, DAY2, OLD_IMAGES)}
@@ -689,6 +694,12 @@ FILES = {
         SELECT c_custkey, '1234567890', '{DAY2}', NULL, true FROM customer
         WHERE c_mktsegment = 'BUILDING' AND c_custkey % 10 <> 3
     """,
+    "stream_two_batches": f"""
+        SELECT s_suppkey AS delivery_agent_id, '7' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS phone, '{DAY1}' AS eff_start,
+               CASE WHEN s_suppkey % 3 = 0 THEN '{DAY2}' END AS eff_end, s_suppkey % 3 <> 0 AS is_current
+        FROM supplier
+        UNION ALL SELECT s_suppkey, '1', '{DAY2}', NULL, true FROM supplier WHERE s_suppkey % 3 = 0
+    """,
     "feed_reset": f"""
         SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name, 'Male' AS gender, '{DAY2}' AS eff_start
         FROM customer WHERE c_custkey % 2 = 1
