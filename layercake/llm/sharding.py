@@ -14,6 +14,7 @@ Sizes are exact (at most one row apart) and slots have no gaps.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,26 +24,42 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from layercake.llm.text import table, without
 from layercake.llm.workers import ship
 
-EXACT_ROWS = 10**9  # above, numpy's exact sampler gives way to its normal limit
+REACH = 12  # standard deviations; what lies beyond has a probability below 10^-30
 
 
 def shard_sizes(rows: int, shards: int) -> np.ndarray:
     return rows // shards + (np.arange(shards) < rows % shards)
 
 
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` rows drawn without replacement are among the ``good`` ones. One law at every size: the
+    probabilities follow from the likeliest number by exact ratios, as far as they matter, and one uniform number
+    picks among them."""
+    low, high = max(0, n - bad), min(good, n)
+    if low == high:
+        return low
+    total = good + bad
+    mode = min(max((n + 1) * (good + 1) // (total + 2), low), high)
+    spread = math.sqrt(n * (good / total) * (bad / total) * ((total - n) / max(1, total - 1)))
+    reach = int(REACH * spread) + 64
+    up = np.arange(min(high - mode, reach), dtype=np.float64)
+    down = np.arange(min(mode - low, reach), dtype=np.float64)
+    rest = bad - n + mode
+    above = np.cumprod(((good - mode) - up) * ((n - mode) - up) / ((mode + 1 + up) * (rest + 1 + up)))
+    below = np.cumprod((mode - down) * (rest - down) / ((good - mode + 1 + down) * (n - mode + 1 + down)))
+    sums = np.cumsum(np.concatenate([below[::-1], [1.0], above]))
+    place = int(np.searchsorted(sums, rng.random() * sums[-1], side="right"))
+    return mode - len(below) + min(place, len(sums) - 1)
+
+
 def draw(rng: np.random.Generator, sizes: np.ndarray, n: int) -> np.ndarray:
     """How many of each colour n draws without replacement give."""
-    total = int(sizes.sum())
-    if total < EXACT_ROWS:
-        return rng.multivariate_hypergeometric(sizes, n, method="marginals")
-    got, left, want = np.zeros_like(sizes), total, n
-    for i, size in enumerate(sizes.tolist()):
-        rest = left - size
-        mean = want * size / left if left else 0.0
-        spread = np.sqrt(max(0.0, mean * (rest / left) * (left - want) / max(1, left - 1))) if left else 0.0
-        got[i] = min(max(round(rng.normal(mean, spread)), max(0, want - rest)), min(size, want))
-        left, want = rest, want - got[i]
-    return got
+    got, left = [], int(sizes.sum())
+    for size in sizes.tolist():
+        left -= size
+        got.append(hypergeometric(rng, size, left, n))
+        n -= got[-1]
+    return np.array(got, np.int64)
 
 
 def matrix_row(ends: np.ndarray, shards: int, partition: int, seed: int) -> np.ndarray:
@@ -93,7 +110,7 @@ def uniform_shards(rows: DataFrame, shards: int = 40, seed: int = 17, block_rows
                 rng = np.random.default_rng([seed, partition, 1])
             if len(b) > left.sum():
                 raise RuntimeError("a partition has more rows than were counted: pin the input")
-            got = rng.multivariate_hypergeometric(left, len(b), method="marginals")
+            got = draw(rng, left, len(b))
             left -= got
             labels = np.repeat(np.arange(shards, dtype=np.int32), got)
             rng.shuffle(labels)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import math
 import random
 import re
+import warnings
 from collections import Counter
 
 import numpy as np
@@ -130,3 +132,36 @@ def test_matrix_has_the_margins():
     assert np.sum(rows, 0).tolist() == sharding.shard_sizes(60, 7).tolist()
     big = sharding.draw(np.random.default_rng(1), np.full(40, 10**9), 10**10)
     assert big.sum() == 10**10 and big.max() <= 10**9
+
+
+@pytest.mark.parametrize(("good", "bad", "n"), [(5, 7, 6), (40, 2, 9), (3, 100, 50), (30, 30, 1)])
+def test_draws_follow_the_law(good, bad, n):
+    """Chi-square against the counted probabilities."""
+    rng, draws = np.random.default_rng(good), 20_000
+    seen = np.bincount([sharding.hypergeometric(rng, good, bad, n) for _ in range(draws)], minlength=n + 1)
+    want = np.array([math.comb(good, k) * math.comb(bad, n - k) / math.comb(good + bad, n) * draws for k in range(n + 1)])
+    assert seen[want == 0].sum() == 0
+    often = want >= 5
+    chi = ((seen - want)[often] ** 2 / want[often]).sum()
+    assert chi < often.sum() + 6 * math.sqrt(2 * often.sum())
+
+
+def test_draws_of_very_many_rows():
+    rng, total, shards = np.random.default_rng(3), 10**11, 40
+    sizes = sharding.shard_sizes(total, shards)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        drawn = np.array([sharding.draw(rng, sizes, total // 4) for _ in range(30)])
+    assert (drawn.sum(1) == total // 4).all()
+    spread = math.sqrt(total / 4 / shards * (1 - 1 / shards) * 0.75)
+    off = (drawn - total / 4 / shards) / spread
+    assert abs(off).max() < 6 and abs(off.mean(0)).max() < 5 / math.sqrt(30) and 0.9 < off.std() < 1.1
+
+
+def test_whole_matrix_has_the_law_of_a_permutation():
+    """Two partitions of 3 and 4 rows into two shards: the first cell as often as permutations put it there."""
+    counts = np.zeros(4, int)
+    for seed in range(6_000):
+        counts[sharding.matrix_row(np.array([3, 7]), 2, 0, seed)[0]] += 1
+    want = np.array([math.comb(3, k) * math.comb(4, 4 - k) / math.comb(7, 4) for k in range(4)]) * 6_000
+    assert ((counts - want) ** 2 / want).sum() < 20
