@@ -33,12 +33,68 @@ def upsert(
     Columns outside ``update`` are written on insert only. Columns whose name starts with an
     underscore describe the load, so they are updated but not compared.
     """
+    joined, out = _matched(target, source, keys, compare, update, keep_if_null)
+    return joined.selectExpr(*[f"{out[c]} AS `{c}`" if c in out else f"`{c}`" for c in target.columns])
+
+
+def merge_images(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    compare: Sequence[str] | None = None,
+    update: Sequence[str] | None = None,
+    keep_if_null: Sequence[str] = (),
+    delete: Column | None = None,
+) -> DataFrame:
+    """As ``upsert``, with each key's row ``before`` and ``after`` as structs, NULL where there is none; rows for which
+    ``delete`` is true after the merge are gone. The new table and its change feed (``rows_of``, ``feed_of``) both
+    come out of this one join."""
+    joined, out = _matched(target, source, keys, compare, update, keep_if_null)
+    before = ", ".join(f"'{c}', `t_{c}`" for c in out)
+    after = ", ".join(f"'{c}', {sql}" for c, sql in out.items())
+    images = joined.selectExpr(
+        *[f"`{k}`" for k in keys], f"CASE WHEN in_t THEN named_struct({before}) END AS before", f"named_struct({after}) AS after"
+    )
+    if delete is None:
+        return images
+    gone = images.select("*", "after.*").withColumn("_gone", F.coalesce(delete, F.lit(False)))
+    return gone.select(*keys, "before", F.when(~F.col("_gone"), F.col("after")).alias("after"))
+
+
+def rows_of(images: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return images.filter("after IS NOT NULL").select(*keys, "after.*")
+
+
+def feed_of(images: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Net changes as rows with ``_action`` and ``_is_update``; see ``snapshot_diff``."""
+    before, after = F.col("before"), F.col("after")
+
+    def image(side: Column, action: str, is_update: bool) -> Column:
+        return F.struct(side.alias("row"), F.lit(action).alias("_action"), F.lit(is_update).alias("_is_update"))
+
+    made = (
+        F.when(after.isNull(), F.array(image(before, "DELETE", False)))
+        .when(before.isNull(), F.array(image(after, "INSERT", False)))
+        .otherwise(F.array(image(before, "DELETE", True), image(after, "INSERT", True)))
+    )
+    changed = images.filter(~before.eqNullSafe(after)).select(*keys, F.inline(made))
+    return changed.select(*keys, "row.*", "_action", "_is_update")
+
+
+def _matched(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    compare: Sequence[str] | None,
+    update: Sequence[str] | None,
+    keep_if_null: Sequence[str],
+) -> tuple[DataFrame, dict[str, str]]:
+    """Both sides side by side, and per value column its value after the merge."""
     values = [c for c in target.columns if c not in keys]
     compare = [c for c in values if not c.startswith("_")] if compare is None else compare
     update = values if update is None else update
     joined = _side(target, keys, values, "t").join(_side(source, keys, values, "s"), list(keys), "full_outer")
 
-
     def new(c: str) -> str:
         return f"coalesce(`s_{c}`, `t_{c}`)" if c in keep_if_null else f"`s_{c}`"
 
@@ -47,11 +103,8 @@ def upsert(
         "is_new": F.expr("in_s IS NOT NULL AND in_t IS NULL"),
         "is_changed": F.expr(f"in_s IS NOT NULL AND in_t IS NOT NULL AND ({differs})"),
     }
-    out = {
-        c: f"CASE WHEN is_new{' OR is_changed' if c in update else ''} THEN {new(c)} ELSE `t_{c}` END AS `{c}`"
-        for c in values
-    }
-    return joined.withColumns(flags).selectExpr(*[out.get(c, f"`{c}`") for c in target.columns])
+    out = {c: f"CASE WHEN is_new{' OR is_changed' if c in update else ''} THEN {new(c)} ELSE `t_{c}` END" for c in values}
+    return joined.withColumns(flags), out
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
@@ -66,18 +119,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     """
     values = [c for c in new.columns if c not in keys]
     joined = _packed(old, keys, values, "before").join(_packed(new, keys, values, "after"), list(keys), "full_outer")
-    before, after = F.col("before"), F.col("after")
-
-    def image(side: Column, action: str, is_update: bool) -> Column:
-        return F.struct(side.alias("row"), F.lit(action).alias("_action"), F.lit(is_update).alias("_is_update"))
-
-    images = (
-        F.when(after.isNull(), F.array(image(before, "DELETE", False)))
-        .when(before.isNull(), F.array(image(after, "INSERT", False)))
-        .otherwise(F.array(image(before, "DELETE", True), image(after, "INSERT", True)))
-    )
-    changed = joined.filter(~before.eqNullSafe(after)).select(*keys, F.inline(images))
-    return changed.select(*keys, "row.*", "_action", "_is_update").select(*new.columns, "_action", "_is_update")
+    return feed_of(joined, keys).select(*new.columns, "_action", "_is_update")
 
 
 def apply_diff(old: DataFrame, diff: DataFrame, keys: Sequence[str]) -> DataFrame:

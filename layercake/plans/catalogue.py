@@ -15,7 +15,7 @@ from layercake.functions.hashing import compact_key, row_hash, surrogate_key
 from layercake.functions.parse import json_field, month_label, name_part, parse_bool, parse_date, parse_ts, typed
 from layercake.operators import quality, scd2
 from layercake.operators.clean import clean
-from layercake.operators.merge import apply_diff, delete_where, latest_per_key, snapshot_diff, upsert
+from layercake.operators.merge import apply_diff, delete_where, feed_of, latest_per_key, merge_images, snapshot_diff, upsert
 from layercake.plans import dashboard, kpis, retail
 from layercake.plans.pipeline import Warehouse
 from layercake.plans.star import FACT_KEYS, ORDER_TIME, build_date_dim, build_fact
@@ -169,13 +169,16 @@ def _orders_batch(spark: SparkSession, folder: str) -> DataFrame:
     return sent.unionByName(added)
 
 
+_ORDER_VALUES = ["o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
 def _merge_orders(old: DataFrame, batch: DataFrame) -> DataFrame:
     return upsert(
         old,
         batch,
         ["o_orderkey"],
-        compare=["o_orderstatus", "o_totalprice", "o_orderpriority"],
-        update=["o_orderstatus", "o_totalprice", "o_orderpriority"],
+        compare=_ORDER_VALUES,
+        update=_ORDER_VALUES,
         keep_if_null=["o_orderpriority"],
     )
 
@@ -231,6 +234,16 @@ def _orders_after(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def snapshot_diff_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The change feed of an upsert and a deletion, out of the upsert's own join."""
+    merged = merge_images(
+        _orders_now(spark, folder), _orders_batch(spark, folder), ["o_orderkey"], _ORDER_VALUES, _ORDER_VALUES, ["o_orderpriority"],
+        delete=F.col("o_orderpriority") == "1-URGENT",
+    )
+    return feed_of(merged, ["o_orderkey"])
+
+
+def snapshot_diff_two(spark: SparkSession, folder: str) -> DataFrame:
+    """The same feed from the two states of the table."""
     return snapshot_diff(_orders_now(spark, folder), _orders_after(spark, folder), ["o_orderkey"])
 
 
@@ -667,6 +680,39 @@ def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def csv_unknown_header(spark: SparkSession, folder: str) -> DataFrame:
+    """Deliveries in progress come in another order with one column renamed, fulfilled ones without their last column."""
+    delivery, rows = ENTITIES["delivery"], _stage_text(spark, folder, "delivery")
+    landing, names = shared_dir(spark, "unknown-headers"), ENTITIES["delivery"].headers
+    state = F.col("deliverystatus")
+    _land(rows.filter(state == "Pending"), landing, 1)
+    _land(rows.filter(state == "Delivered").select(*names[1:-1], names[0]), landing, 1)
+    _land(rows.filter(state == "Processing").select(names[1], names[0], *names[2:-1], F.lit("x").alias("more")), landing, 1)
+    warehouse = Warehouse(spark, shared_dir(spark, "unknown-header-tables"), buckets=4)
+    for _ in range(2):
+        warehouse.load_stage(delivery, landing, LOADED, on_error="continue")
+    warehouse.refresh_clean(delivery)
+    held = warehouse.quarantine(delivery).read().select(F.col("deliveryid").alias("id"), F.concat_ws("; ", "_reasons").alias("reasons"))
+    good = warehouse.clean(delivery).read()
+    return held.unionByName(good.select(F.col("delivery_id").cast("string").alias("id"), F.col("delivery_status").alias("reasons")))
+
+
+def csv_abort(spark: SparkSession, folder: str) -> DataFrame:
+    """A load with unreadable ids leaves no row; the one before it stays."""
+    menu, rows = ENTITIES["menu"], _stage_text(spark, folder, "menu")
+    broken = rows.withColumn("menuid", F.when(F.trim("category") == "ECONOMY", F.lit("junk")).otherwise(F.col("menuid")))
+    warehouse = Warehouse(spark, shared_dir(spark, "abort"), buckets=4)
+    outcome = []
+    for n, part in enumerate((rows.filter("trim(category) <> 'ECONOMY'"), broken)):
+        try:
+            warehouse.load_stage(menu, _land(part, shared_dir(spark, "abort-menus"), 2), LOADED)
+        except ValueError as problem:
+            outcome.append((n, str(problem).rsplit(": ", 1)[-1]))
+    staged = warehouse.stage(menu).read().select("menuid", F.lit("").alias("problem"))
+    problems = [F.struct(F.lit(str(n)).alias("menuid"), F.lit(p).alias("problem")) for n, p in outcome]
+    return staged.unionByName(spark.range(1).select(F.inline(F.array(*problems)))) if problems else staged
+
+
 def stage_delete(spark: SparkSession, folder: str) -> DataFrame:
     """Stage rows deleted by pattern; the clean table keeps them, and nothing is read twice."""
     menu = ENTITIES["menu"]
@@ -757,7 +803,7 @@ QUERIES: dict[str, Query] = {
         dash_yearly, dash_month_revenue, dash_months, dash_top10, dash_yoy, dash_totals, dash_latest_period,
         dash_month_labels,
         dedup_latest, upsert_orders, upsert_nulls, table_upsert, table_changes, delete_where_lines, truncate_table,
-        snapshot_diff_orders, snapshot_diff_applied,
+        snapshot_diff_orders, snapshot_diff_two, snapshot_diff_applied,
         scd2_log_events, scd2_log_hot_users, scd2_current, scd2_as_of, scd2_weekly_batches, scd2_close_deleted, scd2_late_batch,
         scd2_log_unplaced,
         parse_dates, lenient_casts, json_props, split_names, month_names, hash_keys,
@@ -765,7 +811,7 @@ QUERIES: dict[str, Query] = {
         star_date_dim, star_fact, star_kpi_yearly, star_kpi_by_restaurant, star_kpi_by_city, star_kpi_by_category,
         star_views, star_fact_merge, star_fact_incremental, star_fact_late_customer, star_fact_late_menu, star_pending,
         star_fact_reassigned, star_fact_as_of_order,
-        csv_roundtrip, csv_header_binding, csv_quarantine, stage_delete, load_once, list_files, stream_ingest, stream_to_scd2,
+        csv_roundtrip, csv_header_binding, csv_unknown_header, csv_abort, csv_quarantine, stage_delete, load_once, list_files, stream_ingest, stream_to_scd2,
         stream_two_batches,
         feed_reset,
     ]

@@ -6,22 +6,29 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from layercake.operators.clean import clean, clean_schema, dimension_schema, stage_schema
 from layercake.operators.merge import delete_where, latest_per_key, upsert
-from layercake.operators.quality import split_stage
+from layercake.operators.quality import split_stage, stage_rules, with_reasons
 from layercake.operators.scd2 import advance, scd2_apply_late
 from layercake.plans.star import DATE_SCHEMA, DIMENSION_KEYS, FACT_COLUMNS, FACT_KEYS, FACT_SCHEMA, build_date_dim, resolve
 from layercake.plans.views import register
 from layercake.registry import DIMENSIONS, ENTITIES, Entity
 from layercake.session import scratch
-from layercake.sources.files import read_stage
+from layercake.sources.files import new_files, read_files
 from layercake.sources.tables import VersionedTable
 
 # Later load first, then file time and name, so the last delivered version of a row wins.
 LOAD_ORDER = ["_copy_data_ts", "_stg_file_load_ts", "_stg_file_name"]
-FILES_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("_stg_file_name", "_stg_file_md5")])
+FILES_SCHEMA = T.StructType(
+    [
+        T.StructField("_stg_file_name", T.StringType()),
+        T.StructField("_stg_file_md5", T.StringType()),
+        T.StructField("_stg_file_load_ts", T.TimestampType()),
+    ]
+)
+UNKNOWN_HEADER = "unknown header"
 FACT_FEEDS = {"orders": "order_id", "order_item": "order_id_fk", "delivery": "order_id_fk"}
 
 
@@ -77,10 +84,37 @@ class Warehouse:
         once: bool = True,
         batch_id: str | None = None,
     ) -> int:
-        """Appends the files at ``path`` to the stage table. With ``once``, files loaded before are
-        left out; with ``on_error='abort'`` a row that cannot be loaded fails the load unwritten."""
+        """Appends the files at ``path`` to the stage table. With ``once``, files loaded before are left out before
+        anything of them is read; with ``on_error='abort'`` a row that cannot be loaded fails the load unwritten."""
+        paths = path
+        if once:
+            paths = new_files(self.spark, path, self.loaded_files(entity))
+            if not paths:
+                return self.stage(entity).version()
+        return self.load_files(entity, paths, load_ts, on_error, by, once, batch_id)
+
+    def load_files(
+        self,
+        entity: Entity,
+        paths: str | list[str],
+        load_ts: datetime,
+        on_error: str,
+        by: str = "header",
+        once: bool = True,
+        batch_id: str | None = None,
+    ) -> int:
+        """As ``load_stage``, of these files. Rows of files whose header cannot be bound go to quarantine, or fail the load."""
         loaded = self.loaded_files(entity) if once else None
-        return self.append_stage(entity, read_stage(self.spark, entity, path, load_ts, by, loaded), on_error, batch_id)
+        rows, refused = read_files(self.spark, entity, paths, load_ts, by, loaded)
+        if refused is not None:
+            if on_error == "abort":
+                raise ValueError(f"{entity.name}: {refused.agg(F.min('_stg_file_name')).first()[0]}: {UNKNOWN_HEADER}")
+            held = self.quarantine(entity)
+            note = f"refused {batch_id or load_ts}"
+            if not held.has_batch(note):
+                held.append(refused.withColumn("_reasons", F.array(F.lit(UNKNOWN_HEADER))), note)
+                self.files(entity).append(refused.select(*FILES_SCHEMA.names).distinct())
+        return self.append_stage(entity, rows, on_error, batch_id)
 
     def delete_stage(self, entity: Entity, condition: Column) -> int:
         """Deletes stage rows, such as those of a malformed file. What was unread is taken in first, so
@@ -108,11 +142,19 @@ class Warehouse:
         stage = self.stage(entity)
         if batch_id is not None and stage.has_batch(batch_id):
             return stage.version()
-        if on_error == "abort":
-            bad = split_stage(entity, rows)[1].select("_stg_file_name", "_reasons").first()
-            if bad is not None:
-                raise ValueError(f"{entity.name}: {bad['_stg_file_name']}: {', '.join(bad['_reasons'])}")
-        return stage.append(rows, batch_id)
+        if on_error == "continue":
+            return stage.append(rows, batch_id)
+        # Bad rows are counted while the batch is written; it becomes a version of the table only if there are none.
+        seen = Observation()
+        bad = (F.size("_reasons") > 0) & F.coalesce(*entity.headers).isNotNull()
+        first = F.min(F.when(bad, F.struct("_stg_file_name", "_reasons"))).alias("first")
+        watched = with_reasons(rows, stage_rules(entity)).observe(seen, first).drop("_reasons")
+
+        def refuse_bad() -> None:
+            if (found := seen.get["first"]) is not None:
+                raise ValueError(f"{entity.name}: {found['_stg_file_name']}: {', '.join(found['_reasons'])}")
+
+        return stage.append(watched, batch_id, check=refuse_bad)
 
     def refresh_clean(self, entity: Entity) -> int:
         """Merges the unread part of the stage table; rows that cannot be loaded go to quarantine."""

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from layercake.operators.clean import stage_schema
 from layercake.registry import AUDIT, Entity
-
-# Files up to this size are hashed whole in one task, larger ones line by line across tasks.
-WHOLE_FILE_BYTES = 64 << 20
+from layercake.session import written
 
 _FILE = "_stg_file_name"
 
@@ -40,20 +40,67 @@ def positional_schema(entity: Entity, width: int = 0) -> T.StructType:
     return T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(max(width, len(entity.headers)))])
 
 
-def read_stage(
+def read_stage(spark: SparkSession, entity: Entity, path: str | list[str], load_ts: datetime | Column, by: str = "header") -> DataFrame:
+    """Stage rows of the files at ``path``. ``by='position'`` ignores the headers."""
+    return read_files(spark, entity, path, load_ts, by)[0]
+
+
+def read_files(
     spark: SparkSession,
     entity: Entity,
     path: str | list[str],
     load_ts: datetime | Column,
     by: str = "header",
     loaded: DataFrame | None = None,
-) -> DataFrame:
-    """Stage rows of the files at ``path``. ``by='position'`` ignores the headers; files in ``loaded``
-    (see ``only_new_files``) are left out."""
-    # As wide as the widest header, so that every named column is read.
-    width = header_lines(spark, entity, path).agg(F.max(F.size("names"))).first()[0] if by == "header" else 0
-    raw = with_file_columns(spark.read.schema(positional_schema(entity, width or 0)).options(**csv_options()).csv(path))
-    return finish_stage(spark, entity, raw, path, load_ts, by, loaded)
+) -> tuple[DataFrame, DataFrame | None]:
+    """(stage rows, rows of files whose header cannot be bound or None if there are no such files).
+
+    Files whose name and content are in ``loaded`` are left out. A first scan gives each file's content hash and header,
+    one row per file; the second one reads the rows.
+    """
+    if by not in ("header", "position"):
+        raise ValueError(f"by must be 'header' or 'position', not {by!r}")
+    profiles = bindings(entity, file_profiles(spark, path), by)
+    if loaded is not None:
+        profiles = only_new_files(profiles, loaded)
+    profiles = written(profiles, "file-profiles")
+    kinds = profiles.groupBy("binds").agg(F.max(F.size("names")).alias("width"), F.bool_and("straight").alias("straight")).collect()
+    width = max((r["width"] for r in kinds if r["binds"] == "name"), default=0)
+    raw = with_file_columns(spark.read.schema(positional_schema(entity, width)).options(**csv_options()).csv(path))
+    plain = _named(entity, list(range(len(entity.headers))))
+    stamp = (load_ts if isinstance(load_ts, Column) else F.lit(str(load_ts))).cast("timestamp")
+
+    def finished(files: DataFrame, columns: list[Column]) -> DataFrame:
+        joined = raw.join(files, _FILE).select(*columns, *[c for c in AUDIT if c != "_copy_data_ts"], stamp.alias("_copy_data_ts"))
+        return joined.to(stage_schema(entity))
+
+    fine = profiles.filter("binds <> 'refused'").select(_FILE, "_stg_file_md5", "places")
+    if all(r["straight"] for r in kinds if r["binds"] != "refused"):
+        rows = finished(fine, plain)
+    else:
+        cells = F.array(*[F.col(c) for c in raw.columns if c not in (_FILE, "_stg_file_load_ts")])
+        rows = finished(fine, [F.get(cells, F.get("places", F.lit(i))).alias(h) for i, h in enumerate(entity.headers)])
+    refused = profiles.filter("binds = 'refused'").select(_FILE, "_stg_file_md5")
+    return rows, finished(refused, plain) if any(r["binds"] == "refused" for r in kinds) else None
+
+
+def bindings(entity: Entity, profiles: DataFrame, by: str = "header") -> DataFrame:
+    """Per file how its columns bind: ``binds`` (name, position or refused), the ``places`` of the entity's columns (-1: not
+    there), and whether these are the first ones in order.
+
+    By name: a header with all columns, in any order and among any others, or with none but such columns, of which those not
+    there are NULL. By position: a header whose known columns stand where they belong, if there are any. Others name
+    some columns in other places, and cannot be bound either way.
+    """
+    known = F.array(*[F.lit(h) for h in entity.headers])
+    places = F.array(*[F.array_position("names", h).cast("int") - 1 for h in entity.headers])
+    in_place = F.forall(F.arrays_zip("places", "own"), lambda x: (x["places"] == -1) | (x["places"] == x["own"]))
+    own = F.sequence(F.lit(0), F.lit(len(entity.headers) - 1))
+    found = profiles.withColumns({"places": places, "own": own})
+    whole = ~F.array_contains("places", -1) | ((F.size(F.array_except("names", known)) == 0) & (F.array_max("places") >= 0))
+    kind = F.when(F.lit(by == "position"), "position").when(whole, "name").when(in_place, "position").otherwise("refused")
+    bound = found.withColumn("binds", kind).withColumn("places", F.when(F.col("binds") == "name", F.col("places")).otherwise(F.col("own")))
+    return bound.withColumn("straight", F.col("places") == F.col("own")).drop("own")
 
 
 def with_file_columns(raw: DataFrame) -> DataFrame:
@@ -64,84 +111,57 @@ def with_file_columns(raw: DataFrame) -> DataFrame:
     )
 
 
-def finish_stage(
-    spark: SparkSession,
-    entity: Entity,
-    raw: DataFrame,
-    path: str | list[str],
-    load_ts: datetime | Column,
-    by: str = "header",
-    loaded: DataFrame | None = None,
-) -> DataFrame:
-    """Named columns and audit columns for a positional read of ``path``."""
-    bound = bind_columns(spark, entity, raw, path, by)
-    hashes = file_md5(spark, path)
-    if loaded is not None:
-        hashes = only_new_files(hashes, loaded)
-    stamp = load_ts if isinstance(load_ts, Column) else F.lit(str(load_ts))
-    return (
-        bound.join(hashes, _FILE)
-        .withColumn("_copy_data_ts", stamp.cast("timestamp"))
-        .select(*entity.headers, *AUDIT)
-        .to(stage_schema(entity))
-    )
-
+def file_profiles(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file name, content hash, column names of the first line in small letters), in one scan.
 
-def bind_columns(spark: SparkSession, entity: Entity, raw: DataFrame, path: str | list[str], by: str = "header") -> DataFrame:
-    """Positional columns to the entity's. A header that has all of them, in any order and with any
-    others between, binds by name; every other file binds by position."""
-    if by not in ("header", "position"):
-        raise ValueError(f"by must be 'header' or 'position', not {by!r}")
-    by_position = list(range(len(entity.headers)))
-    if by == "position":
-        return raw.select(*_named(entity, by_position), _FILE, "_stg_file_load_ts")
-    where = F.array(*[F.array_position("names", h).cast("int") - 1 for h in entity.headers])
-    headers = header_lines(spark, entity, path).select(_FILE, where.alias("where"))
-    straight = F.array(*[F.lit(i) for i in by_position])
-    if headers.filter(F.col("where") != straight).isEmpty():
-        return raw.select(*_named(entity, by_position), _FILE, "_stg_file_load_ts")
-    cells = F.array(*[F.col(c) for c in raw.columns if c not in (_FILE, "_stg_file_load_ts")])
-    joined = raw.join(headers, _FILE, "left").select(
-        cells.alias("cells"), F.coalesce("where", straight).alias("where"), _FILE, "_stg_file_load_ts"
+    The hash is the md5 of size, line count and two sums over the lines: of their hashes, and of these times the line's
+    number. Both sums add up over the pieces that a file is read in, once the lines before each piece are counted, so the hash
+    depends on the lines and their order, never on the pieces. A file without lines has no row.
+    """
+    mark = (1 << 30) - 1  # small enough for exact products with a line's number
+    lines = spark.read.options(**CSV_FILES).text(path).select(
+        F.col("_metadata.file_path").alias(_FILE),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("begin"),
+        "value",
+        F.monotonically_increasing_id().alias("id"),
+        *[F.expr(f"(xxhash64({x}) & {mark}L)").alias(n) for n, x in (("h", "value"), ("g", "value, 1"))],
     )
-    # A position beyond the columns read fails instead of giving null.
-    columns = [F.element_at("cells", F.get("where", F.lit(i)) + 1).alias(h) for i, h in enumerate(entity.headers)]
-    return joined.select(*columns, _FILE, "_stg_file_load_ts")
-
-
-def header_lines(spark: SparkSession, entity: Entity, path: str | list[str]) -> DataFrame:
-    """(file, names) of each file that has a header line: one with all of the entity's column names, in any order."""
-    plain = F.lower(F.regexp_replace("value", "[\ufeff\"\r]", ""))
-    names = F.transform(F.split(plain, ","), F.trim)
-    missing = F.array_except(F.array(*[F.lit(h) for h in entity.headers]), "names")
-    # Most lines are told apart by one name.
-    lines = spark.read.options(**CSV_FILES).text(path).filter(F.lower("value").contains(entity.headers[0]))
-    return (
-        lines.select(F.col("_metadata.file_path").alias(_FILE), names.alias("names"))
-        .filter(F.size(missing) == 0)
-        .groupBy(_FILE)
-        .agg(F.min("names").alias("names"))
+    number = F.col("id").bitwiseAND((1 << 33) - 1)  # within its task, which may read several pieces
+    sums = {
+        f"{n}{power}": F.sum((F.col(n) * number if power else F.col(n)).cast("decimal(20,0)")) for n in "hg" for power in (0, 1)
+    }
+    pieces = lines.groupBy(_FILE, "size", "begin").agg(
+        F.count("value").alias("n"), F.min(number).alias("first"), F.min_by("value", "id").alias("line"),
+        *[total.alias(n) for n, total in sums.items()],
+    )
+    earlier = Window.partitionBy(_FILE).orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pieces.withColumn("shift", F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first"))
+    whole = placed.groupBy(_FILE, "size").agg(
+        F.sum("n").alias("n"), F.min_by("line", "begin").alias("line"),
+        *[F.sum(f"{n}0").alias(f"{n}0") for n in "hg"],
+        *[F.sum(F.col(f"{n}1") + F.col(f"{n}0") * F.col("shift").cast("decimal(12,0)")).alias(f"{n}1") for n in "hg"],
+    )
+    plain = F.lower(F.regexp_replace("line", "[\ufeff\"\r]", ""))
+    return whole.select(
+        _FILE,
+        F.md5(F.concat_ws(":", "size", "n", "h0", "h1", "g0", "g1")).alias("_stg_file_md5"),
+        F.transform(F.split(plain, ","), F.trim).alias("names"),
     )
 
 
-def file_md5(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Content hash per file. No task holds more than ``WHOLE_FILE_BYTES`` of one file.
-
-    A larger file gets the md5 of its length, its line count and the sum of its lines' hashes, which
-    tasks add up independently.
-    """
+def new_files(spark: SparkSession, path: str | list[str], loaded: DataFrame) -> list[str]:
+    """Paths of the files at ``path`` that are not in ``loaded`` with their time of change. No content is read; the driver,
+    which lists files anyway, gets the names of new ones."""
     files = spark.read.format("binaryFile").options(**CSV_FILES).load(path)
-    name = F.col("_metadata.file_path").alias(_FILE)
-    small = files.filter(F.col("length") <= WHOLE_FILE_BYTES).select(name, F.md5("content").alias("_stg_file_md5"))
-    lines = spark.read.options(**CSV_FILES).text(path)
-    size = F.col("_metadata.file_size")
-    large = (
-        lines.filter(size > WHOLE_FILE_BYTES)
-        .groupBy(F.col("_metadata.file_path").alias(_FILE), size.alias("size"))
-        .agg(F.count("value").alias("n"), F.sum(F.xxhash64("value").cast("decimal(38,0)")).alias("h"))
-        .select(_FILE, F.md5(F.concat_ws(":", "size", "n", "h")).alias("_stg_file_md5"))
-    )
-    return small.unionByName(large)
+    named = files.select(F.col("_metadata.file_path").alias(_FILE), F.col("modificationTime").alias("_stg_file_load_ts"))
+    found = named.join(loaded.select(_FILE, "_stg_file_load_ts"), [_FILE, "_stg_file_load_ts"], "left_anti")
+    return [as_path(r[0]) for r in found.select(_FILE).collect()]
+
+
+def as_path(name: str) -> str:
+    """A file name, which comes URL-encoded, as a path that stands for this file only."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", unquote(name))
 
 
 def list_stage(spark: SparkSession, path: str | list[str]) -> DataFrame:

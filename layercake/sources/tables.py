@@ -114,11 +114,19 @@ class VersionedTable:
 
     # -- writing -------------------------------------------------------------------------------
 
-    def append(self, rows: DataFrame, batch_id: str | None = None, sources: dict[str, int] | None = None) -> int:
-        """Adds rows without looking at those present."""
+    def append(
+        self,
+        rows: DataFrame,
+        batch_id: str | None = None,
+        sources: dict[str, int] | None = None,
+        check: Callable[[], None] | None = None,
+    ) -> int:
+        """Adds rows without looking at those present. They count only if ``check``, called once they are written, lets them."""
         placed = rows.select(*self.schema.names, F.lit(1).alias("_append"), F.lit(0).alias("_bucket"))
         version = self.version() + 1
         placed.write.mode("overwrite").partitionBy("_append", "_bucket").parquet(f"{self.path}/data/v={version}")
+        if check is not None:
+            check()
         return self._commit(version, "append", [], batch_id, sources)
 
     def merge(

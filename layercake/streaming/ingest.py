@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from layercake.plans.pipeline import Warehouse
 from layercake.registry import Entity
-from layercake.sources.files import csv_options, positional_schema, read_stage, with_file_columns
+from layercake.sources.files import CSV_FILES, as_path
 
 # Files per micro-batch. Their names, and nothing else of them, come to the driver.
 MAX_FILES = 1000
@@ -35,27 +34,26 @@ def stream_stage(
     after a failure adds nothing twice.
     """
     spark = warehouse.spark
+    # The stream finds the files and reads nothing of them; they are read as in a batch.
     source = (
-        spark.readStream.schema(positional_schema(entity))
-        .options(**csv_options())
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .options(**CSV_FILES)
         .option("maxFilesPerTrigger", max_files)
-        .csv(landing)
+        .load(landing)
+        .select(F.col("_metadata.file_path").alias("name"))
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
         key = f"{checkpoint}#{batch_id}"
         if not warehouse.stage(entity).has_batch(key):
-            # Names come URL-encoded.
-            paths = [unquote(r[0]) for r in batch.select("_stg_file_name").distinct().collect()]
-            # The stream finds the files; they are read as in a batch, as wide as their headers are.
-            rows = read_stage(spark, entity, paths, load_ts, by)
-            warehouse.append_stage(entity, rows, "continue", key)
+            paths = [as_path(r[0]) for r in batch.collect()]
+            warehouse.load_files(entity, paths, load_ts, "continue", by, once=False, batch_id=key)
         if then is not None:
             then(batch_id)
 
     return (
-        with_file_columns(source)
-        .writeStream.foreachBatch(load)
+        source.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

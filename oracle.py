@@ -215,6 +215,7 @@ MERGES = {
     """,
     "truncate_table": "SELECT 1 AS version, count(*) AS n FROM orders UNION ALL SELECT 2, 0",
     "snapshot_diff_orders": orders_plain(diff(NOW, AFTER), FEED),
+    "snapshot_diff_two": orders_plain(diff(NOW, AFTER), FEED),
     "snapshot_diff_applied": orders_plain(AFTER),
 }
 
@@ -678,6 +679,14 @@ FILES = {
                            WHEN 'PROMO' THEN 'item_name missing or unreadable' ELSE '' END AS reasons
         FROM part
     """,
+    "csv_unknown_header": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE o_orderstatus WHEN 'P' THEN 'unknown header' ELSE {STATUS} END AS reasons
+        FROM orders
+    """,
+    "csv_abort": """
+        SELECT CAST(p_partkey AS VARCHAR) AS menuid, '' AS problem FROM part WHERE p_type <> 'ECONOMY'
+        UNION ALL SELECT DISTINCT '1', 'menu_id missing or unreadable' FROM part WHERE p_type = 'ECONOMY'
+    """,
     "stage_delete": """
         SELECT 'stage' AS layer, p_partkey AS menu_id FROM part WHERE p_type NOT LIKE '%ECONOMY%'
         UNION ALL SELECT 'clean', p_partkey FROM part

@@ -5,7 +5,7 @@ from helpers import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from layercake.operators.merge import apply_diff, delete_where, latest_per_key, snapshot_diff, upsert
+from layercake.operators.merge import apply_diff, delete_where, feed_of, latest_per_key, merge_images, rows_of, snapshot_diff, upsert
 
 SCHEMA = "id long, a string, b int"
 QUICK = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -84,3 +84,23 @@ def test_wide_tables_plan_quickly(spark, wide):
     b = a.withColumn("c0", F.lit(1).cast("long"))
     assert snapshot_diff(a.filter("false"), b, ["id"]).count() == 5
     assert snapshot_diff(a, b, ["id"]).count() == 8
+
+
+def test_feed_out_of_the_merge_shuffles_each_side_once(spark, tmp_path):
+    old = spark.range(100).selectExpr("id", "string(id % 7) AS v", "string(id) AS w")
+    new = spark.range(50, 150).selectExpr("id", "if(id % 5 = 0, null, string(id % 3)) AS v", "'n' AS w")
+    for name, df in (("old", old), ("new", new)):
+        df.write.parquet(str(tmp_path / name))
+    old, new = (spark.read.parquet(str(tmp_path / n)) for n in ("old", "new"))
+    images = merge_images(old, new, ["id"], ["v"], ["v"], ["v"], delete=F.col("v") == "1")
+    after = delete_where(upsert(old, new, ["id"], ["v"], ["v"], ["v"]), F.col("v") == "1")
+    assert rows(rows_of(images, ["id"])) == rows(after)
+    feed = feed_of(images, ["id"])
+    assert rows(feed) == rows(snapshot_diff(old, after, ["id"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = feed._jdf.queryExecution().sparkPlan().toString()
+        shuffled = feed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("FileScan") == 2 and shuffled.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 2
