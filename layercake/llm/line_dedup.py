@@ -146,6 +146,17 @@ def later_copies(lines: DataFrame, scratch: Scratch) -> DataFrame:
     return copies.select("doc._id", "doc._hash", "start", "length").distinct()
 
 
+def once_per_document(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """``lines`` of repeated rows once, so that a row's copies meet neither each other nor others' runs."""
+    doc = F.struct("_id", "_hash").alias("doc")
+    again = scratch.put(lines.filter("seq = 0").groupBy(doc).count().filter("count > 1").select("doc"), "repeated-rows")
+    if again.isEmpty():
+        return lines
+    marked = lines.withColumn("doc", doc)
+    one = marked.join(again, "doc", "left_semi").drop("doc").distinct()
+    return scratch.put(marked.join(again, "doc", "left_anti").drop("doc").unionByName(one), "lines-once")
+
+
 DELETED = "array<struct<first:int,last:int>>"
 
 
@@ -180,7 +191,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id"
     ship(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "line_dedup")
     source = docs.select(F.col(f"`{key}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
-    lines = scratch.put(line_table(source, min_words), "lines")
+    lines = once_per_document(scratch.put(line_table(source, min_words), "lines"), scratch)
     runs = later_copies(lines, scratch)
     runs = runs.groupBy("_id", "_hash").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_runs"))
     runs = scratch.put(runs.select(F.struct("_id", "_hash").alias("_doc"), "_runs"), "copies")

@@ -207,3 +207,26 @@ def test_empty_tables(spark):
     assert ngram_join.ngram_components(none).count() == 0
     assert line_dedup.dedup_lines(none).count() == 0
     assert decontaminate.decontaminate(none, items).count() == 0
+
+
+def test_runs_of_repeated_rows_grow_with_the_rows(spark, tmp_path):
+    """Copies of a row are one document: nothing is deleted from them, and other documents lose their run as before."""
+    line = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, f"own\n{line}\n{line} x")] * 40 + [(None, f"{line}\nnull")] * 3 + [(9, f"other\n{line}\nend")] * 2
+    seen = []
+    put = line_dedup.Scratch.put
+
+    def counting(self, df, name):
+        made = put(self, df, name)
+        if name == "runs":
+            seen.append(made.count())
+        return made
+
+    line_dedup.Scratch.put = counting
+    try:
+        got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        line_dedup.Scratch.put = put
+    texts = {(r.doc_id, r.text) for r in got}
+    assert len(got) == 45 and seen[0] < 20
+    assert texts == {(None, f"{line}\nnull"), (5, f"own\n{line} x"), (9, "other\nend")}
