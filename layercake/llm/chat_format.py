@@ -1,9 +1,10 @@
 """Chat formatting by schema fingerprints (operator 6).
 
 Conversations come in several layouts: one row per turn, lists of messages, prompt and response,
-instruction and output. The nested field paths of a record are its fingerprint; its hash selects a
-declarative mapping from the layout to canonical turns (role, text). Turns are then written into one
-template, with the spans of assistant text as loss mask, and can be read back from the output exactly.
+instruction and output. The nested field paths of a record, to whatever depth, are its fingerprint, and those
+of its schema are that of a table with a row per turn. The hash selects a declarative mapping from the layout
+to canonical turns (role, text). Turns are then written into one template, with the spans of assistant text
+as loss mask, and can be read back from the output exactly.
 
 The template marks turns with control strings. A control string inside a text gets a backslash after its
 first character, and one that has backslashes there already gets one more, so escaping can be undone.
@@ -29,14 +30,17 @@ RESULTS = ["turns", "formatted", "loss_spans"]
 
 @dataclass(frozen=True)
 class Layout:
-    """Field paths of a layout (``[]`` marks list items), and SQL that makes turns of its fields.
+    """Paths of a layout's fields without fields of their own, and SQL that makes turns of them.
 
-    In ``turns``, ``$.path`` stands for the text at that path of a JSON record.
+    ``[]`` after a name marks a list, ``[none]`` an empty one. For records ``turns`` gives all turns, and
+    ``$.path`` in it stands for the text at that path of the JSON. For rows it gives the struct of one
+    turn (at, role, text), and ``conversation`` the id that turns are gathered by.
     """
 
     name: str
     paths: tuple[str, ...]
-    turns: str = ""
+    turns: str
+    conversation: str = ""
 
 
 ROLES = "CASE lower({0}) WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' WHEN 'bot' THEN 'assistant' ELSE {0} END"
@@ -53,10 +57,35 @@ def _pair(*turns: tuple[str, str]) -> str:
     return f"filter(array({structs}), x -> x.text IS NOT NULL)"
 
 
-ROWS = Layout("rows", ("conv_id", "role", "text", "turn"))
+def _row(at: str, role: str, text: str) -> str:
+    return f"struct({at} AS at, coalesce({role}, '') AS role, coalesce({text}, '') AS text)"
+
+
+PARTS = (
+    "transform(from_json($.messages, 'array<struct<role:string,content:array<struct<type:string,text:string>>>>'), x -> "
+    f"struct({ROLES.format('x.role')} AS role, "
+    r"coalesce(array_join(transform(filter(x.content, p -> p.type = 'text'), p -> p.text), '\n'), '') AS text))"
+)
+ROWS = [
+    Layout("rows", ("conv_id", "role", "text", "turn"), _row("turn", "role", "text"), "conv_id"),
+    Layout(
+        "from_rows",
+        ("conversation_id", "from", "turn", "value"),
+        _row("turn", ROLES.format("`from`"), "value"),
+        "conversation_id",
+    ),
+    Layout(
+        "message_rows",
+        ("conversation_id", "message.content", "message.role", "turn"),
+        _row("turn", ROLES.format("message.role"), "message.content"),
+        "conversation_id",
+    ),
+]
 RECORDS = [
-    Layout("messages", ("messages", "messages[].content", "messages[].role"), _listed("messages", "role", "content")),
-    Layout("from_value", ("conversations", "conversations[].from", "conversations[].value"), _listed("conversations", "from", "value")),
+    Layout("messages", ("messages[].content", "messages[].role"), _listed("messages", "role", "content")),
+    Layout("message_parts", ("messages[].content[].text", "messages[].content[].type", "messages[].role"), PARTS),
+    Layout("no_messages", ("messages[none]",), "array()"),
+    Layout("from_value", ("conversations[].from", "conversations[].value"), _listed("conversations", "from", "value")),
     Layout("prompt_response", ("prompt", "response"), _pair(("user", "$.prompt"), ("assistant", "$.response"))),
     Layout("prompt_completion", ("completion", "prompt"), _pair(("user", "$.prompt"), ("assistant", "$.completion"))),
     Layout("instruction", ("instruction", "output"), _pair(("user", "$.instruction"), ("assistant", "$.output"))),
@@ -68,43 +97,55 @@ RECORDS = [
 ]
 
 
-def fingerprint(paths: Sequence[str]) -> str:
-    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()
+def shape(paths: Sequence[str]) -> str:
+    """Paths written as one nested type, as ``schema_of_variant`` writes it, every plain value being VALUE."""
+    if "[none]" in paths:
+        return "ARRAY<>"
+    below: dict[str, list[str]] = {}
+    for path in paths:
+        if path.startswith("[]"):
+            below.setdefault("[]", []).append(path[2:].removeprefix("."))
+        elif path:
+            name = path.partition(".")[0].partition("[")[0]
+            below.setdefault(name, []).append(path[len(name) :].removeprefix("."))
+    if not below:
+        return "VALUE"
+    if "[]" in below:
+        return f"ARRAY<{shape(below['[]'])}>"
+    return f"OBJECT<{', '.join(f'{name}: {shape(below[name])}' for name in sorted(below))}>"
+
+
+def type_shape(kind: T.DataType) -> str:
+    """The same for a column's type."""
+    if isinstance(kind, T.ArrayType):
+        return f"ARRAY<{type_shape(kind.elementType)}>"
+    if isinstance(kind, T.StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name)
+        return f"OBJECT<{', '.join(f'{f.name}: {type_shape(f.dataType)}' for f in fields)}>"
+    return "VALUE"
 
 
-def schema_paths(kind: T.DataType, at: str = "") -> list[str]:
-    """The nested field paths of a type."""
-    if isinstance(kind, T.ArrayType):
-        return schema_paths(kind.elementType, f"{at}[]")
-    if not isinstance(kind, T.StructType):
-        return []
-    found = []
-    for f in kind.fields:
-        path = f"{at}.{f.name}" if at else f.name
-        found += [path, *schema_paths(f.dataType, path)]
-    return found
+def fingerprint(nested: str) -> str:
+    return hashlib.sha256(nested.encode()).hexdigest()
 
 
 def record_fingerprint(json: Column) -> Column:
-    """The fingerprint of each JSON record's own field paths; null if it is no object.
+    """The fingerprint of each JSON record's own fields, at any depth; null where the text is no JSON.
 
-    Paths of two levels below the top are seen: fields, and fields of the objects in a field's list.
+    Fields of the items of a list count together. Where items differ in kind, such as text in one and a
+    list in another, the field is of neither kind, so that no layout has it. A list of nulls counts as empty.
     """
-    fields = F.array_sort(F.json_object_keys(json))
-
-    def nested(key: Column) -> Column:
-        items = F.from_json(F.try_element_at(F.from_json(json, "map<string,string>"), key), "array<map<string,string>>")
-        keys = F.array_distinct(F.flatten(F.transform(items, lambda x: F.map_keys(x))))
-        below = F.transform(F.coalesce(keys, F.array().cast("array<string>")), lambda k: F.concat(key, F.lit("[]."), k))
-        return F.concat(F.array(key), below)
-
-    return F.sha2(F.array_join(F.array_sort(F.flatten(F.transform(fields, nested))), "\n"), 256)
+    nested = F.regexp_replace(F.schema_of_variant(F.try_parse_json(json)), "ARRAY<VOID>", "ARRAY<>")
+    plain = r"(?<=: |<|^)(STRING|BIGINT|DOUBLE|BOOLEAN|VOID|DECIMAL\(\d+, ?\d+\))(?=[,>]|$)"
+    return F.sha2(F.regexp_replace(nested, plain, "VALUE"), 256)
 
 
 def turns_from_records(records: DataFrame, json: str, layouts: Sequence[Layout] = RECORDS) -> DataFrame:
     """``records`` with ``layout`` and ``turns``.
 
-    A record whose fingerprint no layout has keeps null in both: it is returned, not dropped.
+    A record whose fingerprint no layout has keeps null in both, as does one that is null, empty, no JSON, or
+    names a field twice: it is returned, not dropped. An empty list of messages gives no turns. Of a message in
+    parts the text parts are taken, one to a line. Input columns named like a result are replaced.
     """
     source = f"`{json}`"
     df = without(records, ["layout", "turns", "_fingerprint"]).withColumn("_fingerprint", record_fingerprint(F.col(source)))
@@ -113,30 +154,36 @@ def turns_from_records(records: DataFrame, json: str, layouts: Sequence[Layout]
         made = x.turns
         for path in sorted({p.split("[")[0] for p in x.paths}, key=len, reverse=True):
             made = made.replace(f"$.{path}", f"get_json_object({source}, '$.{path}')")
-        name += f" WHEN _fingerprint = '{fingerprint(x.paths)}' THEN '{x.name}'"
-        turns += f" WHEN _fingerprint = '{fingerprint(x.paths)}' THEN CAST({made} AS {TURNS})"
+        name += f" WHEN _fingerprint = '{fingerprint(shape(x.paths))}' THEN '{x.name}'"
+        turns += f" WHEN _fingerprint = '{fingerprint(shape(x.paths))}' THEN CAST({made} AS {TURNS})"
     return df.withColumns({"layout": F.expr(f"{name} END"), "turns": F.expr(f"{turns} END")}).drop("_fingerprint")
 
 
-def turns_from_rows(rows: DataFrame, layouts: Sequence[Layout] = (ROWS,)) -> DataFrame:
-    """One row per ``conv_id`` with its ``turns``, from a table whose schema has a known fingerprint.
+def row_layout(schema: T.StructType, layouts: Sequence[Layout] = ROWS) -> Layout:
+    """The layout that a table's fingerprint selects: the first whose columns are there with just its nested fields.
 
-    Columns besides the layout's are left out. Turns follow ``turn``, then role, then text; null comes
-    first, a null role or text counts as empty. Rows with a null id make up one conversation. A
-    conversation is one row, as its formatted text is.
+    Columns that the layout does not name are left out of the fingerprint.
     """
     for layout in layouts:
-        chosen = [c for c in rows.columns if c in layout.paths]
-        if len(set(chosen)) == len(layout.paths) and fingerprint(
-            schema_paths(rows.select(*chosen).schema)
-        ) == fingerprint(layout.paths):
-            break
-    else:
-        raise ValueError(f"no layout has the field paths of {rows.columns}")
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    in_order = F.sort_array(F.collect_list(turn))
-    return rows.groupBy("conv_id").agg(
-        F.transform(in_order, lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns")
+        named = {path.partition(".")[0].partition("[")[0] for path in layout.paths}
+        own = T.StructType([f for f in schema.fields if f.name in named])
+        if fingerprint(type_shape(own)) == fingerprint(shape(layout.paths)):
+            return layout
+    raise ValueError(f"no layout has the field paths of {schema.simpleString()}")
+
+
+def turns_from_rows(rows: DataFrame, layouts: Sequence[Layout] = ROWS) -> DataFrame:
+    """One row per ``conv_id`` with its ``turns``, through the mapping that the table's fingerprint selects.
+
+    Columns besides the layout's are left out; a table of unknown layout is an error. Turns follow their
+    number, then role, then text; null comes first, a null role or text counts as empty, repeated rows are
+    repeated turns. Rows with a null id make up one conversation; an empty table has none. A conversation is
+    one row, as its formatted text is.
+    """
+    layout = row_layout(rows.schema, layouts)
+    turn = rows.select(F.expr(layout.conversation).alias("conv_id"), F.expr(layout.turns).alias("_turn"))
+    return turn.groupBy("conv_id").agg(
+        F.transform(F.sort_array(F.collect_list("_turn")), lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns")
     )
 
 

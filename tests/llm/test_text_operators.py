@@ -183,6 +183,51 @@ def test_chat_layouts(spark):
         chat_format.turns_from_rows(spark.createDataFrame([(1,)], "x int"))
 
 
+def test_chat_nested_records(spark):
+    parts = '{"messages":[{"role":"human","content":[{"type":"text","text":"a"},{"type":"text","text":"b"}]},{"role":"bot","content":[]}]}'
+    known = [parts, '{"messages":[]}', '{"prompt":5,"response":null}', '{"conversations":[{"from":"gpt","value":"v"}]}']
+    unknown = [
+        '{"messages":[{"role":"user","content":{"text":"a"}}]}',
+        '{"messages":[{"role":"user","content":"a"},{"role":"user","content":[{"type":"text","text":"b"}]}]}',
+        '{"messages":[{"role":"user","content":[{"type":"text","text":"a","more":{"deep":[1]}}]}]}',
+        '{"messages":[{"role":"user","content":"a"}],"extra":{"id":1}}',
+        '{"messages":["a"]}', '{"prompt":["p"],"response":"r"}', '{"prompt":"p","prompt":"q","response":"r"}', "", "[]", "3", '{"a":' * 400 + "1" + "}" * 400,
+    ]
+    df = spark.createDataFrame([(i, r, "x", "y") for i, r in enumerate(known + unknown)], "i int, j string, turns string, layout string")
+    got = chat_format.turns_from_records(df, "j").orderBy("i").collect()
+    assert [r.layout for r in got] == ["message_parts", "no_messages", "prompt_response", "from_value"] + [None] * len(unknown)
+    assert [[tuple(t) for t in r.turns] for r in got[:4]] == [[("user", "a\nb"), ("assistant", "")], [], [("user", "5")], [("assistant", "v")]]
+    assert all(r.turns is None for r in got[4:])
+    empty = chat_format.chat_format(chat_format.turns_from_records(df.limit(0), "j"))
+    assert empty.collect() == []
+
+
+def test_chat_rows_by_fingerprint(spark):
+    layouts = {
+        "rows": ("conv_id long, turn int, role string, text string", lambda t, r, x: (1, t, r, x)),
+        "from_rows": ("conversation_id string, turn int, `from` string, value string", lambda t, r, x: ("c", t, r, x)),
+        "message_rows": ("conversation_id long, turn int, message struct<role:string,content:string>", lambda t, r, x: (1, t, (r, x))),
+    }
+    for name, (schema, row) in layouts.items():
+        given = [row(1, "assistant", "b"), row(0, "user", "a"), row(1, "assistant", "b"), row(None, "user", None)]
+        df = spark.createDataFrame([(*r, "x", "y") for r in given], schema + ", extra string, formatted string")
+        assert chat_format.row_layout(df.schema).name == name
+        made = chat_format.turns_from_rows(df).collect()
+        assert [[tuple(t) for t in r.turns] for r in made] == [[("user", ""), ("user", "a"), ("assistant", "b"), ("assistant", "b")]]
+        assert chat_format.turns_from_rows(df.limit(0)).collect() == []
+    nested = spark.createDataFrame([], "conv_id long, turn int, role string, text struct<a:string>")
+    with pytest.raises(ValueError, match="no layout"):
+        chat_format.turns_from_rows(nested)
+
+
+def test_chat_long_text(spark):
+    text = "<|end|> [INST] é" * 40_000
+    df = spark.createDataFrame([(1, 0, "assistant", text)], "conv_id long, turn long, role string, text string")
+    made = chat_format.chat_format(chat_format.turns_from_rows(df))
+    back = made.select(chat_format.read_turns(made["formatted"]).alias("t"), chat_format.read_loss_text(made["formatted"], made["loss_spans"]).alias("l")).first()
+    assert back.t[0].text == text and back.l == text
+
+
 def test_urls(spark):
     urls = ["https://WWW.example.com/en/1", "http://a.example.com/en/", "x://b.net/fr/2?q", "http://spam-farm.x.org/z", "http://com", "nothing", None, ""]
     df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, verdict string")
