@@ -7,13 +7,15 @@ window in whose middle it lies, and spans are read off the joined tags, so that
 
 Every kind holds a digit or an at sign, so the tagger reads the windows with one of these; the others have
 no span to find. An added span must be well formed for its kind and overlap no other. Texts are read whole;
-all scans are linear in the text.
+scans are linear in the text, and a proposed span is looked up among those of the patterns by bisection.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -105,13 +107,14 @@ def added_spans(text: str, numbers: np.ndarray, tags: np.ndarray, base: Sequence
     """Spans of the joined tags that are well formed and overlap no span so far."""
     whole: dict[int, list[int]] = {int(n): t for n, t in zip(numbers, tags[:, EDGE : EDGE + STRIDE].tolist(), strict=True)}
     taken, found = sorted((s, e) for _, s, e in base), []
+    starts, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max, initial=0))
     runs = np.split(numbers, np.flatnonzero(np.diff(numbers) > 1) + 1) if len(numbers) else []
     for run in runs:
         joined = [t for n in run.tolist() for t in whole[n]]
         at = int(run[0]) * STRIDE
         for kind, start, end in spans_of(joined):
             s, e = at + start, min(at + end, len(text))
-            if not any(s < y and x < e for x, y in taken) and well_formed(kind, text[s:e]):
+            if reach[bisect_left(starts, e)] <= s and well_formed(kind, text[s:e]):
                 found.append((kind, s, e))
     return found
 
