@@ -106,7 +106,13 @@ class SubwordSoftmax:
         return ids.astype(np.int32), starts, np.diff(np.append(starts, len(ids)))
 
     def fit(self, texts: Sequence[str], labels: Sequence[int], epochs: int = 10, largest_batch: int = 128, rate: float = 0.05, seed: int = 1):
-        """Adam over batches in shuffled order. A label of the rarer class weighs more, by the square root of the odds."""
+        """Adam over batches in shuffled order. A label of the rarer class weighs more, by the square root of the odds.
+
+        Without any text the model scores everything alike, as clean.
+        """
+        if not len(texts):
+            self.table[:], self.softmax[:], self.bias[:] = 0, 0, (1, 0)
+            return self
         rng, step = np.random.default_rng(seed), 0
         labels = np.asarray(labels)
         params = {"table": self.table, "softmax": self.softmax, "bias": self.bias}
@@ -187,20 +193,21 @@ class SubwordSoftmax:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4_000, max_chars: int = 20_000, text: str = "text", key: str = "doc_id") -> SubwordSoftmax:
     """A model fitted on at most ``sample_rows`` labelled rows of at most ``max_chars`` characters.
 
-    ``labels`` has the key and ``toxic`` (0 or 1; other values are no label). Up to half of the sample
-    is toxic rows. Rows are chosen by their key's hash. Without any label, every text scores alike.
+    ``labels`` has the key and ``toxic`` (0 or 1; other values are no label). Up to half of the sample is toxic
+    rows. Rows are chosen among those short enough, by their key's hash; of several texts of a key, the first
+    in their order is taken. Without any row to learn from, every text scores alike, and below 0.5.
     """
-    known = labels.filter("toxic IN (0, 1)").groupBy(key).agg(F.max("toxic").alias("toxic"))
+    source = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).filter(F.length("_text") <= max_chars)
+    known = labels.filter("toxic IN (0, 1)").groupBy(F.col(f"`{key}`").alias("_key")).agg(F.max("toxic").alias("toxic"))
+    known = known.join(source.select("_key").distinct(), "_key", "left_semi")
 
     def some(value: int, n: int) -> DataFrame:
-        return known.filter(F.col("toxic") == value).orderBy(F.xxhash64(F.col(key).cast("string")), key).limit(n)
+        return known.filter(F.col("toxic") == value).orderBy(F.xxhash64(F.col("_key").cast("string")), "_key").limit(n)
 
     chosen = some(1, sample_rows // 2).unionByName(some(0, sample_rows - sample_rows // 2))
-    source = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
     rows = (
-        source.filter(F.length("_text") <= max_chars)
-        .join(F.broadcast(chosen.select(F.col(key).alias("_key"), "toxic")), "_key")  # sample_rows rows of two numbers
-        .groupBy("_key").agg(F.first("_text").alias("_text"), F.first("toxic").alias("toxic"))
+        source.join(F.broadcast(chosen), "_key")  # sample_rows rows of two numbers
+        .groupBy("_key").agg(F.min("_text").alias("_text"), F.first("toxic").alias("toxic"))
         .collect()
     )
     rows.sort(key=lambda r: str(r._key))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import itertools
 import math
 import random
 import re
@@ -60,6 +61,51 @@ def test_tagger_gradients():
         assert abs((up - down) / 2e-5 - g[name][at]) < 1e-6
 
 
+def test_decoding_and_the_sum_over_paths_by_enumeration():
+    """Viterbi and the loss against every tag sequence of short windows."""
+    rng, model = np.random.default_rng(4), pii_model.Tagger(3)
+    ids, k, t = rng.integers(0, 100, (3, 4)), len(pii_model.TAGS), 4
+    u, a = model.scores(ids), model.p["a"] + pii_model.allowed()
+    paths = np.array(list(itertools.product(range(k), repeat=t)))
+    tags = np.zeros((3, t), int)
+    totals = []
+    for row in range(3):
+        each = model.p["s"][paths[:, 0]] + u[row, np.arange(t), paths].sum(1) + a[paths[:, :-1], paths[:, 1:]].sum(1)
+        assert model.decode(ids)[row].tolist() == paths[each.argmax()].tolist()
+        totals.append(np.log(np.exp(each - each.max()).sum()) + each.max() - each[0])
+    assert abs(model.gradients(ids, tags)[0] - np.mean(totals)) < 1e-6
+
+
+def test_added_spans_overlap_none():
+    rng = random.Random(5)
+    pieces = ["a.b@c.example.org", "192.0.2.1", "4111 1111 1111 1111", "+1 (555) 555-0100", "x", " ", "a [at] b.org", "192 . 0 . 2 . 7"]
+    tagger = pii_model.Tagger(4)
+    for _ in range(60):
+        text = " ".join(rng.choice(pieces) for _ in range(25))
+        base = pii.base_spans(text)
+        numbers, rows = pii.tag_windows(text)
+        tags = np.array([[rng.randrange(len(pii_model.TAGS)) for _ in range(rows.shape[1])] for _ in rows]) if rng.random() < 0.3 else tagger.decode(rows)
+        want = []
+        whole = {int(n): w for n, w in zip(numbers, tags[:, pii.EDGE : pii.EDGE + pii_model.STRIDE].tolist(), strict=True)}
+        runs = np.split(numbers, np.flatnonzero(np.diff(numbers) > 1) + 1) if len(numbers) else []
+        for run in runs:
+            for kind, x, y in pii_model.spans_of([z for n in run.tolist() for z in whole[n]]):
+                x, y = int(run[0]) * pii_model.STRIDE + x, min(int(run[0]) * pii_model.STRIDE + y, len(text))
+                if not any(x < e and s < y for _, s, e in base) and pii.well_formed(kind, text[x:y]):
+                    want.append((kind, x, y))
+        assert pii.added_spans(text, numbers, tags, base) == want
+
+
+def test_pii_at_the_edges(spark):
+    long = "word " * 30_000 + "a.b@c.example.org " + "7 " * 5_000
+    docs = spark.createDataFrame([(1, long, "x", "y"), (1, long, "x", "y"), (2, None, "x", "y"), (3, "", "x", "y")], "doc_id long, text string, spans string, base_spans string")
+    model = pii_model.Tagger()
+    got = pii.find_pii(docs, model).orderBy("doc_id").collect()
+    assert got[0] == got[1] and [tuple(s)[0] for s in got[0].base_spans][:1] == ["email"] and got[0].base_spans[0].start == 150_000
+    assert [r.spans for r in got[2:]] == [[], []]
+    assert pii.find_pii(docs.limit(0), model).collect() == []
+
+
 def test_tagger_adds_spans_and_leaves_prose(spark):
     prose = "and the of in that was on it for with as by at from or an be this have not "
     docs = spark.createDataFrame([(i, prose * 4) for i in range(20)] + [(50, None), (51, "mail a.b@c.example.org now")], "doc_id long, text string")
@@ -89,6 +135,65 @@ def test_toxicity_held_out(spark):
     assert got[9002].predicted == 1 and got[9000].score == got[9001].score
 
 
+def test_toxicity_without_labels_and_at_the_edges(spark):
+    schema = "doc_id long, text string, score string, predicted string, toxic string"
+    docs = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in [(1, "a b"), (1, "a b"), (2, None), (None, ""), (3, "c " * 50_000)]], schema)
+    none = spark.createDataFrame([(1, None), (2, 3)], "doc_id long, toxic int")
+    for labels in (none, none.limit(0)):
+        got = toxicity.score(docs, toxicity.train(docs, labels)).collect()
+        assert len(got) == 5 and len({r.score for r in got}) == 1 and got[0].score < 0.5 and not got[0].predicted
+    assert toxicity.score(docs.limit(0), toxicity.train(docs.limit(0), none)).collect() == []
+
+
+def test_toxicity_sample_keeps_its_size(spark):
+    """Long rows leave their place to short ones, and copies of a key do not change the model."""
+    docs = spark.createDataFrame([(i, "bad word " * (200 if i % 2 else 3) if i < 40 else "good text") for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(80)], "doc_id long, toxic int")
+    few = toxicity.train(docs, labels, sample_rows=20, max_chars=100)
+    again = toxicity.train(docs.union(docs).repartition(7), labels.union(labels), sample_rows=20, max_chars=100)
+    assert (few.table == again.table).all()
+    assert few.scores(["bad word bad word"])[0] > 0.5 > few.scores(["good text"])[0]
+
+
+def test_toxicity_scores_are_those_of_a_plain_loop():
+    rng = random.Random(2)
+    model = toxicity.SubwordSoftmax(buckets=512, dim=3)
+    for n in (0, 1, 7, 8, 9, 30):
+        text = " ".join("".join(rng.choice("abcdé") for _ in range(rng.randint(1, 9))) for _ in range(n))
+        words = toxicity.words_of(text) or [""]
+        vectors = []
+        for w in words:
+            ids, _ = toxicity.ngrams([w], 512)
+            vectors.append(np.mean([model.table[i] for i in ids], axis=0))
+        best = 0.0
+        for begin, end in zip(*toxicity.windows(len(words)), strict=True):
+            logits = np.mean(vectors[begin:end], axis=0) @ model.softmax + model.bias
+            best = max(best, math.exp(logits[1]) / np.exp(logits).sum())
+        assert abs(model.scores([text])[0] - best) < 1e-5
+
+
+def test_toxicity_gradients():
+    model = toxicity.SubwordSoftmax(buckets=64, dim=3, seed=5)
+    model.table, model.softmax = model.table.astype(np.float64), model.softmax.astype(np.float64)
+    batch, labels, weights = model._batch(["a bad one here", "fine text"]), np.array([1, 0]), np.ones(2)
+
+    def loss():
+        (ids, starts, counts), flat, (begin, end), _, _ = batch
+        v = model.vectors(ids, starts, counts)[flat]
+        x = np.array([v[b:e].mean(0) for b, e in zip(begin, end, strict=True)]) @ model.softmax + model.bias
+        return float(np.mean(np.log1p(np.exp(-(x[:, 1] - x[:, 0]) * (2 * labels - 1)))))
+
+    g = model._gradients(batch, labels, weights, 1.0)
+    for name, at in (("softmax", (1, 0)), ("softmax", (2, 1)), ("table", (batch[0][0][0], 1))):
+        p = getattr(model, name)
+        p[at] += 1e-5
+        up = loss()
+        p[at] -= 2e-5
+        down = loss()
+        p[at] += 1e-5
+        assert abs((up - down) / 2e-5 - g[name][at]) < 1e-4
+
+
 def test_pieces_hold_every_ngram_of_a_long_word():
     for n in (1, 20, 30, 31, 36, 37, 44, 45, 500):
         word = "".join(chr(0x4E00 + i) for i in range(n))
