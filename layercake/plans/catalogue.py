@@ -12,7 +12,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from layercake.functions.hashing import compact_key, row_hash, surrogate_key
-from layercake.functions.parse import json_field, month_label, name_part, parse_bool, parse_date, parse_ts, typed
+from layercake.functions.parse import json_field, month_label, name_part, parse_bool, parse_date, parse_ts, strict, typed
 from layercake.operators import quality, scd2
 from layercake.operators.clean import clean
 from layercake.operators.merge import apply_diff, delete_where, feed_of, latest_per_key, merge_images, snapshot_diff, upsert
@@ -341,6 +341,27 @@ def _clean_query(name: str) -> Query:
     return lambda spark, folder: clean_rows(spark, folder, name)
 
 
+def clean_min_item_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Items from an id on."""
+    entity = ENTITIES["order_item"]
+    good = quality.split_stage(entity, retail.stage_rows(spark, folder, entity))[0]
+    return clean(entity, good, min_id=1000).drop(*AUDIT)
+
+
+def strict_casts(spark: SparkSession, folder: str) -> DataFrame:
+    """Text that must be readable: a value that is not would fail the query."""
+    text = retail.table(spark, folder, "orders").selectExpr(
+        "o_orderkey",
+        "CAST(o_orderkey AS string) AS whole",
+        "CAST(CAST(o_totalprice AS decimal(18,2)) AS string) AS price",
+        "CASE WHEN o_orderkey % 2 = 0 THEN date_format(o_orderdate, 'M/d/yyyy') ELSE CAST(CAST(o_orderdate AS date) AS string) END AS day",
+        "CASE WHEN o_orderkey % 5 <> 0 THEN date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\") END AS moment",
+        "CASE WHEN o_orderkey % 2 = 0 THEN 'TRUE' ELSE 'false' END AS flag",
+    )
+    kinds = {"whole": "bigint", "price": "decimal(18,2)", "day": "date", "moment": "timestamp", "flag": "boolean"}
+    return text.select("o_orderkey", *[strict(c, kind).alias(c) for c, kind in kinds.items()])
+
+
 def parse_dates(spark: SparkSession, folder: str) -> DataFrame:
     """One moment written in each accepted form, and in some that are not."""
     at = F.col("o_orderdate").cast("timestamp") + F.expr("make_dt_interval(0, 10, 5, 7)")
@@ -598,6 +619,57 @@ def star_fact_reassigned(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.fact().read()
 
 
+# Entity -> stage column that changes on the second day, and what to.
+UPDATES = {
+    "location": ("zipcode", "999999"),
+    "restaurant": ("openstatus", "Moved"),
+    "customer": ("mobile", "1"),
+    "customer_address": ("locality", "Quarter 99"),
+    "menu": ("itemname", "renamed"),
+    "delivery_agent": ("phone", "1"),
+    "orders": ("paymentmethod", "Card"),
+    "order_item": ("quantity", "7"),
+    "delivery": ("estimatedtime", "late"),
+}
+
+
+def _after_update(spark: SparkSession, folder: str, name: str) -> Warehouse:
+    """A fifth of the rows come on the second day, and a third of all have a new value then."""
+    entity, (column, value) = ENTITIES[name], UPDATES[name]
+    warehouse, rows = Warehouse(spark, shared_dir(spark, f"update-{name}"), buckets=4), retail.stage_rows(spark, folder, entity)
+    if name == "order_item":
+        rows = latest_per_key(rows, ["orderitemid", "orderid"], ["modifieddate"])
+    number = F.col(entity.headers[0]).cast("bigint")
+    late, moved = number % 5 == 4, number % 3 == 1
+    second = rows.filter(late | moved).withColumns(
+        {column: F.when(moved, F.lit(value)).otherwise(F.col(column)), "_copy_data_ts": F.lit(str(NEXT_DAY)).cast("timestamp")}
+    )
+    for batch, at in ((rows.filter(~late), LOADED), (second, NEXT_DAY)):
+        warehouse.append_stage(entity, batch, "continue")
+        warehouse.run_increment(entity, at)
+    return warehouse
+
+
+def _update_query(name: str) -> Query:
+    return lambda spark, folder: _after_update(spark, folder, name).clean(ENTITIES[name]).read().drop(*AUDIT)
+
+
+def _update_dim_query(name: str) -> Query:
+    return lambda spark, folder: _after_update(spark, folder, name).dim(ENTITIES[name]).read().select(*ENTITIES[name].keys, *scd2.META)
+
+
+def feed_reset_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """Delivery changes that were unread when their feed was reset never reach the fact; those after it do."""
+    delivery, stamp = ENTITIES["delivery"], F.lit(str(NEXT_DAY)).cast("timestamp")
+    warehouse = _warehouse_without(spark, folder, "", "")
+    warehouse.append_stage(delivery, _next_day(spark, folder, "delivery"), "continue")
+    warehouse.reset_feed(delivery)
+    done = retail.stage_rows(spark, folder, delivery).filter("deliverystatus = 'Delivered' AND orderid % 3 = 1")
+    warehouse.append_stage(delivery, done.withColumns({"estimatedtime": F.lit("late"), "_copy_data_ts": stamp}), "continue")
+    warehouse.run_all(NEXT_DAY)
+    return warehouse.fact().read()
+
+
 SPRING, BEFORE_ALL = datetime(1998, 3, 1), datetime(1990, 1, 1)
 
 
@@ -806,15 +878,17 @@ QUERIES: dict[str, Query] = {
         snapshot_diff_orders, snapshot_diff_two, snapshot_diff_applied,
         scd2_log_events, scd2_log_hot_users, scd2_current, scd2_as_of, scd2_weekly_batches, scd2_close_deleted, scd2_late_batch,
         scd2_log_unplaced,
-        parse_dates, lenient_casts, json_props, split_names, month_names, hash_keys,
+        clean_min_item_id, strict_casts, parse_dates, lenient_casts, json_props, split_names, month_names, hash_keys,
         quality_bad_rows, quality_good_rows, unique_check, fk_check, masked_customers, masked_restaurants,
         star_date_dim, star_fact, star_kpi_yearly, star_kpi_by_restaurant, star_kpi_by_city, star_kpi_by_category,
         star_views, star_fact_merge, star_fact_incremental, star_fact_late_customer, star_fact_late_menu, star_pending,
         star_fact_reassigned, star_fact_as_of_order,
         csv_roundtrip, csv_header_binding, csv_unknown_header, csv_abort, csv_quarantine, stage_delete, load_once, list_files, stream_ingest, stream_to_scd2,
         stream_two_batches,
-        feed_reset,
+        feed_reset, feed_reset_fact,
     ]
 }
 QUERIES |= {f"clean_{n}": _clean_query(n) for n in ENTITIES}
 QUERIES |= {f"dim_{n}": _dimension_query(n) for n in DIMENSIONS}
+QUERIES |= {f"update_{n}": _update_query(n) for n in ENTITIES}
+QUERIES |= {f"update_dim_{n}": _update_dim_query(n) for n in DIMENSIONS}

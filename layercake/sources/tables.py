@@ -24,7 +24,7 @@ from layercake.operators.merge import snapshot_diff
 
 COMMIT_SCHEMA = (
     "version long, op string, batch_id string, buckets array<int>, live array<int>, rewritten array<int>, appended boolean,"
-    " sources map<string, long>"
+    " sources map<string, long>, cut int"
 )
 
 
@@ -102,6 +102,7 @@ class VersionedTable:
 
     def buckets_of(self, rows: DataFrame) -> list[int]:
         """Buckets the rows belong to: at most one number per bucket comes to the driver."""
+        self._state()  # fails if the table is cut into another number of them
         return sorted(r[0] for r in rows.select(self._bucket().alias("_bucket")).distinct().collect())
 
     def has_batch(self, batch_id: str) -> bool:
@@ -179,8 +180,9 @@ class VersionedTable:
             rows = rows.withColumn("_append", F.lit(0))
         placed = rows.select(*self.schema.names, "_append", self._bucket().alias("_bucket"))
         version = self.version() + 1
-        # Rebalancing brings a bucket together and lets Spark cut one that is too large for a task.
-        whole = placed.hint("rebalance", F.col("_append"), F.col("_bucket"))
+        # Rebalancing brings a bucket together and lets Spark cut one that is too large for a task. A table that is not
+        # cut has one bucket, so its rows stay where they are.
+        whole = placed.hint("rebalance", F.col("_append"), F.col("_bucket")) if self.bucket_by else placed
         whole.write.mode("overwrite").partitionBy("_append", "_bucket").parquet(f"{self.path}/data/v={version}")
         return self._commit(version, op, touched, batch_id, sources, rewritten=rewritten)
 
@@ -212,6 +214,7 @@ class VersionedTable:
             ints(rewritten).alias("rewritten"),
             F.lit(appended).alias("appended"),
             F.create_map(*pairs).cast("map<string,long>").alias("sources"),
+            F.lit(self.buckets).alias("cut"),
         )
         before = self._state()
         row.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/v={version}")
@@ -254,7 +257,10 @@ class VersionedTable:
             return self._latest
         log = None if version == 0 else self._commits()
         newest = [] if log is None else self._newest(log if version is None else log.filter(F.col("version") <= version))
-        by_kind = {k: [r for r in newest if r["kind"] == k] for k in ("bucket", "any", "append", "reset", "floor", "source")}
+        by_kind = {k: [r for r in newest if r["kind"] == k] for k in ("bucket", "any", "append", "reset", "floor", "source", "cut")}
+        for r in by_kind["cut"]:
+            if self.bucket_by and r["value"] != self.buckets:
+                raise ValueError(f"{self.path} is cut into {r['value']} buckets, not {self.buckets}")
         reset = max([r["version"] for r in by_kind["reset"]], default=0)
         state = State(
             max([r["version"] for r in by_kind["any"]], default=0),
@@ -277,7 +283,8 @@ class VersionedTable:
                 transform(coalesce(rewritten, array()), b -> struct('floor' AS kind, string(b) AS id, 1L AS value)),
                 transform(map_entries(sources), e -> struct('source' AS kind, e.key AS id, e.value AS value)),
                 if(appended, array(struct('append' AS kind, string(version) AS id, 1L AS value)), array()),
-                if(op = 'overwrite', array(struct('reset' AS kind, '' AS id, 1L AS value)), array())
+                if(op = 'overwrite', array(struct('reset' AS kind, '' AS id, 1L AS value)), array()),
+                if(cut IS NOT NULL, array(struct('cut' AS kind, '' AS id, bigint(cut) AS value)), array())
             )
         """
         return (

@@ -595,6 +595,47 @@ AS_TEXT = (
 )
 STAR_TEXT = star(AS_TEXT)
 
+# Entity -> column that changes on the second day, and what to.
+UPDATES = {
+    "location": ("zip_code", "'999999'"),
+    "restaurant": ("open_status", "'Moved'"),
+    "customer": ("mobile", "'1'"),
+    "customer_address": ("locality", "'Quarter 99'"),
+    "menu": ("item_name", "'renamed'"),
+    "delivery_agent": ("phone", "'1'"),
+    "orders": ("payment_method", "'Card'"),
+    "order_item": ("quantity", "7"),
+    "delivery": ("estimated_time", "'late'"),
+}
+
+
+def update_plain(name: str) -> str:
+    """All rows, a third of them with the new value; an item once."""
+    column, value = UPDATES[name]
+    number = CLEAN[name][1][0][0]
+    one = f"QUALIFY row_number() OVER (PARTITION BY order_item_id, order_id_fk ORDER BY {AS_TEXT}) = 1" if name == "order_item" else ""
+    new = f"CASE WHEN {number} % 3 = 1 THEN {value} ELSE {column} END"
+    shape = {"m": "CAST({0} AS DOUBLE)", "t": "CAST({0} AS VARCHAR)", "s": "{0}"}
+    columns = [f"{shape[k].format(new if c == column else c)} AS {c}" for c, k, _ in CLEAN[name][1]]
+    return f"SELECT {', '.join(columns)} FROM (SELECT * FROM ({typed_rows(name)}) {one})"
+
+
+def update_dim(name: str) -> str:
+    """The versions of the first day, closed where a new value came, and those of the second."""
+    column, value = UPDATES[name]
+    names = [c for c, _, _ in CLEAN[name][1]]
+    late, moved = f"{names[0]} % 5 = 4", f"{names[0]} % 3 = 1"
+    new = [f"CASE WHEN {moved} THEN {value} ELSE {c} END" if c == column else c for c in names]
+    day1, day2 = f"'{DAY1}'", f"'{DAY2}'"
+    return f"""
+        SELECT {names[0]}, {row_hash(*names, day1)} AS hk, {row_hash(*names[1:])} AS attr_hash, {day1} AS eff_start,
+               CASE WHEN {moved} THEN {day2} END AS eff_end, NOT ({moved}) AS is_current
+        FROM ({typed_rows(name)}) WHERE NOT ({late})
+        UNION ALL
+        SELECT {names[0]}, {row_hash(*new, day2)}, {row_hash(*new[1:])}, {day2}, NULL, true
+        FROM ({typed_rows(name)}) WHERE {late} OR {moved}
+    """
+
 
 LATE_CUSTOMER = {"customer": since("customer", "customer_id % 5 = 2")}
 LATE_MENU = {"menu": since("menu", "category LIKE 'PROMO%'")}
@@ -715,4 +756,20 @@ FILES = {
     """,
 }
 
+CLEANING |= {
+    "clean_min_item_id": clean_plain("order_item") + " WHERE order_item_id >= 1000",
+    "strict_casts": f"""
+        SELECT o_orderkey, o_orderkey AS whole, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS price,
+               {text('CAST(o_orderdate AS DATE)')} AS day,
+               CASE WHEN o_orderkey % 5 <> 0 THEN {text('CAST(o_orderdate AS TIMESTAMP)')} END AS moment, o_orderkey % 2 = 0 AS flag
+        FROM orders
+    """,
+}
+CLEANING |= {f"update_{n}": update_plain(n) for n in CLEAN}
+CLEANING |= {f"update_dim_{n}": update_dim(n) for n in list(CLEAN)[:6]}
+STARS["feed_reset_fact"] = f"""
+    SELECT * REPLACE (CASE WHEN delivery_status = 'Delivered' AND order_id % 3 = 1 THEN 'late' ELSE estimated_time END AS estimated_time)
+    FROM ({star_plain(STAR_TEXT)})
+"""
+
 ORACLE: dict[str, str] = MARTS | MERGES | VERSIONS | CLEANING | STARS | FILES

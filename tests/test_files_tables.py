@@ -4,8 +4,9 @@ import gzip
 from datetime import datetime
 from pathlib import Path
 
+import pytest
 from helpers import rows
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from layercake.registry import ENTITIES
 from layercake.session import shared_dir, written
@@ -218,3 +219,24 @@ def test_shared_dir_follows_the_cluster_setting(spark):
     assert shared_dir(spark, "x").startswith(f"{base}/layercake/x-")
     assert rows(written(frame(spark, (1, "a")), "w")) == [(1, "a")]
     assert list((Path(base) / "layercake").glob("w-*"))
+
+
+def test_a_table_keeps_its_number_of_buckets(spark, tmp_path):
+    schema = T.StructType.fromDDL("k long, v string")
+    made = VersionedTable(spark, str(tmp_path / "t"), schema, ["k"], buckets=4)
+    batch = spark.createDataFrame([(i, "a") for i in range(20)], schema)
+    made.merge(batch, lambda old, new: old.unionByName(new), made.buckets_of(batch))
+    other = VersionedTable(spark, str(tmp_path / "t"), schema, ["k"], buckets=8)
+    with pytest.raises(ValueError, match="cut into 4 buckets, not 8"):
+        other.buckets_of(batch)
+    assert VersionedTable(spark, str(tmp_path / "t"), schema, ["k"], buckets=4).read().count() == 20
+
+
+def test_overwriting_a_table_without_keys_moves_no_rows(spark, tmp_path):
+    schema = T.StructType.fromDDL("k long")
+    table = VersionedTable(spark, str(tmp_path / "t"), schema)
+    table.append(spark.range(1000).toDF("k").repartition(4))
+    table.overwrite(table.read().filter("k % 2 = 0").withColumn("_append", F.lit(1)))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    assert files.load(f"{tmp_path}/t/data/v=2").count() == 4
+    assert table.read().count() == 500
