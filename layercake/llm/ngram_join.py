@@ -11,12 +11,15 @@ overlaps separately, each from the two parts it holds, and the counts are summed
 
 Groups of similar classes are joined to components without making all their pairs. In each round a class is
 compared with one hub, the class it shares most candidate n-grams with; lists whose members have all met
-in one component are done. When few pairs are left, all of them are compared. So every link between
-different sets is either compared or already implied, and the components are exact.
+in one component are done. Once fewer pairs than list entries are left, or several rounds with other hubs have
+found no link, what is left is compared pair by pair: within a list and a band of sizes, in the first list that
+both are in. So every link between different sets is either compared or already implied, and the components are
+exact.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -28,6 +31,8 @@ from layercake.llm.text import SPACE_CHARS, lower_words, numbers, table, without
 from layercake.llm.scratch import Scratch
 
 FRAGMENTS = 4
+BARREN = 3  # so many rounds of hubs in a row without a link end them
+BEFORE = 64  # n-grams of a set, before the one at hand, that tell whether a pair was made already
 LOWEST, RANGE = -(2**63), 2**64
 
 
@@ -53,6 +58,14 @@ class Similarity:
     def linked(self, overlap: Column, a: Column, b: Column) -> Column:
         return 100 * overlap >= self.percent * (a + b - overlap)
 
+    def band(self, size: Column) -> Column:
+        """Similar sets are in one band of sizes or in two that follow each other.
+
+        A band is a little wider than the ratio of two similar sizes, so that rounding parts none.
+        """
+        width = max(math.log(100 / self.percent), 1e-6) * (1 + 1e-9)
+        return F.floor(F.log(size.cast("double")) / F.lit(width)).cast("int")
+
     @property
     def cut(self) -> int:
         """The end of the first fragment. It holds more n-grams than a set may miss, with some room."""
@@ -160,7 +173,7 @@ def links(postings: DataFrame, parts: DataFrame, like: Similarity, scratch: Scra
     """Links (a, b) between classes: enough of them for exact components."""
     spark, on = postings.sparkSession, ["a", "b"]
     known = refused = spark.createDataFrame([], "a long, b long")
-    rest, turn, found = postings.withColumn("root", F.col("node")), 0, True
+    rest, turn, barren = postings.withColumn("root", F.col("node")), 0, 0
     while True:
         lists = _open_lists(rest)
         rest = scratch.put(rest.join(lists.select("gram"), "gram", "left_semi"), "open")
@@ -169,8 +182,8 @@ def links(postings: DataFrame, parts: DataFrame, like: Similarity, scratch: Scra
         row = sizes.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
         if not row.rows:
             return known
-        last = 4 * row.pairs <= row.rows or not found
-        pairs = _all_pairs(rest, like) if last else _hub_pairs(rest, like, turn)
+        last = row.pairs <= row.rows or barren == BARREN
+        pairs = _left_pairs(rest, like) if last else _hub_pairs(rest, like, turn)
         pairs = scratch.put(pairs.join(refused, on, "left_anti"), "pairs")
         # The first fragment alone shows most pairs not to be similar: the rest can add no more than it holds.
         begun = overlaps(pairs, parts.filter("fragment = 0").withColumn("left", F.col("size") - F.size("part")))
@@ -182,9 +195,9 @@ def links(postings: DataFrame, parts: DataFrame, like: Similarity, scratch: Scra
         if last:
             return known
         scratch.tidy()
-        found, turn = not new.isEmpty(), turn + 1
+        barren, turn = barren + 1 if new.isEmpty() else 0, turn + 1
         refused = refused.union(pairs.join(new, on, "left_anti"))
-        if found:
+        if not barren:
             roots = components(known, scratch)
             rest = rest.drop("root").join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
@@ -220,23 +233,28 @@ def _hub_pairs(rest: DataFrame, like: Similarity, turn: int) -> DataFrame:
     return best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _all_pairs(rest: DataFrame, like: Similarity) -> DataFrame:
+def _left_pairs(rest: DataFrame, like: Similarity) -> DataFrame:
     """Every pair of classes of different components that meet in a list and can be similar.
 
-    A pair is made in the first of the lists that it meets in only. It shares none of the n-grams before that
-    one, so no more than the fewer that either has from there on.
+    Classes meet by list and band of sizes. A pair counts in the first of the lists that it meets in: it shares none
+    of the n-grams before that one, so no more than the fewer that either has from there on. The nearest n-grams
+    before the one at hand tell most later lists apart, and their number is fixed; what they miss is made once more
+    and falls to ``distinct``.
     """
-    earlier = Window.partitionBy("node", "sign", "size").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    mine = rest.withColumn("before", F.collect_list("gram").over(earlier))
-    mine = mine.withColumn("ahead", F.col("shared") - F.col("at") + 1).select("gram", "node", "size", "ahead", "root", "before")
+    earlier = Window.partitionBy("node", "sign", "size").orderBy("at").rowsBetween(-BEFORE, -1)
+    mine = rest.withColumns(
+        {"before": F.collect_list("gram").over(earlier), "ahead": F.col("shared") - F.col("at") + 1, "band": like.band(F.col("size"))}
+    ).select("gram", "band", "node", "size", "ahead", "root", "before")
+    # A class meets the larger ones of its own band and of the next one.
     other = mine.select("gram", *[F.col(c).alias(f"{c}_b") for c in mine.columns if c != "gram"])
-    met = mine.join(other, "gram").filter(
-        (F.col("node") < F.col("node_b"))
+    other = other.withColumn("band", F.explode(F.array("band_b", F.col("band_b") - 1)))
+    met = mine.join(other, ["gram", "band"]).filter(
+        ((F.col("band") < F.col("band_b")) | (F.col("node") < F.col("node_b")))
         & (F.col("root") != F.col("root_b"))
         & like.fits(F.col("ahead"), F.col("size"), F.col("ahead_b"), F.col("size_b"))
         & ~F.arrays_overlap("before", "before_b")
     )
-    return met.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+    return met.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
 
 def id_links(sets: DataFrame, classes: DataFrame, again: DataFrame, same: list[str]) -> DataFrame:

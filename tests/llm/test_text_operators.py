@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from layercake.llm import chat_format, decontaminate, line_dedup, ngram_join, quality_rules, url_filter
 
@@ -89,6 +90,31 @@ def test_ngram_components(spark, n, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components_of(rows, n, percent)
 
 
+@pytest.mark.parametrize(("words", "changes", "barren"), [(120, 5, 3), (640, 22, 0)])
+def test_texts_of_one_template(spark, monkeypatch, words, changes, barren):
+    """Most pairs miss the threshold by little; long sets meet in more lists than are looked back on."""
+    monkeypatch.setattr(ngram_join, "BARREN", barren)
+    rows = []
+    for i in range(40):
+        ws = [f"t{j}" for j in range(words)]
+        for at in random.sample(range(0, words, 5), random.randint(changes - 3, changes + 1)):
+            ws[at] = f"c{at}x{random.randrange(2)}"
+        rows.append((i, " ".join(ws[: random.choice([words, words, words - 9])])))
+    got = ngram_join.ngram_components(frame(spark, rows)).collect()
+    wanted = components_of(rows, 4, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == wanted
+    assert len({c for _, c in wanted.values()}) > 1
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_similar_sizes_are_in_bands_side_by_side(spark, percent):
+    like = ngram_join.Similarity(4, percent)
+    sizes = spark.range(1, 1100).select(like.band(F.col("id")).alias("band")).collect()
+    for a in range(1, 1100):
+        for b in range(a, min(1099, 100 * a // percent) + 1):
+            assert 0 <= sizes[b - 1].band - sizes[a - 1].band <= 1
+
+
 @pytest.mark.parametrize("copies", [1, 2, 3])
 def test_repeated_rows_keep_their_links(spark, copies):
     """Pairs of 20 n-grams that share 19: all n-grams of a pair are in the same two documents."""
