@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from layercake.llm.url_filter import BASE, PATTERNS, regex_of
-
 WORD = r"[^\x20\x09-\x0D]+"
 
 _QUALITY = rf"""
@@ -51,27 +49,29 @@ FROM e GROUP BY conv_id
 """
 
 
-def _url() -> str:
-    def quoted(text: str) -> str:
-        return text.replace("'", "''")
-
-    base = " ".join(
-        f"WHEN regexp_matches(host || path, '{quoted(regex_of('||' + rule))}') THEN '{rule}'"
-        for rule, _ in sorted(BASE, key=lambda x: -len(x[0]))
-    )
-    verdicts = " ".join(f"WHEN '{rule}' THEN '{verdict}'" for rule, verdict in BASE)
-    method = " OR ".join(f"regexp_matches(host || path, '{quoted(regex_of(p.pattern))}')" for p in PATTERNS)
-    return rf"""
-    WITH p AS (
-      SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
-               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-             coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
-    r AS (SELECT *, CASE {base} END AS rule FROM p)
-    SELECT page_id, host, path, rule,
-      CASE rule {verdicts} ELSE CASE WHEN {method} THEN 'block' ELSE 'allow' END END AS verdict
-    FROM r
-    """
-
+# Rules and kinds of pages are written out here, so that a wrong expression of the operator shows.
+_URL = r"""
+WITH p AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+rules(h, f, rule, verdict) AS (
+  VALUES ('com', '/', 'com/', 'allow'), ('example.com', '/en/', 'example.com/en/', 'block'),
+         ('www.example.com', '/en/', 'www.example.com/en/', 'allow'),
+         ('net', '/es/', 'net/es/', 'block'), ('net', '/fr/', 'net/fr/', 'block')),
+u AS (SELECT DISTINCT host, path FROM p),
+r AS (
+  SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, f) GROUP BY host, path)
+SELECT page_id, host, path, rule,
+  coalesce(verdict, CASE
+    WHEN regexp_matches(host, '(^|\.)(spam-farm|cheap-pills|ads|tracker)\.') THEN 'block'
+    WHEN regexp_matches(host, '(^|\.)casino-') OR contains(host || path, '-casino.') THEN 'block'
+    WHEN contains(path, '/wp-login.php') OR contains(path, '/cgi-bin/') THEN 'block'
+    WHEN regexp_matches(path, '(?s)/login/.*\.php$') THEN 'block'
+    ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN r USING (host, path)
+"""
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -118,4 +118,4 @@ SELECT o.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::
 FROM o JOIN t ON o.lang = t.lang WHERE rank <= 2000
 """
 
-SQL = {"op13_collocations": _PHRASES, "op4_decontamination": _CONTAMINATION, "op2_quality_rules": _QUALITY, "op6_chat_formatting": _CHAT, "op8_url_filter": _url()}
+SQL = {"op13_collocations": _PHRASES, "op4_decontamination": _CONTAMINATION, "op2_quality_rules": _QUALITY, "op6_chat_formatting": _CHAT, "op8_url_filter": _URL}

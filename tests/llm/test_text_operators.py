@@ -265,6 +265,31 @@ def test_urls(spark):
     assert [got[i][1:] for i in (4, 5, 6, 7)] == [(None, "allow")] * 4
 
 
+def test_many_rules_as_a_plain_loop(spark):
+    """10,000 generated rules of all forms, with ties and repeated URLs."""
+    rules, urls = [], ["http://", "no scheme", None, "x:///"]
+    for i in range(10_000):
+        host, path = f"h{i % 700}.d{i % 90}.org", f"/p{i % 40}/q{i % 1100}"
+        forms = [f"||{host}^", f"||d{i % 90}.org{path}", f"|{host}{path}|", f"{path}/*.html|", f"*q{i}*", f"/p{i % 40}^"]
+        rules.append(url_filter.Rule(forms[i % 6 if i % 6 < 5 or i < 30 else 3], "block" if i % 7 < 4 else "allow", i % 3))
+    for i in range(300):
+        at = random.randrange(10_000)
+        urls.append(f"https://{random.choice(['', 'www.'])}H{at % 700}.d{at % 90}.org/p{at % 40}/q{at % 1100}{random.choice(['', '/a.html', '/b', '?x=1'])}")
+    urls += urls[:50]
+    compiled = [(r, re.compile(url_filter.regex_of(r.pattern))) for r in rules]
+    got = url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    assert len(got) == len(urls)
+    fitted = 0
+    for row in got:
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", urls[row.page_id] or "")
+        subject = m[1].lower() + m[2] if m else ""
+        fits = [(r.priority, len(r.pattern), r.pattern, r.verdict) for r, regex in compiled if regex.search(subject)]
+        best = max(fits, default=(0, 0, None, "allow"))
+        assert (row.pattern, row.verdict) == best[2:], urls[row.page_id]
+        fitted += bool(fits)
+    assert fitted > 100
+
+
 def test_rule_tokens():
     assert url_filter.tokens_of("||ads.") == ["ads"]
     assert url_filter.tokens_of("/ad*s/") == [""]
