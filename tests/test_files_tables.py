@@ -240,3 +240,17 @@ def test_overwriting_a_table_without_keys_moves_no_rows(spark, tmp_path):
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     assert files.load(f"{tmp_path}/t/data/v=2").count() == 4
     assert table.read().count() == 500
+
+
+def test_part_that_lies_by_bucket_is_written_without_a_shuffle(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL("k long, v long"), ["k"], buckets=2)
+    data = spark.range(400).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v"))
+    assert not table.filled([0, 1])
+    lying = table.near(data, [0, 1])
+    tasks = lying.select(table._bucket().alias("b"), "_place", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len({(r["b"], r["_place"]) for r in tasks}) == len(tasks) == 4
+    table.merge(data, lambda old, new: (old, lying.drop("_place")), [0, 1])
+    assert table.filled([1]) and rows(table.read()) == [(k, 1) for k in sorted(range(400), key=lambda k: repr((k, 1)))]
+    more = spark.createDataFrame([(7, 2), (401, 2)], "k long, v long")
+    table.merge(more, lambda old, new: (old.filter("k <> 7"), new), [0, 1])
+    assert table.read().count() == 401 and rows(table.read().filter("v = 2")) == [(401, 2), (7, 2)]

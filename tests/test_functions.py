@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from layercake.functions.hashing import NULL_MARK, SEPARATOR, compact_key, row_hash
 from layercake.functions.parse import month_label, name_part, parse_bool, parse_ts, strict, typed
+from layercake.session import TABLE_SETTINGS, tune
 
 
 @pytest.mark.parametrize(
@@ -77,3 +78,13 @@ def test_row_hash_tells_nulls_and_borders_apart(spark):
 def test_compact_key_is_the_first_sixty_bits(spark):
     got = spark.range(1).select(compact_key(F.lit("0fffffffffffffff" + "0" * 24))).first()[0]
     assert got == 0x0FFFFFFFFFFFFFF
+
+
+def test_table_settings_fill_what_a_session_leaves_open(spark):
+    session, codec, split = spark.newSession(), "spark.sql.parquet.compression.codec", "spark.sql.files.maxPartitionBytes"
+    for key in TABLE_SETTINGS:
+        session.conf.unset(key)
+    session.conf.set(split, "5m")
+    default = session.conf.get(codec)
+    assert tune(session).conf.get(codec) == TABLE_SETTINGS[codec] != default and session.conf.get(split) == "5m"
+    assert tune(session, tables=False).conf.get(codec) == default and session.conf.get(split) == "5m"

@@ -8,7 +8,8 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from layercake.plans import dashboard, kpis
-from layercake.plans.star import build_date_dim, date_key
+from layercake.operators.merge import upsert
+from layercake.plans.star import DIMENSION_KEYS, ORDER_TIME, build_date_dim, build_fact, date_key
 
 FACT = "order_item_id long, order_id long, order_date date, delivery_status string, subtotal decimal(10,2)"
 
@@ -106,3 +107,57 @@ def test_marts_scan_only_what_they_need(spark, fact, tmp_path):
     plan = kpis.kpi_yearly(stored, build_date_dim(stored, "order_date"))._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(delivery_status,Delivered)" in plan
     assert "estimated_time" not in plan
+
+
+def star(spark, orders):
+    """Two items, an order as given, and one version of everything."""
+    start = datetime(2000, 1, 1)
+
+    def dim(key, *more):
+        names = [key, *[n for n, _ in more], "hk", "eff_start", "eff_end", "is_current"]
+        values = [(1, *[v for _, v in more], f"{key}-1", start, None, True)]
+        types = ["long"] * (1 + len(more)) + ["string", "timestamp", "timestamp", "boolean"]
+        return spark.createDataFrame(values, ", ".join(f"{n} {t}" for n, t in zip(names, types)))
+
+    dims = {
+        "customer": dim("customer_id"), "customer_address": dim("address_id"), "restaurant": dim("restaurant_id", ("location_id_fk", 1)),
+        "location": dim("location_id"), "menu": dim("menu_id"), "delivery_agent": dim("delivery_agent_id"),
+    }
+    item = "order_item_id long, order_id_fk long, menu_id_fk long, quantity decimal(10,2), price decimal(10,2), subtotal decimal(10,2)"
+    one = Decimal("1.00")
+    items = spark.createDataFrame([(11, 1, 1, one, one, one), (12, 1, 1, one, one, one)], item)
+    orders = spark.createDataFrame(
+        [(1, 1, 1, at) for at in orders], "order_id long, customer_id_fk long, restaurant_id_fk long, order_date timestamp"
+    )
+    deliveries = spark.createDataFrame(
+        [(1, 1, 1, "Delivered", "now")],
+        "order_id_fk long, delivery_agent_id_fk long, customer_address_id_fk long, delivery_status string, estimated_time string",
+    )
+    return items, orders, deliveries, dims
+
+
+def test_as_of_order_gives_an_item_per_row_of_its_order(spark):
+    at, later = datetime(2020, 1, 1, 8), datetime(2020, 1, 1, 9)
+    made = build_fact(*star(spark, [at, at, later, None]), as_of=ORDER_TIME)
+    assert rows(made.groupBy("order_item_id").count()) == [(11, 3), (12, 3)]
+    # Items carry their order's time to the menu, and nothing else that their order knows.
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    carried = [line for line in plan.splitlines() if "menu_id_fk" in line and "_row" in line]
+    assert carried == [] or not any("customer_dim_key" in line for line in carried)
+
+
+def test_fact_carries_no_key_that_is_not_selected(spark):
+    made = build_fact(*star(spark, [datetime(2020, 1, 1)])).select("order_item_id", "menu_dim_key")
+    assert rows(made) == [(11, "menu_id-1"), (12, "menu_id-1")]
+    top = made._jdf.queryExecution().optimizedPlan()
+    joins = [line for line in top.toString().splitlines() if "Project" in line and "order_id" in line]
+    assert joins and not any(k in line for line in joins for k in DIMENSION_KEYS if k != "menu_dim_key")
+
+
+def test_upsert_of_rows_that_lie_by_order_shuffles_nothing(spark):
+    old = spark.createDataFrame([(i, i // 4, "a") for i in range(40)], "item long, order_no long, v string").repartition("order_no")
+    new = old.withColumn("v", F.lit("b")).repartition("order_no")
+    made = upsert(old, new, ["item", "order_no"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert rows(made) == sorted([(i, i // 4, "b") for i in range(40)], key=repr)
