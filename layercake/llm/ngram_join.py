@@ -191,12 +191,13 @@ def links(postings: DataFrame, parts: DataFrame, like: Similarity, scratch: Scra
         likely = scratch.put(begun.filter(could).select(*on).distinct(), "likely")
         judged = overlaps(likely, parts.withColumn("left", F.lit(0))).filter(like.linked(F.col("overlap"), F.col("size_a"), F.col("size_b")))
         new = scratch.put(judged.select(*on).distinct(), "links")
-        known = known.union(new)
+        # Rounds are read in one scan: a plan that grew with them would fill the driver.
+        known = scratch.put_all(new, "known")
         if last:
             return known
         scratch.tidy()
         barren, turn = barren + 1 if new.isEmpty() else 0, turn + 1
-        refused = refused.union(pairs.join(new, on, "left_anti"))
+        refused = scratch.put_all(pairs.join(new, on, "left_anti"), "refused")
         if not barren:
             roots = components(known, scratch)
             rest = rest.drop("root").join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from layercake.llm import chat_format, decontaminate, line_dedup, ngram_join, quality_rules, url_filter
+from layercake.llm.scratch import Scratch
 
 random.seed(11)
 WORDS = [f"w{i}" for i in range(12)]
@@ -326,3 +327,12 @@ def test_runs_of_repeated_rows_grow_with_the_rows(spark, tmp_path):
     texts = {(r.doc_id, r.text) for r in got}
     assert len(got) == 45 and seen[0] < 20
     assert texts == {(None, f"{line}\nnull"), (5, f"own\n{line} x"), (9, "other\nend")}
+
+
+def test_rounds_are_read_in_one_scan(spark):
+    scratch = Scratch(spark, "rounds")
+    for a in range(5):
+        every = scratch.put_all(spark.createDataFrame([(a, a + 1)], "a long, b long"), "links")
+    assert sorted(map(tuple, every.collect())) == [(a, a + 1) for a in range(5)]
+    plan = every._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Relation") == 1
