@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import DataFrame, SparkSession
 
-from layercake.session import shared_dir
+from layercake.session import free_shuffles, shared_dir
 
 
 class Scratch:
@@ -41,6 +39,5 @@ class Scratch:
         self.tidy()
 
     def tidy(self) -> None:
-        """Shuffle files go once nothing refers to their step; without this, when the driver's memory is full."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        """Frees the shuffle files of finished steps."""
+        free_shuffles(self.spark)

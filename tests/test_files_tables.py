@@ -254,3 +254,15 @@ def test_part_that_lies_by_bucket_is_written_without_a_shuffle(spark, tmp_path):
     more = spark.createDataFrame([(7, 2), (401, 2)], "k long, v long")
     table.merge(more, lambda old, new: (old.filter("k <> 7"), new), [0, 1])
     assert table.read().count() == 401 and rows(table.read().filter("v = 2")) == [(401, 2), (7, 2)]
+
+
+def test_parts_that_lie_may_be_all_there_is(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"), frame(spark, (1, "a")).schema, ["id"], buckets=2)
+    merge(t, frame(spark, (1, "a"), (2, "a"), (3, "a")))
+    more = frame(spark, (3, "b"), (4, "b"))
+
+    def combine(old, new):
+        return None, t.near(old, [0, 1]).filter("id <> 3").drop("_place").unionByName(new)
+
+    t.merge(more, combine, [0, 1])
+    assert rows(t.read()) == [(1, "a"), (2, "a"), (3, "b"), (4, "b")]

@@ -161,3 +161,23 @@ def test_upsert_of_rows_that_lie_by_order_shuffles_nothing(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert rows(made) == sorted([(i, i // 4, "b") for i in range(40)], key=repr)
+
+
+def test_a_day_of_changes_shuffles_an_old_row_of_the_fact_once(spark, tmp_path, monkeypatch):
+    from __spark_entry__ import queries
+    from layercake.sources.tables import VersionedTable
+
+    plans, replace = {}, VersionedTable._replace
+
+    def noted(self, op, rows, touched, batch_id, sources, rewritten=(), lying=None):
+        if "_fact" in self.path:
+            plans[self.version()] = [None if df is None else df._jdf.queryExecution().optimizedPlan().toString() for df in (rows, lying)]
+        return replace(self, op, rows, touched, batch_id, sources, rewritten, lying)
+
+    monkeypatch.setattr(VersionedTable, "_replace", noted)
+    made = queries()["star_fact_reassigned"](spark, "/root/testdata/sf0.001")
+    assert made.count() == made.select("order_item_id", "order_id").distinct().count() > 0
+    (first, first_lying), (rest, lying) = plans[0], plans[1]
+    assert first is None and "RepartitionByExpression" not in first_lying
+    assert rest is None and lying.count("RepartitionByExpression") == 2
+    assert "LeftAnti" not in lying and "LeftSemi" not in lying
