@@ -11,10 +11,10 @@ overlaps separately, each from the two parts it holds, and the counts are summed
 
 Groups of similar classes are joined to components without making all their pairs. In each round a class is
 compared with one hub, the class it shares most candidate n-grams with; lists whose members have all met
-in one component are done. Once fewer pairs than list entries are left, or several rounds with other hubs have
-found no link, what is left is compared pair by pair: within a list and a band of sizes, in the first list that
-both are in. So every link between different sets is either compared or already implied, and the components are
-exact.
+in one component are done. Once fewer pairs than list entries are left, or rounds with other hubs spare fewer
+pairs than they read list entries, what is left is compared pair by pair: within a list and a band of sizes, in the
+first list that both are in. So every link between different sets is either compared or already implied, and the
+components are exact.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from layercake.llm.text import SPACE_CHARS, lower_words, numbers, table, without
 from layercake.llm.scratch import Scratch
 
 FRAGMENTS = 4
-BARREN = 3  # so many rounds of hubs in a row without a link end them
+BARREN = 2  # so many rounds of hubs in a row that do not pay end them
 BEFORE = 64  # n-grams of a set, before the one at hand, that tell whether a pair was made already
 LOWEST, RANGE = -(2**63), 2**64
 
@@ -170,10 +170,14 @@ def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def links(postings: DataFrame, parts: DataFrame, like: Similarity, scratch: Scratch) -> DataFrame:
-    """Links (a, b) between classes: enough of them for exact components."""
+    """Links (a, b) between classes: enough of them for exact components.
+
+    A round of hubs reads every open list, so it pays if it spares as many pairs as there are list entries and a
+    tenth of all: a link found now and then does not, and the number of rounds grows with the logarithm of the pairs.
+    """
     spark, on = postings.sparkSession, ["a", "b"]
     known = refused = spark.createDataFrame([], "a long, b long")
-    rest, turn, barren = postings.withColumn("root", F.col("node")), 0, 0
+    rest, turn, poor, before = postings.withColumn("root", F.col("node")), 0, 0, None
     while True:
         lists = _open_lists(rest)
         rest = scratch.put(rest.join(lists.select("gram"), "gram", "left_semi"), "open")
@@ -182,7 +186,9 @@ def links(postings: DataFrame, parts: DataFrame, like: Similarity, scratch: Scra
         row = sizes.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
         if not row.rows:
             return known
-        last = row.pairs <= row.rows or barren == BARREN
+        if before is not None:
+            poor = 0 if before - row.pairs >= max(row.rows, before / 10) else poor + 1
+        last, before = row.pairs <= row.rows or poor == BARREN, row.pairs
         pairs = _left_pairs(rest, like) if last else _hub_pairs(rest, like, turn)
         pairs = scratch.put(pairs.join(refused, on, "left_anti"), "pairs")
         # The first fragment alone shows most pairs not to be similar: the rest can add no more than it holds.
@@ -195,10 +201,10 @@ def links(postings: DataFrame, parts: DataFrame, like: Similarity, scratch: Scra
         known = scratch.put_all(new, "known")
         if last:
             return known
-        scratch.tidy()
-        barren, turn = barren + 1 if new.isEmpty() else 0, turn + 1
+        turn += 1
         refused = scratch.put_all(pairs.join(new, on, "left_anti"), "refused")
-        if not barren:
+        scratch.drop("pairs", "likely")
+        if not new.isEmpty():
             roots = components(known, scratch)
             rest = rest.drop("root").join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
 

@@ -30,12 +30,13 @@ class Scratch:
         self.put(df, name)
         return self.spark.read.schema(df.schema).parquet(*self.uses[name])
 
-    def drop(self, name: str) -> None:
-        """Deletes a table's folder, and lets Spark's cleaner free the shuffle files of finished steps."""
+    def drop(self, *names: str) -> None:
+        """Deletes the folders of tables, and lets Spark's cleaner free the shuffle files of finished steps."""
         jvm = self.spark.sparkContext._jvm
-        self.uses[name].remove(self.paths[name])
-        path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        for name in names:
+            self.uses[name].remove(self.paths[name])
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
         self.tidy()
 
     def tidy(self) -> None:

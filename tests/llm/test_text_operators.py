@@ -107,6 +107,22 @@ def test_texts_of_one_template(spark, monkeypatch, words, changes, barren):
     assert len({c for _, c in wanted.values()}) > 1
 
 
+def test_rounds_of_hubs_do_not_grow_with_the_rows(spark, monkeypatch):
+    """With more texts, each round finds a link or two more; what is left is compared pair by pair all the same."""
+    opened, put = [], Scratch.put
+    monkeypatch.setattr(Scratch, "put", lambda self, df, name: opened.append(name) or put(self, df, name))
+    rows, chance = [], random.Random(5)
+    for t in range(12):
+        for _ in range(24):
+            ws = [f"t{t}x{j}" for j in range(120)]
+            for at in chance.sample(range(0, 120, 5), chance.randint(2, 6)):
+                ws[at] = f"c{t}x{at}x{chance.randrange(2)}"
+            rows.append((len(rows), " ".join(ws)))
+    got = ngram_join.ngram_components(frame(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components_of(rows, 4, 85)
+    assert opened.count("open") <= 4
+
+
 @pytest.mark.parametrize("percent", [50, 80, 85, 100])
 def test_similar_sizes_are_in_bands_side_by_side(spark, percent):
     like = ngram_join.Similarity(4, percent)
