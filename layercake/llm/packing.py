@@ -15,11 +15,13 @@ powers of two, which need no padding.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator, Sequence
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,26 +30,35 @@ from layercake.llm.workers import give_back, ship
 
 CAPACITY = 4096
 SLACK = 64  # a class may waste a 64th of a sequence
-KNOWN_WORDS = 500_000  # remembered per worker; beyond that it starts anew
+KNOWN_BYTES = 1 << 25  # remembered per worker; beyond that it goes on with the parts of the last call
+FEW = 16
 BINS_AT_ONCE = 256
-ROWS_AT_ONCE = 200
+BYTES_AT_ONCE = 1 << 24  # of texts, or one text
 END = 2
-MARKS = ".,;:!?"
 BETWEEN = "\x01"
 WORDS_AT_ONCE = 2_000
+VISIBLE = "[!-~\u00a1-\u00ff]*"  # Latin-1
+LETTERS, DIGITS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"  # of these, lower-case
+PART = f"('s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{LETTERS}{DIGITS}]+)"
+SHOWN = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}  # how the merges write other bytes
 
 Piece = tuple[object, int, bytes, int]  # key, start, ids, ids of the whole document
+visible = re.compile(VISIBLE).fullmatch
 _tokenizers: dict[str, WordIds] = {}
 
 
 class WordIds:
-    """A tokenizer that drops white space, with the ids of words it has met.
+    """A tokenizer that drops white space, with the ids of word parts it has met.
 
     No token of such a tokenizer reaches over a space or a line end, so a text's ids are those of its words between
-    them, one after the other. Words not met before are encoded together, with a control character as a word
-    of its own between them, whose id tells them apart again. Of letters and one mark after them, each counts for
-    itself, as tokens hold either letters or marks; nothing but their case has to be changed in words of ASCII
-    letters, so these go to the tokenizer's merges at once.
+    them, one after the other. Arrow cuts the texts, numbers the different words of a call, cuts these as the
+    tokenizer does, into letters, single digits and marks, and puts the ids together again; Python meets only parts
+    that were not met before, and gives them to the tokenizer's merges.
+
+    Words are cut so if they are of visible Latin-1 characters, where normalizing is lower-casing, and hold no name of
+    a token. The whole tokenizer encodes the others uncut, many at once, with a control character as a word of its
+    own between them, whose id tells them apart again. (Not even a last comma is cut off there: normalizing may end
+    letters in a combining mark, which stays with it.)
     """
 
     def __init__(self, path: str):
@@ -55,38 +66,68 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
         self.merge = self.tokenizer.model.tokenize
         (self.between,) = self._ids(BETWEEN)
 
-    def encode(self, texts: Sequence[str], end: int) -> list[bytes]:
+    def encode(self, texts: Sequence[str] | pa.Array, end: int) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, and ``end``."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        self.learn(set().union(*cut).difference(self.known))
-        last = end.to_bytes(4, "little")
-        return [b"".join(map(self.known.__getitem__, ws)) + last for ws in cut]
-
-    def learn(self, words: set[str]) -> None:
-        ending = {w for w in words if w[-1:] in MARKS and w[:-1].isalpha()}
-        new = (words - ending).union(w[:-1] for w in ending).union(MARKS).difference(self.known)
-        plain = []
-        for w in new:
-            if w.isascii() and w.isalpha():
-                self.known[w] = b"".join([t.id.to_bytes(4, "little") for t in self.merge(w.lower())])
-            elif BETWEEN in w:
-                self.known[w] = self._ids(w).tobytes()
+        texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, Sequence) else texts.cast(pa.string()), "")
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        each = words.flatten().dictionary_encode()
+        ids = self.of_words(each.dictionary).take(each.indices)
+        edges = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, 8 * ids.offset)
+        edges = edges[np.append(0, np.cumsum(words.value_lengths().to_numpy()))].tolist()
+        flat, last = memoryview(ids.buffers()[2] or b""), end.to_bytes(4, "little")
+        return [b"".join((flat[a:b], last)) for a, b in pairwise(edges)]
+
+    def of_words(self, words: pa.StringArray) -> pa.LargeBinaryArray:
+        """The ids of each of some different words."""
+        whole = pc.invert(pc.match_substring_regex(words, f"^{VISIBLE}$"))
+        for name in self.names:
+            whole = pc.or_(whole, pc.match_substring(words, name))
+        cut = pc.ascii_ltrim(pc.replace_substring_regex(pc.utf8_lower(words), PART, r" \1"), " ")
+        parts = pc.split_pattern(pc.if_else(whole, words, cut), " ")
+        each = parts.flatten().dictionary_encode()
+        ids = self.of_parts(each.dictionary).take(each.indices)
+        return pc.binary_join(pa.ListArray.from_arrays(parts.offsets, ids), pa.scalar(b"", pa.large_binary()))
+
+    def of_parts(self, parts: pa.StringArray) -> pa.LargeBinaryArray:
+        """The ids of each of some different parts. A few are learned faster than looked up among very many."""
+        if len(parts) < len(self.known) // FEW:
+            return pa.array(self.learn(parts.to_pylist()), pa.large_binary())
+        at = pc.index_in(parts, value_set=self.known)
+        new = parts.filter(at.is_null())
+        at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).copy()
+        at[at < 0] = len(self.known) + np.arange(len(new))
+        self.ids = pa.concat_arrays([self.ids, pa.array(self.learn(new.to_pylist()), pa.large_binary())])
+        self.known = pa.concat_arrays([self.known, new])
+        ids = self.ids.take(pa.array(at))
+        if self.known.nbytes + self.ids.nbytes > KNOWN_BYTES:
+            self.known, self.ids = parts, ids
+        return ids
+
+    def learn(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part, by the merges, or by the whole tokenizer if it was not cut."""
+        made: dict[str, bytes] = {}
+        uncut = []
+        for p in parts:
+            if not visible(p) or any(name in p for name in self.names):
+                if BETWEEN in p:
+                    made[p] = self._ids(p).tobytes()
+                else:
+                    uncut.append(p)
             else:
-                plain.append(w)
-        for at in range(0, len(plain), WORDS_AT_ONCE):
-            part = plain[at : at + WORDS_AT_ONCE]
-            ids = self._ids(f" {BETWEEN} ".join(part))
+                shown = p if p.isascii() else p.encode().decode("latin-1").translate(SHOWN)
+                made[p] = b"".join([t.id.to_bytes(4, "little") for t in self.merge(shown)])
+        for at in range(0, len(uncut), WORDS_AT_ONCE):
+            some = uncut[at : at + WORDS_AT_ONCE]
+            ids = self._ids(f" {BETWEEN} ".join(some))
             edges = [-1, *np.flatnonzero(ids == self.between).tolist(), len(ids)]
             flat = ids.tobytes()
-            self.known.update(zip(part, [flat[4 * a + 4 : 4 * b] for a, b in zip(edges, edges[1:])], strict=True))
-        for w in ending:
-            self.known[w] = self.known[w[:-1]] + self.known[w[-1]]
+            made.update(zip(some, [flat[4 * a + 4 : 4 * b] for a, b in pairwise(edges)], strict=True))
+        return [made[p] for p in parts]
 
     def _ids(self, text: str) -> np.ndarray:
         (made,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
@@ -178,9 +219,11 @@ def pack(
         key_of = None
         for whole in batches:
             key_of = whole.schema.field("_key").type
-            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
-                b = whole.slice(at, ROWS_AT_ONCE)
-                encoded = tokenizer.encode([t or "" for t in b.column(1).to_pylist()], end)
+            before = np.cumsum(pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy(zero_copy_only=False))
+            steps = np.flatnonzero(np.diff(before // BYTES_AT_ONCE)) + 1
+            for at, to in pairwise([0, *steps.tolist(), whole.num_rows]):
+                b = whole.slice(at, to - at)
+                encoded = tokenizer.encode(b.column(1), end)
                 for k, ids in zip(b.column(0).to_pylist(), encoded, strict=True):
                     start = 0
                     for size, length in cuts(len(ids) // 4, capacity, slack):

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -121,6 +122,45 @@ def test_ids_as_the_library_makes_them():
             assert np.frombuffer(ids, "<u4").tolist() == [*theirs.encode(t, add_special_tokens=False).ids, 2]
 
 
+def test_each_part_of_a_word_is_merged_once():
+    own, theirs = packing.WordIds(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    merged, merge = Counter(), own.merge
+
+    def counted(part):
+        merged[part] += 1
+        return merge(part)
+
+    def whole(text):
+        raise AssertionError(f"the whole tokenizer is asked for {text!r}")
+
+    own.merge, own._ids = counted, whole
+    texts = ["a dog, a Dog.", "(dog) DOG!! dog-dog's \u00e9t\u00e9 \u00c9T\u00c9&&& '42'", "Dog (dog) dog"]
+    for t in texts:
+        (ids,) = own.encode([t], 2)
+        assert np.frombuffer(ids, "<u4").tolist() == [*theirs.encode(t, add_special_tokens=False).ids, 2]
+    assert merged["dog"] == 1 and set(merged.values()) == {1}
+
+
+@pytest.mark.parametrize("remembered, few", [(1 << 25, 16), (1 << 25, 1), (0, 16), (2_000, 16)])
+def test_ids_of_any_mix_of_characters(monkeypatch, remembered, few):
+    monkeypatch.setattr(packing, "KNOWN_BYTES", remembered, raising=False)
+    monkeypatch.setattr(packing, "FEW", few, raising=False)
+    own, theirs = packing.WordIds(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    rng = random.Random(remembered + few)
+    shown = [chr(c) for c in range(0x250)] + list("\u0300\u0301\u0308\u030c\u0327\u0330\u0331\u03a3\u03c3\u1e9e\u212a\u212b\u2028\u3000\u0416\u4e2d\u3042\u0661\u00b2\u037e\ufb01\U0001f600")
+    strings = ["'s", "'LL", "'Ve", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>,", "\x01", " ", " ", "\n", "dog", "Stra\u00dfe", "&&", "!", ","]
+    texts = [f"a{c}B {c} {c}{c}, J{c}" for c in shown]
+    texts += ["".join(rng.choice(shown if rng.random() < 0.4 else strings) for _ in range(rng.randrange(60))) for _ in range(1500)]
+    rng.shuffle(texts)
+    want = [[*made.ids, 2] for made in theirs.encode_batch_fast(texts, add_special_tokens=False)]
+    for at in range(0, len(texts), 300):
+        got = own.encode(texts[at : at + 300], 2)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want[at : at + 300]
+    assert own.encode([], 2) == [] and own.encode(["", "\n "], 2) == [b"\2\0\0\0"] * 2
+    cut = pa.array([None, "x", texts[0], None, texts[1]], pa.large_string()).slice(1)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode(cut, 2)][1:] == [want[0], [2], want[1]]
+
+
 def test_cuts_fill_their_class():
     for n in range(1, 10_000):
         pieces = packing.cuts(n)
