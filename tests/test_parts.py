@@ -53,7 +53,7 @@ def wrong(spark, folder, name):
     return differences(queries()[name](spark, folder), oracle_sql()[name], con)
 
 
-@pytest.mark.parametrize("name", ["star_fact", "star_fact_merge", "star_fact_as_of_order"])
+@pytest.mark.parametrize("name", ["star_fact", "star_fact_merge", "star_fact_as_of_order", "star_views"])
 def test_the_fact_is_made_of_some_orders_after_the_others(spark, folder, in_parts, monkeypatch, name):
     wrote, write = Counter(), DataFrameWriter.parquet
 
@@ -75,6 +75,6 @@ def test_packed_text_comes_back(spark):
 
 
 def test_keys_are_shuffled_as_bytes(spark, folder):
-    plan = queries()["star_fact", "star_fact_merge", "star_fact_as_of_order"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    plan = queries()["star_fact", "star_fact_merge", "star_fact_as_of_order", "star_views"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
     joins = plan[plan.index("Join"):]
     assert "unhex" in joins and "lower(hex(customer_dim_key" in plan[: plan.index("Join")]
